@@ -176,3 +176,15 @@ TRAILING_HOURS = 10
 COMPONENT_LABELS = ["MAJ_OTG_ID", "Date", "OUTAGES", "CUST_QTY", "STORM_DURATION", "OUTAGED_RECOVERY"]
 COMPONENT_SKIPPED_FEATURE = "radSolarMin"
 JUNK_COLUMNS = r"^(Unnamed|_c0)"
+
+# --- fixed values: names found inside the feeds -------------------------------------
+LOCATION_PREFIX = "IPL"
+LIVE_FEEDS = {
+    "device": "INCIDENT_DEVICE_IPL",
+    "incident": "INCIDENT_IPL",
+    "location": "LOCATION_IPL",
+}
+HISTORY_MARK = "HIS"
+HISTORY_FEED = "FACILITY_IPL_Daily"
+FORECAST_CLOCK = "05:00:00"
+EASTERN = "US/Eastern"

@@ -1,0 +1,71 @@
+"""Keyword, priority and text flags."""
+
+from __future__ import annotations
+
+from functools import reduce
+from operator import and_, or_
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from stormgrid import constants as C
+
+
+def as_bit(condition: Column) -> Column:
+    """1 where the condition holds, 0 where it does not or is unknown."""
+    return F.coalesce(condition, F.lit(False)).cast("int")
+
+
+def keyword_flag(text: Column, any_of: list[str], none_of: list[str], ignore_case: bool) -> Column:
+    source = F.lower(text) if ignore_case else text
+    found = reduce(or_, [source.contains(word) for word in any_of])
+    if none_of:
+        found = reduce(and_, [~source.contains(word) for word in none_of], found)
+    return as_bit(found)
+
+
+def keyword_flags(description: Column, table: dict) -> dict[str, Column]:
+    """One 0/1 column per row of a keyword table; a missing description gives 0."""
+    return {name: keyword_flag(description, *rule) for name, rule in table.items()}
+
+
+def all_keyword_flags(clue: Column, cause: Column, occurrence: Column) -> dict[str, Column]:
+    return {
+        **keyword_flags(clue, C.CLUE_KEYWORDS),
+        **keyword_flags(cause, C.CAUSE_KEYWORDS),
+        **keyword_flags(occurrence, C.OCCURRENCE_KEYWORDS),
+    }
+
+
+def priority_flags(priority: Column) -> dict[str, Column]:
+    return {name: as_bit(priority == value) for name, value in zip(C.PRIORITY_FLAGS, C.PRIORITY_VALUES)}
+
+
+def flag_text(flag: Column) -> Column:
+    """1 -> 'True', 0 -> 'False', anything else -> null."""
+    return F.when(flag == 1, "True").when(flag == 0, "False")
+
+
+def flags_to_text(df: DataFrame, flags: list[str] = C.TEXT_FLAGS) -> DataFrame:
+    return df.withColumns({name: flag_text(F.col(name)) for name in flags})
+
+
+def model_indicators(df: DataFrame) -> DataFrame:
+    """0/1 inputs of the restoration model taken from the text flags and the city."""
+    columns = {f"{name}_False": as_bit(F.col(name) == "False") for name in C.INDICATORS_FALSE}
+    columns |= {f"{name}_True": as_bit(F.col(name) == "True") for name in C.INDICATORS_TRUE}
+    columns["CITY_NAM_NO_CITY"] = as_bit(F.col("CITY_NAM") == C.NO_CITY)
+    return df.withColumns(columns)
+
+
+def outage_label(*keys: str) -> Column:
+    """Identifier text: the grain keys side by side, without a separator."""
+    return F.concat(*[F.col(key).cast("string") for key in (keys or C.GRAIN)])
+
+
+def strip_spaces(text: Column) -> Column:
+    return F.translate(text, " ", "")
+
+
+def normal_city(city: Column) -> Column:
+    return F.when(city.contains("INDIAN"), "INDIANAPOLIS").otherwise(F.coalesce(city, F.lit(C.NO_CITY)))
