@@ -37,6 +37,18 @@ def all_keyword_flags(clue: Column, cause: Column, occurrence: Column) -> dict[s
     }
 
 
+def pack(columns: list[Column]) -> Column:
+    """0/1 columns as the bits of one number, the first in the lowest bit."""
+    bits = [F.shiftleft(column.cast("bigint"), i) for i, column in enumerate(columns)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+
+def unpack(mask: Column, names: list[str]) -> dict[str, Column]:
+    """The 0/1 columns of a packed number; a missing one has no bit set."""
+    known = F.coalesce(mask, F.lit(0).cast("bigint"))
+    return {name: F.shiftright(known, i).bitwiseAND(F.lit(1).cast("bigint")).cast("int") for i, name in enumerate(names)}
+
+
 def priority_flags(priority: Column) -> dict[str, Column]:
     return {name: as_bit(priority == value) for name, value in zip(C.PRIORITY_FLAGS, C.PRIORITY_VALUES)}
 

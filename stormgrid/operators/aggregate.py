@@ -40,14 +40,27 @@ def city_aggregate(order: str = "INCIDENT_DEVICE_ID") -> Column:
     return F.coalesce(first, F.lit(C.NO_CITY)).alias("CITY_NAM")
 
 
-def flag_columns() -> dict[str, Column]:
-    keyword = flags.all_keyword_flags(F.col("CLUE_DESC"), F.col("CAUSE_DESC"), F.col("OCCURN_DESC"))
-    return keyword | flags.priority_flags(F.col("PRIORITY_VAL"))
+MASKS = {
+    "CLUE_MASK": list(C.CLUE_KEYWORDS),
+    "CAUSE_MASK": list(C.CAUSE_KEYWORDS),
+    "OCCURN_MASK": list(C.OCCURRENCE_KEYWORDS),
+    "PRIORITY_MASK": C.PRIORITY_FLAGS,
+}
 
 
 def flag_aggregates() -> list[Column]:
-    """1 when any row of the group carries the flag."""
-    return [F.max(flag).alias(name) for name, flag in flag_columns().items()]
+    """Bits set on any row of the group: four numbers travel instead of 51 flags."""
+    priority = flags.pack(list(flags.priority_flags(F.col("PRIORITY_VAL")).values()))
+    packed = [F.bit_or(name).alias(name) for name in MASKS if name != "PRIORITY_MASK"]
+    return [*packed, F.bit_or(priority).alias("PRIORITY_MASK")]
+
+
+def with_flags(df: DataFrame) -> DataFrame:
+    """One 0/1 column per flag in place of the packed numbers."""
+    columns = {}
+    for mask, names in MASKS.items():
+        columns |= flags.unpack(F.col(mask), names)
+    return df.withColumns(columns).drop(*MASKS)
 
 
 def outage_grain(df: DataFrame) -> DataFrame:
@@ -73,7 +86,8 @@ def facility_grain(df: DataFrame) -> DataFrame:
 
 
 def outage_flags(df: DataFrame) -> DataFrame:
-    return _grain(df).agg(*flag_aggregates())
+    """Any-of flags per outage, from rows with packed flags."""
+    return with_flags(_grain(df).agg(*flag_aggregates()))
 
 
 def outage_cities(df: DataFrame) -> DataFrame:
@@ -82,7 +96,7 @@ def outage_cities(df: DataFrame) -> DataFrame:
 
 def outage_table(df: DataFrame) -> DataFrame:
     """Quantities, flags and city per outage in a single aggregation (one shuffle)."""
-    table = with_labels(_grain(df).agg(*numeric_aggregates(), *flag_aggregates(), city_aggregate()))
+    table = with_flags(with_labels(_grain(df).agg(*numeric_aggregates(), *flag_aggregates(), city_aggregate())))
     created = F.col("CREATION_DATETIME")
     return table.withColumns(
         {"DAY_FLAG": times.day_flag(created), "Hour_Sin": times.hour_sin(created), "Hour_Cos": times.hour_cos(created)}

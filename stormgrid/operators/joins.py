@@ -32,6 +32,22 @@ def with_descriptions(df: DataFrame, clues: DataFrame, occurrences: DataFrame, c
     )
 
 
+def with_flag_masks(df: DataFrame, clues: DataFrame, occurrences: DataFrame, causes: DataFrame) -> DataFrame:
+    """Keyword flags of the three codes, packed into one number per code.
+
+    Texts are searched once per code, on the code tables, instead of once per row.
+    A code listed twice is merged first, so rows are never multiplied.
+    """
+    for codes, code, desc, table, mask in (
+        (clues, "CLUE_CD", "CLUE_DESC", C.CLUE_KEYWORDS, "CLUE_MASK"),
+        (occurrences, "OCCURN_CD", "OCCURN_DESC", C.OCCURRENCE_KEYWORDS, "OCCURN_MASK"),
+        (causes, "CAUSE_CD", "CAUSE_DESC", C.CAUSE_KEYWORDS, "CAUSE_MASK"),
+    ):
+        packed = flags.pack(list(flags.keyword_flags(F.col(desc), table).values()))
+        df = df.join(codes.groupBy(code).agg(F.bit_or(packed).alias(mask)), code, "left")
+    return df
+
+
 def with_coordinates(outages: DataFrame, location: DataFrame) -> DataFrame:
     """Degrees of the location's state-plane point, and the zone they fall in."""
     degrees = geo.with_state_plane_degrees(
