@@ -1,4 +1,4 @@
 """All named queries."""
 
-from stormgrid.catalog import expressions, relational, weather  # noqa: F401
+from stormgrid.catalog import expressions, files, models, ordering, relational, streams, weather  # noqa: F401
 from stormgrid.catalog.registry import REGISTRY  # noqa: F401

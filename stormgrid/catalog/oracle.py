@@ -116,7 +116,7 @@ _FACILITY_CODES = ["01", "00A", "09OD", "0AB", "0CD", "1EF", None]
 _CREATED = f"({seconds('o_orderdate')} + (l_orderkey * 7919) % 86400)"
 
 CTES: dict[str, tuple[list[str], str]] = {
-    "device": ([], f"SELECT {_DEVICE}, {_DEVICE_CLUE}, {at(seconds('l_shipdate') + ' + (l_orderkey * 7919) % 86400')} AS CREATION_DATETIME FROM lineitem"),
+    "device": ([], f"SELECT {_DEVICE}, {_DEVICE_CLUE}, {at('1704067200 + (' + seconds('l_shipdate') + ' // 86400 % 30) * 86400 + (l_orderkey * 7919) % 86400')} AS CREATION_DATETIME FROM lineitem"),
     "location": ([], f"""
   SELECT o_orderkey AS INCIDENT_ID, CAST(o_orderkey % 1000 + 1 + 1000 * half AS BIGINT) AS LOCATION_ID, o_custkey AS MAJ_OTG_ID,
     {pick(tables.CITIES, MIX)} AS CITY_NAM,

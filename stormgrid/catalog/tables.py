@@ -29,6 +29,7 @@ OCCURRENCE_TEXTS = [
     "CABLE FAULT", "ST LIGHT OUT", "FIRE", "FOUND OPEN", "NOT FOUND OPEN", "PUBLIC SAFETY", "WIRE DOWN", "SWITCH",
     "CUTOUT", "REGULATOR", "CAP BANK", "OH FAULT", "RECLOSER",
 ]
+FIRST_DAY = 1_704_067_200  # 2024-01-01 as seconds
 CITIES = ["INDIANAPOLIS", "INDIAN LAKE", None, "SPEEDWAY", "BEECH GROVE"]
 
 
@@ -69,8 +70,9 @@ def _device_columns() -> dict[str, Column]:
 
 
 def device(spark: SparkSession, folder: str) -> DataFrame:
-    """Live device feed: one row per line item."""
-    created = F.timestamp_seconds(_seconds("l_shipdate") + F.col("l_orderkey") * 7919 % 86400)
+    """Live device feed: one row per line item, its ship date folded into the month of the weather data."""
+    day = F.floor(_seconds("l_shipdate") / 86400) % 30
+    created = F.timestamp_seconds(F.lit(FIRST_DAY) + day * 86400 + F.col("l_orderkey") * 7919 % 86400)
     columns = _device_columns() | {"CREATION_DATETIME": created}
     return load(spark, folder, "lineitem").select(*[c.alias(n) for n, c in columns.items()])
 

@@ -193,7 +193,7 @@ _PROBS = "[" + ", ".join(f"((event_id * {s} + user_id) % 101 / 101::DOUBLE)" for
 @query(
     "second_best_class",
     sql("", f"""SELECT event_id, CAST(i AS BIGINT) AS profile_2, p[i] AS prob_2, ({_NAMES})[i] AS profile_desc2 FROM (
-      SELECT event_id, p, list_sort(list_transform(range(1, 7), k -> (-p[k], k)))[2][2] AS i FROM (SELECT event_id, {_PROBS} AS p FROM events))"""),
+      SELECT event_id, p, list_sort(list_transform(range(1, 7), lambda k: (-p[k], k)))[2][2] AS i FROM (SELECT event_id, {_PROBS} AS p FROM events))"""),
 )
 def second_best_class(spark, folder):
     second = t.class_probabilities(spark, folder).withColumn("s", weather.second_best(F.col("probabilities")))
