@@ -36,13 +36,13 @@ def _day_totals(spark, folder):
 @query("pca_scores")
 def pca_scores(spark, folder):
     wide = preparedness.wide_days(t.forecast_day(spark, folder))
-    return components.fit_components(wide, reshape.model_columns(wide)).scores(wide)
+    return components.fit_components(wide, reshape.vector_names()).scores(wide)
 
 
 @query("pca_variance")
 def pca_variance(spark, folder):
     wide = preparedness.wide_days(t.forecast_day(spark, folder))
-    return components.fit_components(wide, reshape.model_columns(wide)).variance(spark)
+    return components.fit_components(wide, reshape.vector_names()).variance(spark)
 
 
 RESTORATION_INPUTS = ["CALL_QTY", "CUST_QTY", "DOWNSTREAM_KVA_VAL", "DAY_FLAG", "Hour_Sin", "Hour_Cos", "weekend_flag"]
@@ -63,7 +63,7 @@ def etr_random_forest(spark, folder):
 @query("outage_count_model")
 def outage_count_model(spark, folder):
     wide = preparedness.wide_days(t.forecast_day(spark, folder))
-    scores = components.fit_components(wide, reshape.model_columns(wide)).scores(wide)
+    scores = components.fit_components(wide, reshape.vector_names()).scores(wide)
     training = scores.join(_day_totals(spark, folder).withColumnRenamed("Outages_recorded", "OUTAGES"), "Date")
     model = forecasts.fit_outage_count(training, [f"PC{i}" for i in range(1, 8)])
     return forecasts.forecast_outages(model, scores)

@@ -266,7 +266,7 @@ def duplicate_summary(spark, folder):
     sql("described", f"SELECT INCIDENT_DEVICE_ID, INCIDENT_ID, {', '.join(f'{e} AS {n}' for n, e in list(all_flag_sql().items())[:47])} FROM described"),
 )
 def keyword_flags(spark, folder):
-    found = flags.all_keyword_flags(F.col("CLUE_DESC"), F.col("CAUSE_DESC"), F.col("OCCURN_DESC"))
+    found = flags.all_keyword_flags()
     return _described(spark, folder).select("INCIDENT_DEVICE_ID", "INCIDENT_ID", *[c.alias(n) for n, c in found.items()])
 
 
@@ -275,7 +275,7 @@ def keyword_flags(spark, folder):
     sql("device", f"SELECT INCIDENT_ID, INCIDENT_DEVICE_ID, {', '.join(f'{e} AS {n}' for n, e in list(all_flag_sql().items())[47:])} FROM device"),
 )
 def priority_onehot(spark, folder):
-    found = flags.priority_flags(F.col("PRIORITY_VAL"))
+    found = flags.priority_flags("PRIORITY_VAL")
     return t.device(spark, folder).select("INCIDENT_ID", "INCIDENT_DEVICE_ID", *[c.alias(n) for n, c in found.items()])
 
 

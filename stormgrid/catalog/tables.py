@@ -158,21 +158,22 @@ def event_flags(spark: SparkSession, folder: str) -> DataFrame:
 FAMILIES = [name[:-3] for name in C.WEATHER_FEATURES if name.endswith("Min")]
 
 
-def _weather_features(cents_sum: Column, cents_max: Column, cents_min: Column, n: Column) -> dict[str, Column]:
-    mean, top, low = cents_sum / (n * 100.0), cents_max / 100.0, cents_min / 100.0
+def _weather_features() -> dict[str, str]:
+    """Feature expressions over the sum (cs), highest (cx), lowest (cn) and number (n) of cents."""
+    mean, top, low = "cs / (n * 100D)", "cx / 100D", "cn / 100D"
     columns = {}
     for i, family in enumerate(FAMILIES):
-        columns |= {f"{family}Avg": mean + i, f"{family}Max": top + i, f"{family}Min": low - i}
+        columns |= {f"{family}Avg": f"{mean} + {i}", f"{family}Max": f"{top} + {i}", f"{family}Min": f"{low} - {i}"}
     return columns | {
-        "precip": (cents_sum % 97) / 10.0,
-        "snowfall": (cents_sum % 31) / 10.0,
-        "radSolarAvg": mean * 2,
-        "radSolarMax": top * 2,
-        "radSolarTot": cents_sum / 100.0,
-        "radSolarMin": low * 2,
-        "windDir100mAvg": (cents_sum % 3600) / 10.0,
-        "windDir80mAvg": (cents_max % 3600) / 10.0,
-        "windDirAvg": (cents_sum % 3611) / 10.0,
+        "precip": "(cs % 97) / 10D",
+        "snowfall": "(cs % 31) / 10D",
+        "radSolarAvg": f"{mean} * 2",
+        "radSolarMax": f"{top} * 2",
+        "radSolarTot": "cs / 100D",
+        "radSolarMin": f"{low} * 2",
+        "windDir100mAvg": "(cs % 3600) / 10D",
+        "windDir80mAvg": "(cx % 3600) / 10D",
+        "windDirAvg": "(cs % 3611) / 10D",
     }
 
 
@@ -200,7 +201,6 @@ def _hours(n: int | Column) -> Column:
 def forecast_day(spark: SparkSession, folder: str) -> DataFrame:
     """Daily forecast per marker: the table the weather operators read."""
     days = _loads(_by_marker(spark, folder, "day"))
-    features = _weather_features(F.col("cs"), F.col("cx"), F.col("cn"), F.col("n"))
     places = F.get(F.array(*[F.struct(F.lit(a), F.lit(b)) for a, b in C.MARKERS]), (F.col("marker") - 1).cast("int"))
     return days.select(
         (F.col("moment") + _hours(5)).alias("timestamp"),
@@ -211,7 +211,7 @@ def forecast_day(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("moment") + _hours(F.col("load_no"))).alias("Job_Update_Time"),
         ((F.col("cx") % 1000) / 10.0).alias("precipProb"),
         ((F.col("cn") % 1000) / 10.0).alias("snowfallProb"),
-        *[c.alias(n) for n, c in features.items()],
+        *[F.expr(text).alias(name) for name, text in _weather_features().items()],
     )
 
 

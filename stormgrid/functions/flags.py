@@ -1,9 +1,10 @@
-"""Keyword, priority and text flags."""
+"""Keyword, priority and text flags.
 
-from __future__ import annotations
+The flag tables are long, so their columns are written as expression text: one
+call per column instead of one per operator.
+"""
 
-from functools import reduce
-from operator import and_, or_
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,20 +17,32 @@ def as_bit(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False)).cast("int")
 
 
-def keyword_flag(text: Column, any_of: list[str], none_of: list[str], ignore_case: bool) -> Column:
-    source = F.lower(text) if ignore_case else text
-    found = reduce(or_, [source.contains(word) for word in any_of])
-    if none_of:
-        found = reduce(and_, [~source.contains(word) for word in none_of], found)
-    return as_bit(found)
+def _keyword_sql(column: str, any_of: list[str], none_of: list[str], ignore_case: bool) -> str:
+    source = f"lower({column})" if ignore_case else column
+    found = " OR ".join(f"contains({source}, '{word}')" for word in any_of)
+    hidden = "".join(f" AND NOT contains({source}, '{word}')" for word in none_of)
+    return f"({found}){hidden}"
+
+
+def keyword_conditions(column: str, table: dict) -> dict[str, str]:
+    """One condition per row of a keyword table, over a description column."""
+    return {name: _keyword_sql(column, *rule) for name, rule in table.items()}
+
+
+def priority_conditions(column: str) -> dict[str, str]:
+    return {name: f"{column} = {value}" for name, value in zip(C.PRIORITY_FLAGS, C.PRIORITY_VALUES)}
 
 
-def keyword_flags(description: Column, table: dict) -> dict[str, Column]:
-    """One 0/1 column per row of a keyword table; a missing description gives 0."""
-    return {name: keyword_flag(description, *rule) for name, rule in table.items()}
+def flag_columns(conditions: dict[str, str]) -> dict[str, Column]:
+    """One 0/1 column per condition; an unknown one gives 0."""
+    return {name: F.expr(f"CAST(coalesce({text}, false) AS INT)") for name, text in conditions.items()}
 
 
-def all_keyword_flags(clue: Column, cause: Column, occurrence: Column) -> dict[str, Column]:
+def keyword_flags(column: str, table: dict) -> dict[str, Column]:
+    return flag_columns(keyword_conditions(column, table))
+
+
+def all_keyword_flags(clue: str = "CLUE_DESC", cause: str = "CAUSE_DESC", occurrence: str = "OCCURN_DESC") -> dict[str, Column]:
     return {
         **keyword_flags(clue, C.CLUE_KEYWORDS),
         **keyword_flags(cause, C.CAUSE_KEYWORDS),
@@ -37,37 +50,31 @@ def all_keyword_flags(clue: Column, cause: Column, occurrence: Column) -> dict[s
     }
 
 
-def pack(columns: list[Column]) -> Column:
-    """0/1 columns as the bits of one number, the first in the lowest bit."""
-    bits = [F.shiftleft(column.cast("bigint"), i) for i, column in enumerate(columns)]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+def priority_flags(column: str = "PRIORITY_VAL") -> dict[str, Column]:
+    return flag_columns(priority_conditions(column))
 
 
-def unpack(mask: Column, names: list[str]) -> dict[str, Column]:
-    """The 0/1 columns of a packed number; a missing one has no bit set."""
-    known = F.coalesce(mask, F.lit(0).cast("bigint"))
-    return {name: F.shiftright(known, i).bitwiseAND(F.lit(1).cast("bigint")).cast("int") for i, name in enumerate(names)}
+def pack(conditions: dict[str, str]) -> Column:
+    """Conditions as the bits of one number, the first in the lowest bit."""
+    return F.expr(" | ".join(f"IF(coalesce({text}, false), {1 << i}L, 0L)" for i, text in enumerate(conditions.values())))
 
 
-def priority_flags(priority: Column) -> dict[str, Column]:
-    return {name: as_bit(priority == value) for name, value in zip(C.PRIORITY_FLAGS, C.PRIORITY_VALUES)}
+def unpack(mask: str, names: list[str]) -> dict[str, Column]:
+    """The 0/1 columns of a packed number; a missing one has no bit set."""
+    return {name: F.expr(f"CAST(shiftright(coalesce({mask}, 0L), {i}) & 1L AS INT)") for i, name in enumerate(names)}
 
 
-def flag_text(flag: Column) -> Column:
+def flags_to_text(df: DataFrame, names: list[str] = C.TEXT_FLAGS) -> DataFrame:
     """1 -> 'True', 0 -> 'False', anything else -> null."""
-    return F.when(flag == 1, "True").when(flag == 0, "False")
-
-
-def flags_to_text(df: DataFrame, flags: list[str] = C.TEXT_FLAGS) -> DataFrame:
-    return df.withColumns({name: flag_text(F.col(name)) for name in flags})
+    return df.withColumns({name: F.expr(f"CASE {name} WHEN 1 THEN 'True' WHEN 0 THEN 'False' END") for name in names})
 
 
 def model_indicators(df: DataFrame) -> DataFrame:
     """0/1 inputs of the restoration model taken from the text flags and the city."""
-    columns = {f"{name}_False": as_bit(F.col(name) == "False") for name in C.INDICATORS_FALSE}
-    columns |= {f"{name}_True": as_bit(F.col(name) == "True") for name in C.INDICATORS_TRUE}
-    columns["CITY_NAM_NO_CITY"] = as_bit(F.col("CITY_NAM") == C.NO_CITY)
-    return df.withColumns(columns)
+    conditions = {f"{name}_False": f"{name} = 'False'" for name in C.INDICATORS_FALSE}
+    conditions |= {f"{name}_True": f"{name} = 'True'" for name in C.INDICATORS_TRUE}
+    conditions["CITY_NAM_NO_CITY"] = f"CITY_NAM = '{C.NO_CITY}'"
+    return df.withColumns(flag_columns(conditions))
 
 
 def outage_label(*keys: str) -> Column:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,7 +69,11 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     """Great-circle kilometres; null when any coordinate is."""
     p1, p2 = F.radians(lat1), F.radians(lat2)
     half_lat, half_lon = F.sin((p2 - p1) / 2), F.sin((F.radians(lon2) - F.radians(lon1)) / 2)
-    a = half_lat * half_lat + F.cos(p1) * F.cos(p2) * half_lon * half_lon
+    return haversine_of(half_lat * half_lat + F.cos(p1) * F.cos(p2) * half_lon * half_lon)
+
+
+def haversine_of(a: Column) -> Column:
+    """Kilometres from the haversine of the central angle."""
     return 2 * C.EARTH_RADIUS_KM * F.atan2(F.sqrt(a), F.sqrt(1 - a))
 
 
@@ -79,22 +86,30 @@ def zone(lat: Column, lon: Column) -> Column:
     )
 
 
-def nearest_point(lat: Column, lon: Column, points: list[tuple[float, float]]) -> Column:
-    """Struct (distance in km, 1-based index) of the nearest of a fixed, short list of points.
+def nearest_point(lat: str, lon: str, points: list[tuple[float, float]]) -> Column:
+    """Struct (haversine of the angle, 1-based index) of the nearest of a fixed, short list of points.
 
-    The list is a literal of the plan, so no row moves; a tie goes to the lowest index.
+    The list is a literal of the plan, so no row moves. Angles are compared by their
+    haversine, which grows with the distance; a tie goes to the lowest index.
     """
-    candidates = [
-        F.struct(haversine_km(lat, lon, F.lit(p_lat), F.lit(p_lon)).alias("km"), F.lit(i).alias("index"))
-        for i, (p_lat, p_lon) in enumerate(points, start=1)
-    ]
-    return F.when(lat.isNotNull() & lon.isNotNull(), F.least(*candidates))
+    def candidate(i: int, p_lat: float, p_lon: float) -> str:
+        half_lat = f"sin((radians({p_lat}D) - radians({lat})) / 2)"
+        half_lon = f"sin((radians({p_lon}D) - radians({lon})) / 2)"
+        a = f"{half_lat} * {half_lat} + cos(radians({lat})) * cos(radians({p_lat}D)) * {half_lon} * {half_lon}"
+        return f"named_struct('a', {a}, 'index', {i})"
+
+    return F.expr(f"least({', '.join(candidate(i, *p) for i, p in enumerate(points, start=1))})")
 
 
 # ------------------------------------------------------------------ ellipsoidal miles
+# The Arrow functions travel to the workers by value, so these need no installed package there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+WGS84_A, WGS84_F, METERS_PER_MILE = C.WGS84_A, C.WGS84_F, C.METERS_PER_MILE
+
+
 def _vincenty_step(lam, L, u1, u2):
     """One fixed-point step of the inverse problem; returns the new lambda and the sphere terms."""
-    f = C.WGS84_F
+    f = WGS84_F
     s1, c1, s2, c2 = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
     sin_s = np.hypot(c2 * np.sin(lam), c1 * s2 - s1 * c2 * np.cos(lam))
     cos_s = s1 * s2 + c1 * c2 * np.cos(lam)
@@ -114,7 +129,7 @@ def geodesic_miles_array(lat1, lon1, lat2, lon2, steps: int = 200) -> np.ndarray
     where the iteration has no fixed point, also give NaN.
     """
     lat1, lon1, lat2, lon2 = np.broadcast_arrays(*(np.asarray(v, dtype="float64") for v in (lat1, lon1, lat2, lon2)))
-    f, a = C.WGS84_F, C.WGS84_A
+    f, a = WGS84_F, WGS84_A
     b = a * (1 - f)
     with np.errstate(invalid="ignore", divide="ignore"):
         u1, u2 = np.arctan((1 - f) * np.tan(np.radians(lat1))), np.arctan((1 - f) * np.tan(np.radians(lat2)))
@@ -132,7 +147,7 @@ def geodesic_miles_array(lat1, lon1, lat2, lon2, steps: int = 200) -> np.ndarray
         big_b = w / 1024 * (256 + w * (-128 + w * (74 - 47 * w)))
         inner = cos_s * (2 * cos_2m**2 - 1) - big_b / 6 * cos_2m * (4 * sin_s**2 - 3) * (4 * cos_2m**2 - 3)
         shift = big_b * sin_s * (cos_2m + big_b / 4 * inner)
-        miles = b * big_a * (sigma - shift) / C.METERS_PER_MILE
+        miles = b * big_a * (sigma - shift) / METERS_PER_MILE
         return np.where(settled & (np.abs(lam) <= np.pi), miles, np.nan)
 
 

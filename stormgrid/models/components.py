@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.feature import PCA, PCAModel, StandardScaler, StandardScalerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +20,13 @@ def zscores(df: DataFrame, columns: list[str], reference: DataFrame | None = Non
     return df.crossJoin(F.broadcast(stats)).select(*[scaled.get(c, F.col(c)).alias(c) for c in df.columns])  # one row
 
 
+def as_vectors(df: DataFrame, features: list[str]) -> DataFrame:
+    """`_raw` vector of the features: one array column, or columns taken by name."""
+    if "features" in df.columns:
+        return df.withColumn("_raw", array_to_vector("features"))
+    return VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="skip").transform(df)
+
+
 @dataclass(frozen=True)
 class ComponentModel:
     features: list[str]
@@ -28,9 +35,8 @@ class ComponentModel:
     signs: list[float]
 
     def scores(self, df: DataFrame, key: str = "Date") -> DataFrame:
-        """PC1..PCk of every row; features are taken by name."""
-        vector = VectorAssembler(inputCols=self.features, outputCol="_raw", handleInvalid="skip").transform(df)
-        scored = self.pca.transform(self.scaler.transform(vector))
+        """PC1..PCk of every row."""
+        scored = self.pca.transform(self.scaler.transform(as_vectors(df, self.features)))
         values = vector_to_array("_pc")
         return scored.select(key, *[(values[i] * sign).alias(f"PC{i + 1}") for i, sign in enumerate(self.signs)])
 
@@ -43,8 +49,12 @@ class ComponentModel:
 
 
 def fit_components(df: DataFrame, features: list[str], k: int = COMPONENTS) -> ComponentModel:
-    """Fits scaler and components; the largest loading of each component is made positive."""
-    vector = VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="skip").transform(df).select("_raw")
+    """Fits scaler and components; the largest loading of each component is made positive.
+
+    The covariance is a features x features sum over all rows: its size does not
+    depend on the number of days.
+    """
+    vector = as_vectors(df, features).select("_raw")
     scaler = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True).fit(vector)
     pca = PCA(k=k, inputCol="_scaled", outputCol="_pc").fit(scaler.transform(vector))
     loadings = pca.pc.toArray()

@@ -50,7 +50,7 @@ MASKS = {
 
 def flag_aggregates() -> list[Column]:
     """Bits set on any row of the group: four numbers travel instead of 51 flags."""
-    priority = flags.pack(list(flags.priority_flags(F.col("PRIORITY_VAL")).values()))
+    priority = flags.pack(flags.priority_conditions("PRIORITY_VAL"))
     packed = [F.bit_or(name).alias(name) for name in MASKS if name != "PRIORITY_MASK"]
     return [*packed, F.bit_or(priority).alias("PRIORITY_MASK")]
 
@@ -59,7 +59,7 @@ def with_flags(df: DataFrame) -> DataFrame:
     """One 0/1 column per flag in place of the packed numbers."""
     columns = {}
     for mask, names in MASKS.items():
-        columns |= flags.unpack(F.col(mask), names)
+        columns |= flags.unpack(mask, names)
     return df.withColumns(columns).drop(*MASKS)
 
 

@@ -43,7 +43,7 @@ def with_flag_masks(df: DataFrame, clues: DataFrame, occurrences: DataFrame, cau
         (occurrences, "OCCURN_CD", "OCCURN_DESC", C.OCCURRENCE_KEYWORDS, "OCCURN_MASK"),
         (causes, "CAUSE_CD", "CAUSE_DESC", C.CAUSE_KEYWORDS, "CAUSE_MASK"),
     ):
-        packed = flags.pack(list(flags.keyword_flags(F.col(desc), table).values()))
+        packed = flags.pack(flags.keyword_conditions(desc, table))
         df = df.join(codes.groupBy(code).agg(F.bit_or(packed).alias(mask)), code, "left")
     return df
 
@@ -60,11 +60,10 @@ def with_coordinates(outages: DataFrame, location: DataFrame) -> DataFrame:
 
 
 def with_nearest_marker(df: DataFrame, markers: list[tuple[float, float]] = C.MARKERS) -> DataFrame:
-    nearest = geo.nearest_point(F.col("LAT"), F.col("LONG"), markers)
-    return df.withColumn("_near", nearest).withColumns(
+    return df.withColumn("_near", geo.nearest_point("LAT", "LONG", markers)).withColumns(
         {
-            "Min_Distance": F.col("_near.km"),
-            "Marker_Location": F.concat(F.lit("Marker "), F.col("_near.index").cast("string")),
+            "Min_Distance": geo.haversine_of(F.col("_near.a")),
+            "Marker_Location": F.expr("IF(_near.a IS NOT NULL, concat('Marker ', _near.index), NULL)"),
         }
     ).drop("_near")
 

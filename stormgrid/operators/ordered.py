@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stormgrid.operators.latest import pick_one
 from stormgrid.session import materialize
 
 # A value is hot when it holds at least this share of all rows: 1/share values at most.
@@ -19,9 +20,12 @@ SALTS = 64
 
 
 def runs(df: DataFrame, order: list[Column], partitions: int | None = None) -> DataFrame:
-    """Rows with the number (`_run`) of the contiguous run of the order they belong to."""
-    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return materialize(df.repartitionByRange(count, *order).withColumn("_run", F.spark_partition_id()))
+    """Rows with the number (`_run`) of the contiguous run of the order they belong to.
+
+    Without a given number, adaptive execution merges neighbouring runs to its target size.
+    """
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    return materialize(ranged.withColumn("_run", F.spark_partition_id()))
 
 
 def _before(summary: DataFrame, columns: dict[str, Column]) -> DataFrame:
@@ -102,12 +106,10 @@ def forward_fill(df: DataFrame, columns: list[str], order: list[str], partitions
     keys = [F.col(c).asc() for c in order]
     laid_out = runs(df, keys, partitions)
     upto = Window.partitionBy("_run").orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # Positional names: a filled column may itself be part of the order.
-    position = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)]).alias("at")
-    newest = {c: F.max(F.when(F.col(c).isNotNull(), F.struct(position, F.col(c).alias("value"))))["value"] for c in columns}
-    summary = laid_out.groupBy("_run").agg(*[v.alias(c) for c, v in newest.items()])
-    carried = _before(summary, {f"_carry_{c}": F.last(c, ignorenulls=True) for c in columns})
     local = laid_out.withColumns({f"_local_{c}": F.last(c, ignorenulls=True).over(upto) for c in columns})
+    # What the last row of a run knows is what the run hands on.
+    summary = pick_one(local, ["_run"], [F.col(c).desc() for c in order])
+    carried = _before(summary, {f"_carry_{c}": F.last(f"_local_{c}", ignorenulls=True) for c in columns})
     filled = {c: F.coalesce(f"_local_{c}", f"_carry_{c}").alias(c) for c in columns}
     return local.join(carried, "_run").select(*[filled.get(c, F.col(c)) for c in df.columns])
 

@@ -25,6 +25,29 @@ def marker_pivot(df: DataFrame, features: list[str] = C.WEATHER_FEATURES, marker
     return wide.where(F.col("MARKER1__rows") > 0).select("Date", *[f"{m}_{f}" for m in names for f in features])
 
 
+def marker_vectors(df: DataFrame, features: list[str] = C.WEATHER_FEATURES, markers: int = len(C.MARKERS)) -> DataFrame:
+    """The same wide row as one array per day, marker after marker, for the model.
+
+    Takes one row per day and marker, so a day gathers at most `markers` short arrays.
+    Days with a missing marker or value are left out.
+    """
+    long = df.select(
+        F.to_date("timestamp").alias("Date"),
+        F.regexp_extract(F.upper(weather.marker_key(F.col("Location"))), r"^MARKER(\d+)$", 1).try_cast("int").alias("_marker"),
+        F.array(*features).alias("_values"),
+    ).where(F.col("_marker").between(1, markers))
+    one = long.groupBy("Date", "_marker").agg(F.first("_values").alias("_values"))
+    days = one.groupBy("Date").agg(F.sort_array(F.collect_list(F.struct("_marker", "_values"))).alias("_all"))
+    wide = days.select("Date", F.flatten("_all._values").alias("features"))
+    complete = (F.size("features") == markers * len(features)) & ~F.exists("features", lambda v: v.isNull() | F.isnan(v))
+    return wide.where(complete)
+
+
+def vector_names(features: list[str] = C.WEATHER_FEATURES, markers: int = len(C.MARKERS)) -> list[str]:
+    """Names of the positions of `marker_vectors`."""
+    return [f"MARKER{i}_{f}" for i in range(1, markers + 1) for f in features]
+
+
 def model_columns(df: DataFrame) -> list[str]:
     """Columns that take part in standardising and components."""
     left_out = set(C.COMPONENT_LABELS)

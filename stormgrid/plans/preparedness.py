@@ -3,29 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-
 from pyspark.sql import functions as F
 
 from stormgrid import constants as C
 from stormgrid.models import components, forecasts
 from stormgrid.operators import aggregate, joins, latest, reshape
+from stormgrid.session import materialize
 
 
 def wide_days(weather: DataFrame, features: list[str] = C.WEATHER_FEATURES) -> DataFrame:
-    return reshape.marker_pivot(latest.latest_forecasts(weather), features)
+    """Model rows (one per day, so never more than the calendar), stored because fitting reads them repeatedly."""
+    return materialize(reshape.marker_vectors(latest.latest_forecasts(weather), features))
 
 
 def customer_days(weather: DataFrame) -> DataFrame:
     """The day roll-up reduced to the inputs of the customer model."""
     days = latest.latest_forecasts(weather).withColumn("Date", F.to_date("timestamp")).dropna(subset=C.ROLLUP_FEATURES)
-    return aggregate.weather_day_rollup(days).select("Date", *C.CUSTOMER_MODEL_FEATURES)
+    return materialize(aggregate.weather_day_rollup(days).select("Date", *C.CUSTOMER_MODEL_FEATURES))
 
 
 def expected_days(history: DataFrame, actuals: DataFrame, forecast: DataFrame, today, features: list[str] = C.WEATHER_FEATURES) -> DataFrame:
     """Both forecasts with their bands, trained on past weather and day totals."""
     past = wide_days(history, features)
-    model = components.fit_components(past, reshape.model_columns(past))
-    totals = actuals.withColumnRenamed("Outages_recorded", "OUTAGES")
+    model = components.fit_components(past, reshape.vector_names(features))
+    totals = materialize(actuals.withColumnRenamed("Outages_recorded", "OUTAGES"))
     scored = model.scores(past).join(totals.select("Date", "OUTAGES"), "Date")
     names = [f"PC{i + 1}" for i in range(len(model.signs))]
     count_model = forecasts.fit_outage_count(scored, names)

@@ -11,6 +11,7 @@ from stormgrid.operators import aggregate, clean, joins, priority
 from stormgrid.operators.latest import keep_newest, latest_forecasts
 from stormgrid.operators.ordered import forward_fill, rank_within_day
 from stormgrid.operators.trailing import known_outages, trailing_counts
+from stormgrid.session import materialize
 
 PUBLISHED = [
     "OUTAGE_ID", "INCIDENT_ID", "STRCTUR_NO", "CIRCT_ID", "DNI_EQUIP_TYPE", "Creation_Time",
@@ -25,8 +26,11 @@ def outage_table(device: DataFrame, location: DataFrame, clues: DataFrame, occur
 
 
 def located_outages(outages: DataFrame, location: DataFrame, run_ts: Column | None = None) -> DataFrame:
-    """Adds zone, rank within the day, filled coordinates, weather marker and dispatch area."""
-    placed = joins.with_coordinates(outages, location)
+    """Adds zone, rank within the day, filled coordinates, weather marker and dispatch area.
+
+    The placed outages are read more than once, so they are stored first.
+    """
+    placed = materialize(joins.with_coordinates(outages, location))
     if run_ts is not None:
         placed = placed.withColumn("INSERTION_TIME", times.insertion_stamp(run_ts))
     ranked = rank_within_day(placed, "CREATION_DATETIME", "RANK_SUBSEQUENT_OUTAGES")
@@ -43,16 +47,18 @@ def curated_outages(outages: DataFrame, predictions: DataFrame, counters: DataFr
     """Open, not yet predicted outages with queue positions, counters and trailing counts.
 
     Returns them with the running daily counters, which the caller stores for the next run.
+    Open and fresh outages are each read by several operators, so they are stored once.
     """
-    open_outages = priority.by_distance(priority.by_customers(clean.still_out(outages)))
-    fresh = joins.not_yet_predicted(open_outages, predictions)
+    open_outages = materialize(clean.still_out(outages))
+    queued = priority.by_distance(materialize(priority.by_customers(open_outages)))
+    fresh = materialize(joins.not_yet_predicted(queued, predictions))
     batch = aggregate.daily_counters(fresh)
     running = batch if counters is None else aggregate.merge_counters(counters, batch)
     counted = fresh.withColumn("Date", F.to_date("CREATION_DATETIME")).join(running, "Date", "left").drop("Date")
     worded = flags.flags_to_text(counted)
     gaps = [c for c in worded.columns if c not in [*C.GRAIN, "OUTAGE_ID", "CREATION_DATETIME"]]
     filled = forward_fill(worded, gaps, ["CREATION_DATETIME", *C.GRAIN])
-    filled = filled.withColumn("CITY_NAM", F.coalesce("CITY_NAM", F.lit(C.NO_CITY)))
+    filled = materialize(filled.withColumn("CITY_NAM", F.coalesce("CITY_NAM", F.lit(C.NO_CITY))))
     recent = predictions.select("OUTAGE_ID", times.parse_timestamp(F.col("Creation_Time"), "yyyy/MM/dd HH:mm:ss").alias("CREATION_DATETIME"))
     if today is not None:
         recent = recent.where(F.col("CREATION_DATETIME") >= F.date_sub(F.lit(today).cast("date"), 2).cast("timestamp"))

@@ -20,6 +20,8 @@ def build_session(app: str = "stormgrid", cpus: int | str = "*", shuffle_partiti
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("STORMGRID_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        # Recording the call site of every column operation costs more than planning itself.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
