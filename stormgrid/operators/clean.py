@@ -12,7 +12,7 @@ from stormgrid import constants as C
 
 def drop_junk_columns(df: DataFrame, pattern: str = C.JUNK_COLUMNS) -> DataFrame:
     """Leaves out index columns that writers add to CSV files."""
-    return df.select([name for name in df.columns if not re.search(pattern, name)])
+    return df.drop(*[name for name in df.columns if re.search(pattern, name)])
 
 
 def underscore_names(df: DataFrame) -> DataFrame:
