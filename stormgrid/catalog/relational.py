@@ -266,8 +266,12 @@ def duplicate_summary(spark, folder):
     sql("described", f"SELECT INCIDENT_DEVICE_ID, INCIDENT_ID, {', '.join(f'{e} AS {n}' for n, e in list(all_flag_sql().items())[:47])} FROM described"),
 )
 def keyword_flags(spark, folder):
-    found = flags.all_keyword_flags()
-    return _described(spark, folder).select("INCIDENT_DEVICE_ID", "INCIDENT_ID", *[c.alias(n) for n, c in found.items()])
+    """Flags are found once per code and travel to the rows as packed numbers."""
+    masked = joins.with_flag_masks(
+        _clean_live(spark, folder), t.clue_map(spark, folder), t.occurrence_map(spark, folder), t.cause_map(spark, folder)
+    )
+    masked = masked.select("INCIDENT_DEVICE_ID", "INCIDENT_ID", *aggregate.KEYWORD_MASKS)
+    return flags.unpack(masked, aggregate.KEYWORD_MASKS)
 
 
 @query(

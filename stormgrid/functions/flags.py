@@ -59,9 +59,15 @@ def pack(conditions: dict[str, str]) -> Column:
     return F.expr(" | ".join(f"IF(coalesce({text}, false), {1 << i}L, 0L)" for i, text in enumerate(conditions.values())))
 
 
-def unpack(mask: str, names: list[str]) -> dict[str, Column]:
-    """The 0/1 columns of a packed number; a missing one has no bit set."""
-    return {name: F.expr(f"CAST(shiftright(coalesce({mask}, 0L), {i}) & 1L AS INT)") for i, name in enumerate(names)}
+def unpack(df: DataFrame, masks: dict[str, list[str]]) -> DataFrame:
+    """0/1 columns in place of packed numbers; a missing number has no bit set.
+
+    The default is filled in once per number: the generated code of fifty columns has
+    to stay short enough for the JVM to compile it.
+    """
+    known = df.withColumns({mask: F.coalesce(mask, F.lit(0).cast("bigint")) for mask in masks})
+    bits = {name: F.expr(f"CAST(getbit({mask}, {i}) AS INT)") for mask, names in masks.items() for i, name in enumerate(names)}
+    return known.withColumns(bits).drop(*masks)
 
 
 def flags_to_text(df: DataFrame, names: list[str] = C.TEXT_FLAGS) -> DataFrame:

@@ -40,29 +40,21 @@ def city_aggregate(order: str = "INCIDENT_DEVICE_ID") -> Column:
     return F.coalesce(first, F.lit(C.NO_CITY)).alias("CITY_NAM")
 
 
-MASKS = {
+KEYWORD_MASKS = {
     "CLUE_MASK": list(C.CLUE_KEYWORDS),
     "CAUSE_MASK": list(C.CAUSE_KEYWORDS),
     "OCCURN_MASK": list(C.OCCURRENCE_KEYWORDS),
-    "PRIORITY_MASK": C.PRIORITY_FLAGS,
 }
+MASKS = KEYWORD_MASKS | {"PRIORITY_MASK": C.PRIORITY_FLAGS}
 
 
 def flag_aggregates() -> list[Column]:
     """Bits set on any row of the group: four numbers travel instead of 51 flags."""
     priority = flags.pack(flags.priority_conditions("PRIORITY_VAL"))
-    packed = [F.bit_or(name).alias(name) for name in MASKS if name != "PRIORITY_MASK"]
+    packed = [F.bit_or(name).alias(name) for name in KEYWORD_MASKS]
     return [*packed, F.bit_or(priority).alias("PRIORITY_MASK")]
 
 
-def with_flags(df: DataFrame) -> DataFrame:
-    """One 0/1 column per flag in place of the packed numbers."""
-    columns = {}
-    for mask, names in MASKS.items():
-        columns |= flags.unpack(mask, names)
-    return df.withColumns(columns).drop(*MASKS)
-
-
 def outage_grain(df: DataFrame) -> DataFrame:
     """Live feed: quantities and extremes per outage."""
     return with_labels(_grain(df).agg(*numeric_aggregates()))
@@ -87,7 +79,7 @@ def facility_grain(df: DataFrame) -> DataFrame:
 
 def outage_flags(df: DataFrame) -> DataFrame:
     """Any-of flags per outage, from rows with packed flags."""
-    return with_flags(_grain(df).agg(*flag_aggregates()))
+    return flags.unpack(_grain(df).agg(*flag_aggregates()), MASKS)
 
 
 def outage_cities(df: DataFrame) -> DataFrame:
@@ -96,7 +88,8 @@ def outage_cities(df: DataFrame) -> DataFrame:
 
 def outage_table(df: DataFrame) -> DataFrame:
     """Quantities, flags and city per outage in a single aggregation (one shuffle)."""
-    table = with_flags(with_labels(_grain(df).agg(*numeric_aggregates(), *flag_aggregates(), city_aggregate())))
+    table = _grain(df).agg(*numeric_aggregates(), *flag_aggregates(), city_aggregate())
+    table = flags.unpack(with_labels(table), MASKS)
     created = F.col("CREATION_DATETIME")
     return table.withColumns(
         {"DAY_FLAG": times.day_flag(created), "Hour_Sin": times.hour_sin(created), "Hour_Cos": times.hour_cos(created)}

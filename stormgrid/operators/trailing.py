@@ -30,9 +30,10 @@ def trailing_counts(
 ) -> DataFrame:
     """`Outages_in_last_{k}hr` per probe: events at most k hours and at least a second earlier.
 
-    Times are reduced to one row per second before any window runs, so a day is at
-    most 86 400 rows plus the hours carried over from the day before, however many
-    outages a storm brings. The counts go back to the probes by second.
+    Times are reduced to one row per second before any window runs, so a day holds at
+    most 86 400 seconds, their questions, and the hours carried over from the day
+    before, however many outages a storm brings. The counts go back to the probes by
+    second.
     """
     second = times.epoch(F.col(ts)).alias("_sec")
     first_seen = probes.groupBy(key).agg(F.min(ts).alias(ts)).select(key, ts, second)
@@ -46,13 +47,20 @@ def trailing_counts(
         return F.floor(sec / DAY)
 
     span = hours * 3600
-    spread = seconds.withColumn("_home", day(F.col("_sec"))).withColumn(
-        "_day", F.explode(F.sequence(day(F.col("_sec")), day(F.col("_sec") + span)))
+    # Running totals answer every question: events in (t - k h, t) = total(t - 1) - total(t - k h - 1).
+    # Sliding frames would add up each of their rows again for every second.
+    totals = seconds.where("_events > 0").select(
+        F.explode(F.sequence(day(F.col("_sec")), day(F.col("_sec") + span))).alias("_day"), F.col("_sec").alias("_at"), "_events"
     )
-    ordered = Window.partitionBy("_day").orderBy("_sec")
-    counts = {
-        f"Outages_in_last_{k}hr": F.coalesce(F.sum("_events").over(ordered.rangeBetween(-3600 * k, -1)), F.lit(0))
-        for k in range(1, hours + 1)
-    }
-    per_second = spread.withColumns(counts).where("_day = _home AND _n > 0").select("_sec", "_n", *counts)
-    return attach_by_value(first_seen, per_second, "_sec").drop("_sec")
+    moments = [F.struct(F.lit(k).alias("k"), (F.col("_sec") - (3600 * k + 1)).alias("at")) for k in range(hours + 1)]
+    asked = seconds.where("_n > 0").select(day(F.col("_sec")).alias("_day"), "_sec", "_n", F.explode(F.array(*moments)).alias("_q"))
+    points = asked.select("_day", F.col("_q.at").alias("_at"), "_sec", "_n", F.col("_q.k").alias("_k"))
+    running = totals.unionByName(points, allowMissingColumns=True).withColumn(
+        "_total", F.coalesce(F.sum("_events").over(Window.partitionBy("_day").orderBy("_at")), F.lit(0))
+    )
+    # Still partitioned by day, so this grouping needs no further shuffle.
+    gathered = running.where("_sec IS NOT NULL").groupBy("_day", "_sec").agg(
+        F.max("_n").alias("_n"), *[F.max(F.when(F.col("_k") == k, F.col("_total"))).alias(f"_t{k}") for k in range(hours + 1)]
+    )
+    counts = [(F.col("_t0") - F.col(f"_t{k}")).alias(f"Outages_in_last_{k}hr") for k in range(1, hours + 1)]
+    return attach_by_value(first_seen, gathered.select("_sec", "_n", *counts), "_sec").drop("_sec")
