@@ -36,7 +36,7 @@ def run(query, spark, folder: str) -> float:
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "1"))
     names = sys.argv[1:] or HEADLINE
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session("bench", cpus=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8)

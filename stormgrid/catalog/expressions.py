@@ -9,7 +9,8 @@ from stormgrid.catalog import tables as t
 from stormgrid.catalog.oracle import band, haversine, ladder, sql, stamp, text
 from stormgrid.catalog.registry import query
 from stormgrid.functions import geo, intervals, times
-from stormgrid.operators import joins, priority
+from stormgrid.operators import aggregate, joins, priority
+from stormgrid.plans import diagnostics
 
 
 @query(
@@ -63,10 +64,7 @@ _RULE = "CASE WHEN {0} <= 1440 THEN {0} + 45 WHEN {0} > 1440 THEN {0} + 360 END"
 
 @query("etr_business_rule", sql("timed", f"SELECT OUTAGE_ID, TTR, {_RULE.format('TTR')} AS Predicted_TTR FROM timed"))
 def etr_business_rule(spark, folder):
-    from stormgrid.operators.aggregate import with_restoration_minutes
-    from stormgrid.plans.diagnostics import facility_outages
-
-    timed = with_restoration_minutes(facility_outages(t.facility(spark, folder)))
+    timed = aggregate.with_restoration_minutes(diagnostics.facility_outages(t.facility(spark, folder)))
     return timed.select("OUTAGE_ID", "TTR", times.business_minutes(F.col("TTR")).alias("Predicted_TTR"))
 
 

@@ -49,9 +49,9 @@ def curated_outages(outages: DataFrame, predictions: DataFrame, counters: DataFr
     Returns them with the running daily counters, which the caller stores for the next run.
     Open and fresh outages are each read by several operators, so they are stored once.
     """
-    open_outages = materialize(clean.still_out(outages))
+    open_outages = clean.require_rows(materialize(clean.still_out(outages)), "all outages have power again")
     queued = priority.by_distance(materialize(priority.by_customers(open_outages)))
-    fresh = materialize(joins.not_yet_predicted(queued, predictions))
+    fresh = clean.require_rows(materialize(joins.not_yet_predicted(queued, predictions)), "all outages are predicted already")
     batch = aggregate.daily_counters(fresh)
     running = batch if counters is None else aggregate.merge_counters(counters, batch)
     counted = fresh.withColumn("Date", F.to_date("CREATION_DATETIME")).join(running, "Date", "left").drop("Date")

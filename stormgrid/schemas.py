@@ -7,8 +7,15 @@ from pyspark.sql import types as T
 from stormgrid import constants as C
 
 
+_TYPES = {
+    "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(),
+    "date": T.DateType(), "timestamp": T.TimestampType(),
+}
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """Schema from `name type` pairs; unlike DDL parsing this needs no running session."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in (pair.split() for pair in text.split(","))])
 
 
 INCIDENT_DEVICE = _struct(

@@ -58,6 +58,11 @@ def work_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later reads see the very same rows and partitions."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Stores a step as a table in the shared folder and reads it back.
+
+    Later reads see the very same rows, need only the columns they use, know the
+    size of the table, and survive the loss of any executor.
+    """
+    path = work_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
