@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stormgrid.functions import times
+from stormgrid.session import materialize
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -47,9 +48,8 @@ def write_day_slices(df: DataFrame, path: str, today) -> None:
 def publish(df: DataFrame, history_path: str, live_path: str) -> None:
     """One result into two tables: appended to the history, put in place of the live one.
 
-    The live table is read back from what was appended, so the plan runs once.
+    The result is stored first, so its plan runs once and both tables get the same rows.
     """
-    append(df, history_path)
-    newest = df.sparkSession.read.schema(df.schema).parquet(history_path)
-    last = newest.agg(F.max("Last_Updated").alias("_last"))
-    replace(newest.join(F.broadcast(last), F.col("Last_Updated") == F.col("_last")).drop("_last"), live_path)
+    stored = materialize(df)
+    append(stored, history_path)
+    replace(stored, live_path)
