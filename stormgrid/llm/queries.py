@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormgrid.llm import bpe
+from stormgrid.llm import bpe, decontaminate
 from stormgrid.llm.common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,37 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Digest of item ids as the contract states it: sorted as text, comma-joined.
+ITEMS_DIGEST = "sha2(array_join(array_sort(transform(items, i -> cast(i AS string))), ','), 256)"
+
+
+@query
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that lie inside ten-word windows of benchmark items."""
+    index = decontaminate.build_index(load(spark, folder, "documents"))
+    found = decontaminate.search(index, load(spark, folder, "benchmark"))
+    return found.select(
+        F.col("key").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.expr(ITEMS_DIGEST).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+SQL["op1_decontaminate"] = r"""
+WITH item AS (SELECT item_id, regexp_extract_all(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '\x00', ' ', 'g'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+doc AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item_win AS (SELECT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM item WHERE len(w) > 0)),
+size_of AS (SELECT DISTINCT n FROM item_win),
+doc_win AS (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, size_of WHERE len(w) >= n)),
+hit AS (SELECT d.r, d.i, d.n, b.item_id FROM doc_win d JOIN item_win b ON d.n = b.n AND d.s = b.s),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT r, i, n FROM hit)) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM (SELECT DISTINCT r, item_id FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN words USING (r) LEFT JOIN items USING (r)"""
+
+
 @query
 def op10_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
