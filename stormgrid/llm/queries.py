@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormgrid.llm import bpe, decontaminate
+from stormgrid.llm import bpe, decontaminate, idfile, simhash
 from stormgrid.llm.common import load
+from stormgrid.session import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -57,6 +58,25 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM doc LEFT JOIN words USING (r) LEFT JOIN items USING (r)"""
 
 
+@query
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document."""
+    found = simhash.near_duplicates(load(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: The id that ends each document.
+END_ID = 2
+
+
+@query
+def op7_id_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids, read back from the files they were written to, as digests."""
+    path = work_path(spark, "ids")
+    idfile.write(load(spark, folder, "documents").select("doc_id", "text"), path, word_vocabulary(), END_ID)
+    return idfile.read(spark, path).select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op10_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
