@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormgrid.llm import bpe, decontaminate, idfile, simhash
+from stormgrid.llm import bpe, decontaminate, idfile, rules, simhash, urlfilter
 from stormgrid.llm.common import load
 from stormgrid.session import work_path
 
@@ -58,6 +58,56 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM doc LEFT JOIN words USING (r) LEFT JOIN items USING (r)"""
 
 
+#: Given rules: verdict, host, path.
+GIVEN_RULES = [
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"),
+]
+
+
+@query
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page's url; a url's label is that of the document whose number ends its path."""
+    pages, labels = load(spark, folder, "pages").select("page_id", "url"), load(spark, folder, "labels")
+    number = F.expr(r"try_cast(regexp_extract(url, '://[^/?#]*/[a-z]+/([0-9]+)', 1) AS bigint)")
+    shown = pages.select("url", number.alias("doc_id")).join(labels, "doc_id")
+    labelled = shown.select("url", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    return urlfilter.judge(pages, GIVEN_RULES, labelled).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Measures and verdict of every document."""
+    judged = rules.judge(load(spark, folder, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+_IN_RANGE = " AND ".join(
+    f"({expression} {sign} {bound} OR n_words < {rule.from_words})"
+    for rule in rules.RULES
+    for sign, bound in ((">=", rule.low), ("<=", rule.high))
+    if bound is not None
+    for expression in [{
+        "mean_word_chars": "CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END", "symbol_ratio": "CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0 END",
+        "capital_ratio": "CASE WHEN word_chars > 0 THEN n_capitals / word_chars ELSE 0 END", "stop_word_ratio": "CASE WHEN n_words > 0 THEN n_stop / n_words ELSE 0 END",
+        "dup_line_ratio": "CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END",
+    }[rule.measure]]
+)
+SQL["op5_quality_rules"] = rf"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents),
+win AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM doc WHERE len(w) > 5)),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM win) WHERE n > 1),
+rep AS (SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM again) GROUP BY r),
+measured AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+  CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, len(regexp_extract_all(text, '\p{{Lu}}')) AS n_capitals,
+  len(list_filter(w, lambda x: list_contains([{", ".join("'" + x + "'" for x in rules.STOP_WORDS)}], lower(x)))) AS n_stop,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS held FROM doc),
+counted AS (SELECT *, len(held) AS n_lines, CAST(len(held) - len(list_distinct(held)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_rep FROM measured LEFT JOIN rep USING (r)),
+based AS (SELECT *, n_words < 10 OR 100 * n_rep > 20 * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_rep AS n_repeat_words, base_failed, NOT base_failed AND {_IN_RANGE} AS kept FROM based"""
+
+
 @query
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
