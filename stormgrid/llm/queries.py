@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormgrid.llm import bpe, decontaminate, idfile, rules, simhash, urlfilter
+from stormgrid.llm import bpe, decontaminate, idfile, perplexity, rules, simhash, urlfilter
 from stormgrid.llm.common import load
 from stormgrid.session import work_path
 
@@ -58,6 +58,13 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM doc LEFT JOIN words USING (r) LEFT JOIN items USING (r)"""
 
 
+@query
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Perplexity, bound and verdict of every document."""
+    judged = perplexity.classify(load(spark, folder, "documents"), load(spark, folder, "labels"))
+    return judged.select("doc_id", "lang", "n_tokens", "perplexity", "bound", "kept")
+
+
 #: Given rules: verdict, host, path.
 GIVEN_RULES = [
     ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"),
