@@ -81,4 +81,6 @@ def _arrow(kind: T.DataType) -> pa.DataType:
     }
     if isinstance(kind, T.ArrayType):
         return pa.list_(_arrow(kind.elementType))
+    if isinstance(kind, T.StructType):
+        return pa.struct([(f.name, _arrow(f.dataType)) for f in kind.fields])
     return simple[type(kind)]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormgrid.llm import bpe, decontaminate, idfile, perplexity, rules, simhash, urlfilter
+from stormgrid.llm import bpe, decontaminate, htmltext, idfile, licenses, perplexity, rules, simhash, urlfilter
 from stormgrid.llm.common import load
 from stormgrid.session import work_path
 
@@ -134,6 +134,18 @@ def op7_id_files(spark: SparkSession, folder: str) -> DataFrame:
     return idfile.read(spark, path).select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.extract(load(spark, folder, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and templates found in every document."""
+    return licenses.scan(load(spark, folder, "documents").select("doc_id", "text")).drop("matches")
+
+
 @query
 def op10_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
