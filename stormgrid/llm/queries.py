@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormgrid.llm import bpe, decontaminate, htmltext, idfile, licenses, perplexity, rules, simhash, urlfilter
+from stormgrid.llm import bpe, decontaminate, htmltext, idfile, licenses, maskedlm, perplexity, rules, simhash, urlfilter
 from stormgrid.llm.common import load
 from stormgrid.session import work_path
 
@@ -81,6 +81,13 @@ def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judge(pages, GIVEN_RULES, labelled).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op4_masked_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Masked pseudo-likelihood of every document under a network trained on the same corpus."""
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    return maskedlm.score(docs, *maskedlm.fit(docs))
+
+
 @query
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Measures and verdict of every document."""

@@ -176,14 +176,38 @@ def links(distinct: DataFrame, distance: int = DISTANCE, chunk: int = CHUNK) ->
     return pairs.mapInPandas(compare, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """All columns but the text, with `fingerprint` and `component_id` (smallest key reachable)."""
-    marked = materialize(fingerprints(docs.drop("component_id"), text, shingle))
+def classes(marked: DataFrame, key: str, distance: int) -> DataFrame:
+    """For each different fingerprint its component and the smallest key of the component."""
     distinct = materialize(marked.groupBy("fingerprint").agg(F.min(F.col(f"`{key}`")).alias("least")))
     label = components(materialize(links(distinct.select("fingerprint"), distance)))
-    # Only fingerprints with a link are in `label`; the class name is the least key of its fingerprints.
-    joined = distinct.join(label, distinct["fingerprint"] == label["node"]).select("fingerprint", "component", "least")
+    # Only fingerprints with a link are in `label`; a component's name is the least key of its fingerprints.
+    joined = materialize(distinct.join(label, distinct["fingerprint"] == label["node"]).select("fingerprint", "component", "least"))
     names = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    linked = materialize(joined.join(names, "component").select("fingerprint", "component_id"))
-    named = distinct.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("component_id", "least").alias("component_id"))
-    return marked.join(named, "fingerprint")
+    linked = materialize(joined.join(names, "component").select("fingerprint", "component", "component_id"))
+    return distinct.join(linked, "fingerprint", "left").select(
+        "fingerprint", F.coalesce("component", "fingerprint").alias("component"), F.coalesce("component_id", "least").alias("component_id")
+    )
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """All columns but the text, with `fingerprint` and `component_id` (smallest key reachable)."""
+    marked = materialize(fingerprints(docs.drop("component_id"), text, shingle))
+    return marked.join(classes(marked, key, distance).drop("component"), "fingerprint")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """One row of each component, all columns: that of the smallest key, of equal keys that of the smallest row.
+
+    Null keys come last. Rows travel by their fingerprint, key and hash; the texts
+    are read a second time and kept where those match, so no text is shuffled
+    beyond the join with the rows that stay.
+    """
+    print_of = materialize(fingerprints(docs.select(F.col(f"`{key}`").alias("k"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("h"), F.col(f"`{text}`").alias("t")), "t", shingle))
+    of = classes(print_of, "k", distance).select("fingerprint", "component")
+    order = F.struct(F.col("k").isNull().alias("none"), "k", "h")
+    # The least row of each fingerprint first, so a component of many copies is small before the join.
+    least = print_of.groupBy("fingerprint").agg(F.min(order).alias("o"))
+    stay = materialize(least.join(of, "fingerprint").groupBy("component").agg(F.min("o").alias("o")).select(F.col("o.h").alias("__h")))
+    hashed = docs.withColumn("__h", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    # Rows that are equal in every column share a hash; one of them stays.
+    return hashed.join(stay, "__h", "left_semi").dropDuplicates(["__h"]).drop("__h")
