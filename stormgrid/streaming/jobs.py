@@ -6,15 +6,17 @@ available files are used up, and keeps its progress under a checkpoint folder.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stormgrid import constants as C
 from stormgrid.operators import aggregate, joins
-from stormgrid.operators.latest import keep_newest
+from stormgrid.operators.latest import keep_newest, pick_one
 from stormgrid.operators.trailing import known_outages, trailing_counts
 
 
@@ -50,9 +52,41 @@ def write_batch(df: DataFrame, path: str, batch: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
-def newest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Current content: the row of each key from its latest batch."""
-    return keep_newest(spark.read.parquet(path), keys, ["batch"]).drop("batch")
+def read_batches(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+    """All batches, or those before a given one, so that a repeated batch does not see itself; none is an empty table."""
+    full = T.StructType([*(f for f in schema.fields if f.name != "batch"), T.StructField("batch", T.IntegerType())])
+    if before is not None and before <= 0:
+        return spark.createDataFrame([], full)
+    try:
+        rows = spark.read.schema(full).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], full)
+    return rows if before is None else rows.where(F.col("batch") < before)
+
+
+def claim(spark: SparkSession, out: str, checkpoint: str) -> None:
+    """Ties an output to the progress folder it began with.
+
+    Batches are numbered by the progress folder. A new one would begin at 0 again
+    and overwrite the history of the output, so it is refused.
+    """
+    owner = f"{out.rstrip('/')}-owner"
+    try:
+        held = spark.read.text(owner).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.text(owner)
+        return
+    if held != checkpoint:
+        raise ValueError(f"{out} belongs to the progress folder {held}, not to {checkpoint}")
+
+
+def newest_rows(spark: SparkSession, path: str, keys: list[str], by: list[str] | None = None) -> DataFrame:
+    """Current content: the row of each key from its latest batch, or the newest by given columns in whichever batch it came."""
+    return keep_newest(spark.read.parquet(path), keys, [*(by or []), "batch"]).drop("batch")
 
 
 def compact(spark: SparkSession, path: str, keys: list[str], target: str) -> None:
@@ -61,34 +95,77 @@ def compact(spark: SparkSession, path: str, keys: list[str], target: str) -> Non
 
 
 # ------------------------------------------------------------ jobs
-def daily_counts(stream: DataFrame, out: str, checkpoint: str, lateness: str = "2 days") -> None:
-    """Running daily counters. State of a day is dropped once it is `lateness` old."""
-    counters = (
-        stream.withWatermark("CREATION_DATETIME", lateness)
-        .groupBy(F.window("CREATION_DATETIME", "1 day").alias("_day"))
-        .agg(*[aggregate.total(flag).cast("bigint").alias(name) for name, flag in C.DAILY_COUNTERS.items()])
-        .select(F.to_date("_day.start").alias("Date"), *C.DAILY_COUNTERS)
-    )
-    run_each_batch(counters, lambda df, batch: write_batch(df, out, batch), checkpoint, "update")
+def daily_counts(stream: DataFrame, out: str, checkpoint: str) -> None:
+    """Running daily counters: each batch adds its sums to the newest earlier ones of the same dates.
 
+    A day counts however late its rows come; a repeated batch sees only the batches
+    before it, and so replaces itself. `newest_rows` by date is the current table.
+    """
+    spark = stream.sparkSession
+    claim(spark, out, checkpoint)
+
+    def handle(df: DataFrame, batch: int) -> None:
+        sums = aggregate.daily_counters(df)
+        before = keep_newest(read_batches(spark, out, sums.schema, before=batch), ["Date"], ["batch"])
+        held = before.select("Date", *[F.col(name).alias(f"_{name}") for name in C.DAILY_COUNTERS])
+        added = [(F.col(name) + F.coalesce(f"_{name}", F.lit(0))).alias(name) for name in C.DAILY_COUNTERS]
+        write_batch(sums.join(held, "Date", "left").select("Date", *added), out, batch)
+
+    run_each_batch(stream, handle, checkpoint)
 
-def not_yet_predicted(stream: DataFrame, predictions: DataFrame, out: str, checkpoint: str, lateness: str = "2 days") -> None:
-    """Outages without a prediction, each passed on once."""
-    fresh = joins.not_yet_predicted(stream, predictions)
-    once = fresh.withWatermark("CREATION_DATETIME", lateness).dropDuplicatesWithinWatermark(["OUTAGE_ID"])
-    append_stream(once, out, checkpoint)
+
+def not_yet_predicted(stream: DataFrame, predictions: DataFrame, out: str, checkpoint: str, key: str = "OUTAGE_ID", ts: str = "CREATION_DATETIME") -> None:
+    """Outages without a prediction, each passed on once, however old it is when it comes.
+
+    A batch leaves out the predicted ids and those that earlier batches passed on;
+    of several rows of one id within a batch the oldest passes.
+    """
+    spark = stream.sparkSession
+    claim(spark, out, checkpoint)
+
+    def handle(df: DataFrame, batch: int) -> None:
+        passed = read_batches(spark, out, df.schema, before=batch).select(key)
+        fresh = joins.not_yet_predicted(df, predictions).join(passed, key, "left_anti")
+        write_batch(pick_one(fresh, [key], [F.col(ts).asc_nulls_last()]).select(*df.columns), out, batch)
+
+    run_each_batch(stream, handle, checkpoint)
 
 
 def upsert_batches(stream: DataFrame, out: str, checkpoint: str, keys: list[str], by: list[str]) -> None:
     """Each batch's newest row per key, laid over the earlier batches."""
+    claim(stream.sparkSession, out, checkpoint)
     run_each_batch(stream, lambda df, batch: write_batch(keep_newest(df, keys, by), out, batch), checkpoint)
 
 
-def trailing_count_batches(stream: DataFrame, history: DataFrame, out: str, checkpoint: str, days: int = 2) -> None:
-    """Trailing-hour counts of each batch over itself and the last days of history."""
+def trailing_count_batches(stream: DataFrame, history: DataFrame, out: str, checkpoint: str, key: str = "OUTAGE_ID", ts: str = "CREATION_DATETIME", hours: int = C.TRAILING_HOURS) -> None:
+    """Trailing-hour counts that end at the answer for all rows at once.
+
+    The times of all outages so far are kept beside the output, by batch. A batch
+    counts again every outage of the days it can change: its own days, those on
+    which its outages stood before, and the days up to `hours` after. `newest_rows`
+    of the output is the current table.
+    """
+    spark = stream.sparkSession
+    claim(spark, out, checkpoint)
+    seen = f"{out.rstrip('/')}-seen"
+    reach = -(-hours // 24)
+
     def handle(df: DataFrame, batch: int) -> None:
-        first = df.agg(F.date_sub(F.to_date(F.min("CREATION_DATETIME")), days).cast("timestamp").alias("_from"))
-        recent = history.join(F.broadcast(first), F.col("CREATION_DATETIME") >= F.col("_from")).drop("_from")
-        write_batch(trailing_counts(df, known_outages(df, recent)), out, batch)
+        # A table of its own, so that neither the feed nor the sort is run again.
+        write_batch(df.select(key, ts), seen, batch)
+        now = spark.read.parquet(f"{seen}/batch={batch}")
+        known = read_batches(spark, seen, now.schema, before=batch + 1).select(key, ts)
+        moved = known.join(now.select(key).distinct(), key, "left_semi")
+        # At most one row for each day of the calendar.
+        touched = [r[0] for r in moved.select(F.to_date(ts).alias("day")).where("day IS NOT NULL").distinct().collect()]
+        days = sorted({day + dt.timedelta(days=i) for day in touched for i in range(reach + 1)})
+        around = sorted({day - dt.timedelta(days=i) for day in days for i in range(reach + 1)})
+        probes = known.where(F.to_date(ts).isin(days)).select(key).distinct() if days else known.limit(0).select(key)
+        near = known.unionByName(history.select(key, ts)).where(F.to_date(ts).isin(around)).select(key).distinct() if days else probes
+        # An outage has one time, wherever its rows stand, so all rows of the ids are asked.
+        events = known_outages(known.join(near, key, "left_semi"), history.join(near, key, "left_semi"))
+        unknown = now.where(F.col(ts).isNull()).select(key)
+        asked = known.join(probes.unionByName(unknown).distinct(), key, "left_semi")
+        write_batch(trailing_counts(asked, events, key, ts, hours), out, batch)
 
     run_each_batch(stream, handle, checkpoint)

@@ -1,10 +1,11 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from stormgrid import constants as C
 from stormgrid.operators import aggregate
-from stormgrid.operators.trailing import trailing_counts
+from stormgrid.operators.trailing import known_outages, trailing_counts
 from stormgrid.streaming import jobs
 
 FLAGS = list(C.DAILY_COUNTERS.values())
@@ -70,3 +71,59 @@ def test_trailing_batches_see_recent_history(spark, tmp_path, rows):
     batch = spark.read.parquet(feed).select("OUTAGE_ID", "CREATION_DATETIME")
     want = trailing_counts(batch, batch.unionByName(history))
     assert rows(spark.read.parquet(out).drop("batch")) == rows(want)
+
+
+def _feed(spark, folder, parts, schema="OUTAGE_ID string, CREATION_DATETIME timestamp, " + ", ".join(f"{f} int" for f in FLAGS)):
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+
+
+def _dealt(rows, ways):
+    """The same rows in one file, in several out of date order, and one row per file."""
+    return {1: [rows], 3: [rows[2::3], rows[::3], rows[1::3]], len(rows): [[r] for r in reversed(rows)]}[ways]
+
+
+def _outages():
+    first = dt.datetime(2024, 1, 10, 20)
+    times = [0, 1, 2.5, 3, 5, -120, 27, 11, 2.5]  # hours; one five days late, one the day after
+    return [(f"o{i}", first + dt.timedelta(hours=h), i % 2, 1, 0, 0, 1) for i, h in enumerate(times)]
+
+
+def test_late_days_count_in_any_batch(spark, tmp_path, rows):
+    want = rows(aggregate.daily_counters(spark.createDataFrame(_outages(), SCHEMA)))
+    for ways in (1, 3, 9):
+        feed, out = str(tmp_path / f"feed{ways}"), str(tmp_path / f"out{ways}")
+        _feed(spark, feed, _dealt(_outages(), ways))
+        jobs.daily_counts(_stream(spark, feed), out, str(tmp_path / f"progress{ways}"))
+        assert rows(jobs.newest_rows(spark, out, ["Date"]).select("Date", *C.DAILY_COUNTERS)) == want, ways
+
+
+def test_late_outages_pass_in_any_batch(spark, tmp_path):
+    predicted = spark.createDataFrame([("o3",)], "OUTAGE_ID string")
+    for ways in (1, 3, 9):
+        feed, out = str(tmp_path / f"feed{ways}"), str(tmp_path / f"out{ways}")
+        _feed(spark, feed, _dealt(_outages(), ways) + [_outages()[:2]])
+        jobs.not_yet_predicted(_stream(spark, feed), predicted, out, str(tmp_path / f"progress{ways}"))
+        assert sorted(r[0] for r in spark.read.parquet(out).select("OUTAGE_ID").collect()) == [f"o{i}" for i in range(9) if i != 3], ways
+
+
+def test_trailing_counts_do_not_depend_on_batches(spark, tmp_path, rows):
+    outages = [r[:2] for r in _outages()] + [("o1", dt.datetime(2024, 1, 10, 22, 30)), ("none", None)]  # one id moves
+    history = spark.createDataFrame([("o2", dt.datetime(2024, 1, 10, 19)), ("h", dt.datetime(2024, 1, 10, 21, 30)), ("old", dt.datetime(2023, 1, 1))], "OUTAGE_ID string, CREATION_DATETIME timestamp")
+    schema = "OUTAGE_ID string, CREATION_DATETIME timestamp"
+    whole = spark.createDataFrame(outages, schema)
+    want = rows(trailing_counts(whole, known_outages(whole, history)))
+    for ways in (1, 3, 11):
+        feed, out = str(tmp_path / f"feed{ways}"), str(tmp_path / f"out{ways}")
+        _feed(spark, feed, _dealt(outages, ways), schema)
+        jobs.trailing_count_batches(_stream(spark, feed), history, out, str(tmp_path / f"progress{ways}"))
+        assert rows(jobs.newest_rows(spark, out, ["OUTAGE_ID"])) == want, ways
+
+
+def test_another_progress_folder_is_refused(spark, tmp_path):
+    feed, out = str(tmp_path / "feed"), str(tmp_path / "out")
+    _land(spark, feed, 0)
+    jobs.daily_counts(_stream(spark, feed), out, str(tmp_path / "progress"))
+    jobs.daily_counts(_stream(spark, feed), out, str(tmp_path / "progress"))
+    with pytest.raises(ValueError):
+        jobs.daily_counts(_stream(spark, feed), out, str(tmp_path / "another"))
