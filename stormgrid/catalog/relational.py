@@ -120,7 +120,7 @@ def not_yet_predicted(spark, folder):
 
 _SIDES = {
     "a": "SELECT CAST(o_orderdate AS DATE) AS Date, o_orderpriority AS tag, count(*) AS orders_a FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL",
-    "b": "SELECT CAST(o_orderdate AS DATE) AS Date, o_orderpriority AS tag, count(*) AS orders_b FROM orders WHERE o_orderstatus = 'P' GROUP BY ALL",
+    "b": "SELECT CAST(o_orderdate AS DATE) AS Date, o_orderpriority AS tag, count(*) AS orders_b FROM orders WHERE o_orderstatus <> 'F' GROUP BY ALL",
 }
 
 
@@ -128,11 +128,12 @@ _SIDES = {
 def full_outer_all_common(spark, folder):
     orders = t.load(spark, folder, "orders")
 
-    def side(status, name):
+    def side(rows, name):
         keys = [F.to_date("o_orderdate").alias("Date"), F.col("o_orderpriority").alias("tag")]
-        return orders.where(F.col("o_orderstatus") == status).groupBy(*keys).agg(F.count("*").alias(name))
+        return orders.where(rows).groupBy(*keys).agg(F.count("*").alias(name))
 
-    return joins.full_outer_on_common(side("F", "orders_a"), side("P", "orders_b"))
+    finished = F.col("o_orderstatus") == "F"
+    return joins.full_outer_on_common(side(finished, "orders_a"), side(~finished, "orders_b"))
 
 
 # ---------------------------------------------------------------- aggregates

@@ -137,8 +137,10 @@ def geodesic_miles_array(lat1, lon1, lat2, lon2, steps: int = 200) -> np.ndarray
         lam, settled = L.copy(), np.zeros(L.shape, dtype=bool)
         for _ in range(steps):
             new, _terms = _vincenty_step(lam, L, u1, u2)
-            settled = np.abs(new - lam) < 1e-12
-            lam = new
+            done = np.abs(new - lam) < 1e-12
+            # A settled lane stands still, so a value never depends on the rest of its batch.
+            lam = np.where(settled, lam, new)
+            settled = settled | done
             if (settled | np.isnan(lam)).all():
                 break
         _, (sigma, sin_s, cos_s, cos2_a, cos_2m) = _vincenty_step(lam, L, u1, u2)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import PCA, PCAModel, StandardScaler, StandardScalerModel, VectorAssembler
+from pyspark.ml.feature import PCA, PCAModel, StandardScaler, StandardScalerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,10 +21,14 @@ def zscores(df: DataFrame, columns: list[str], reference: DataFrame | None = Non
 
 
 def as_vectors(df: DataFrame, features: list[str]) -> DataFrame:
-    """`_raw` vector of the features: one array column, or columns taken by name."""
-    if "features" in df.columns:
-        return df.withColumn("_raw", array_to_vector("features"))
-    return VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="skip").transform(df)
+    """`_raw` vector of the features, from one array column or columns taken by name, and whether none is missing (`_complete`)."""
+    values = F.col("features") if "features" in df.columns else F.array(*[F.col(f).cast("double") for f in features])
+    missing = lambda v: v.isNull() | F.isnan(v)
+    filled = F.transform(values, lambda v: F.when(missing(v), 0.0).otherwise(v))
+    # An array that is null or of another length lacks inputs as well.
+    whole = F.coalesce((F.size(values) == len(features)) & ~F.exists(values, missing), F.lit(False))
+    zeros = F.array_repeat(F.lit(0.0), len(features))
+    return df.withColumns({"_raw": array_to_vector(F.when(F.size(values) == len(features), filled).otherwise(zeros)), "_complete": whole})
 
 
 @dataclass(frozen=True)
@@ -35,10 +39,10 @@ class ComponentModel:
     signs: list[float]
 
     def scores(self, df: DataFrame, key: str = "Date") -> DataFrame:
-        """PC1..PCk of every row."""
+        """PC1..PCk of every row, null where an input is missing."""
         scored = self.pca.transform(self.scaler.transform(as_vectors(df, self.features)))
         values = vector_to_array("_pc")
-        return scored.select(key, *[(values[i] * sign).alias(f"PC{i + 1}") for i, sign in enumerate(self.signs)])
+        return scored.select(key, *[F.when(F.col("_complete"), values[i] * sign).alias(f"PC{i + 1}") for i, sign in enumerate(self.signs)])
 
     def variance(self, spark: SparkSession) -> DataFrame:
         """Explained share per component and the running percentage (k rows)."""
@@ -54,7 +58,7 @@ def fit_components(df: DataFrame, features: list[str], k: int = COMPONENTS) -> C
     The covariance is a features x features sum over all rows: its size does not
     depend on the number of days.
     """
-    vector = as_vectors(df, features).select("_raw")
+    vector = as_vectors(df, features).where("_complete").select("_raw")
     scaler = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True).fit(vector)
     pca = PCA(k=k, inputCol="_scaled", outputCol="_pc").fit(scaler.transform(vector))
     loadings = pca.pc.toArray()

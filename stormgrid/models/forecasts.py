@@ -10,14 +10,15 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import IndexToString, StringIndexer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stormgrid import constants as C
 from stormgrid.functions import intervals, weather
+from stormgrid.session import materialize
 
 SEED = 17
 
@@ -28,49 +29,64 @@ class Regression:
 
     model: PipelineModel
     inverse: str
+    features: list[str]
     knots: dict[str, list[float]] = field(default_factory=dict)
 
     def predict(self, df: DataFrame, output: str) -> DataFrame:
-        scored = self.model.transform(with_hinges(df, self.knots))
+        """Every row with its forecast, null where an input is missing."""
+        hinged = with_hinges(df, self.knots)
+        scored = self.model.transform(with_inputs(hinged, self.features))
         value = F.exp("_prediction") if self.inverse == "exp" else F.pow("_prediction", F.lit(3.0))
-        return scored.select(*df.columns, value.alias(output))
+        return scored.select(*df.columns, F.when(F.col("_complete"), value).alias(output))
+
+
+def with_inputs(df: DataFrame, features: list[str]) -> DataFrame:
+    """`_inputs` array of the features, missing ones as 0, and whether none is missing (`_complete`)."""
+    values = [F.col(f).cast("double") for f in features]
+    known = F.lit(True)
+    for v in values:
+        known = known & v.isNotNull() & ~F.isnan(v)
+    filled = F.array(*[F.when(v.isNull() | F.isnan(v), 0.0).otherwise(v) for v in values])
+    return df.withColumns({"_inputs": array_to_vector(filled), "_complete": known})
 
 
 def _fit(df: DataFrame, features: list[str], label: Column, estimator, inverse: str, knots: dict | None = None) -> Regression:
-    assembler = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="skip")
-    learner = estimator.setFeaturesCol("_features").setLabelCol("_label").setPredictionCol("_prediction")
-    rows = df.withColumn("_label", label).where(F.col("_label").isNotNull() & ~F.isnan("_label"))
-    return Regression(Pipeline(stages=[assembler, learner]).fit(rows), inverse, knots or {})
+    """Fits on the rows with all inputs and a label."""
+    learner = estimator.setFeaturesCol("_inputs").setLabelCol("_label").setPredictionCol("_prediction")
+    labelled = df.withColumn("_label", label).where(F.col("_label").isNotNull() & ~F.isnan("_label"))
+    # Fitting passes over its rows many times.
+    rows = materialize(with_inputs(labelled, features).where("_complete").select("_inputs", "_label"))
+    return Regression(Pipeline(stages=[learner]).fit(rows), inverse, features, knots or {})
 
 
-def fit_restoration(df: DataFrame, features: list[str], target: str = "TTR", trees: int = 40, depth: int = 8) -> Regression:
+def fit_restoration(df: DataFrame, features: list[str], target: str = "TTR", trees: int = 40, depth: int = 8, bootstrap: bool = True) -> Regression:
     """Random forest on the log of the duration."""
-    forest = RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=SEED)
+    forest = RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=SEED, bootstrap=bootstrap)
     return _fit(df.where(F.col(target) > 0), features, F.log(target), forest, "exp")
 
 
-def fit_outage_count(df: DataFrame, features: list[str], target: str = "OUTAGES") -> Regression:
+def fit_outage_count(df: DataFrame, features: list[str], target: str = "OUTAGES", ridge: float = 1e-3) -> Regression:
     """Linear regression on the log of the number of outages."""
-    return _fit(df.where(F.col(target) > 0), features, F.log(target), LinearRegression(regParam=1e-3), "exp")
+    return _fit(df.where(F.col(target) > 0), features, F.log(target), LinearRegression(regParam=ridge), "exp")
 
 
 def with_hinges(df: DataFrame, knots: dict[str, list[float]]) -> DataFrame:
-    """max(0, x - k) and max(0, k - x) columns at the given knots."""
+    """max(0, x - k) at the given knots; with x itself they span all lines that bend there. A missing x stays missing."""
     columns = {}
     for name, values in knots.items():
         for i, knot in enumerate(values):
-            columns[f"_{name}_up{i}"] = F.greatest(F.lit(0.0), F.col(name) - knot)
-            columns[f"_{name}_down{i}"] = F.greatest(F.lit(0.0), F.lit(knot) - F.col(name))
+            above = F.col(name) - knot
+            columns[f"_{name}_up{i}"] = F.when(above > 0, above).when(above <= 0, 0.0)
     return df.withColumns(columns) if columns else df
 
 
-def fit_customers(df: DataFrame, features: list[str] = C.CUSTOMER_MODEL_FEATURES, target: str = "CUST_QTY", quantiles: tuple[float, ...] = (0.33, 0.67)) -> Regression:
+def fit_customers(df: DataFrame, features: list[str] = C.CUSTOMER_MODEL_FEATURES, target: str = "CUST_QTY", quantiles: tuple[float, ...] = (0.33, 0.67), ridge: float = 1e-2) -> Regression:
     """Piecewise-linear regression on the cube root, with hinges at quantiles of each input."""
     marks = df.approxQuantile(features, list(quantiles), 0.001)
     knots = {name: sorted(set(values)) for name, values in zip(features, marks)}
     hinged = with_hinges(df, knots)
     inputs = [c for c in hinged.columns if c not in df.columns]
-    return _fit(hinged, [*features, *inputs], F.cbrt(target), LinearRegression(regParam=1e-2), "cube", knots)
+    return _fit(hinged, [*features, *inputs], F.cbrt(target), LinearRegression(regParam=ridge), "cube", knots)
 
 
 def forecast_outages(model: Regression, scores: DataFrame) -> DataFrame:
@@ -85,29 +101,42 @@ def forecast_customers(model: Regression, days: DataFrame) -> DataFrame:
     return predicted.withColumns({"Customers_LL_95": low, "Customers_UL_95": high})
 
 
-def fit_profiles(df: DataFrame, features: list[str], label: str = "clusters", trees: int = 40, depth: int = 6) -> PipelineModel:
-    """Random forest over the six weather profiles, in their fixed order."""
+@dataclass(frozen=True)
+class ProfileModel:
+    """A fitted classifier with the names of its inputs."""
+
+    model: PipelineModel
+    features: list[str]
+
+
+def fit_profiles(df: DataFrame, features: list[str], label: str = "clusters", trees: int = 40, depth: int = 6, bootstrap: bool = True) -> ProfileModel:
+    """Random forest over the six weather profiles, in their fixed order; fitted on the rows with all inputs."""
     stages = [
         StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="skip"),
-        VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="skip"),
-        RandomForestClassifier(featuresCol="_features", labelCol="_label", numTrees=trees, maxDepth=depth, seed=SEED),
+        RandomForestClassifier(featuresCol="_inputs", labelCol="_label", numTrees=trees, maxDepth=depth, seed=SEED, bootstrap=bootstrap),
     ]
-    return Pipeline(stages=stages).fit(df.where(F.col(label).isin(list(C.PROFILES))))
+    rows = with_inputs(df.where(F.col(label).isin(list(C.PROFILES))), features).where("_complete")
+    return ProfileModel(Pipeline(stages=stages).fit(materialize(rows.select("_inputs", label))), features)
+
 
+def classify_profiles(model: ProfileModel, df: DataFrame, keep: list[str]) -> DataFrame:
+    """Most and second most probable profile of every row, with all six probabilities.
 
-def classify_profiles(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
-    """Most and second most probable profile of every row, with all six probabilities."""
-    labels = model.stages[0].labels
-    scorer = PipelineModel(stages=model.stages[1:])
-    named = IndexToString(inputCol="prediction", outputCol="clusters", labels=labels)
-    scored = named.transform(scorer.transform(df.drop("clusters")))
+    A row that lacks an input stays, with null in place of all of them.
+    """
+    labels = model.model.stages[0].labels
+    scorer = PipelineModel(stages=model.model.stages[1:])
+    named = IndexToString(inputCol="prediction", outputCol="_named", labels=labels)
+    scored = named.transform(scorer.transform(with_inputs(df.drop("clusters"), model.features)))
+    scored = scored.withColumn("clusters", F.when(F.col("_complete"), F.col("_named")))
     known = vector_to_array("probability")
-    shares = [known[labels.index(name)] if name in labels else F.lit(0.0) for name in C.PROFILES]
+    shares = [F.when(F.col("_complete"), known[labels.index(name)] if name in labels else F.lit(0.0)) for name in C.PROFILES]
     table = scored.select(
-        *keep, "clusters", weather.profile_text(F.col("clusters")).alias("profile"), F.array(*shares).alias("_p"),
+        *keep, "clusters", F.when(F.col("_complete"), weather.profile_text(F.col("clusters"))).alias("profile"), F.array(*shares).alias("_p"),
         *[share.alias(f"prob_{name}") for name, share in zip(C.PROFILES, shares)],
     )
     second = table.withColumn("_s", weather.second_best(F.col("_p")))
+    known = F.col("clusters").isNotNull()
     return second.withColumns(
-        {"profile_desc2": weather.profile_text_by_index(F.col("_s.index")), "prob_2": F.col("_s.prob")}
+        {"profile_desc2": F.when(known, weather.profile_text_by_index(F.col("_s.index"))), "prob_2": F.when(known, F.col("_s.prob"))}
     ).drop("_s", "_p")

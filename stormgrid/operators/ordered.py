@@ -58,8 +58,8 @@ def attach_by_value(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Left join of a lookup with one row per key (`_n` = rows of `df` with that key).
 
     Rows of hot keys take their values from a broadcast of the hot part, which by
-    its definition has at most HOT_SHARE rows, and are salted so that the shuffle
-    of the remaining join spreads them.
+    its definition has at most HOT_SHARE rows. They, and rows without a key, which
+    find nothing, are salted so that the shuffle of the remaining join spreads them.
     """
     fields = [c for c in lookup.columns if c not in (key, "_n")]
     total = F.broadcast(lookup.agg(F.sum("_n").alias("_all")))
@@ -67,17 +67,23 @@ def attach_by_value(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
         lookup.join(total, F.col("_n") * HOT_SHARE >= F.col("_all"))
         .select(F.col(key).alias("_hot_key"), *[F.col(c).alias(f"_hot{c}") for c in fields])
     )
-    spread = (F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)) + 1).cast("int")
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)) + 1
     salted = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn(
-        "_salt", F.when(F.col("_hot_key").isNotNull(), spread).otherwise(F.lit(0))
+        "_salt", F.when(F.col("_hot_key").isNotNull() | F.col(key).isNull(), spread).otherwise(F.lit(0).cast("bigint"))
     )
-    cold = lookup.drop("_n").withColumn("_salt", F.lit(0))
+    # Always 0, but a literal would make the optimizer take the salt out of the join's keys.
+    cold = lookup.drop("_n").withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(1)))
     joined = salted.join(cold, [key, "_salt"], "left")
     return joined.select(*[F.col(c) for c in df.columns], *[F.coalesce(f"_hot{c}", c).alias(c) for c in fields])
 
 
 def dense_rank_of(df: DataFrame, key: str, name: str, descending: bool = False, partitions: int | None = None) -> DataFrame:
-    """Dense rank over the whole table; a missing value has no rank."""
+    """Dense rank over the whole table; a missing value has no rank.
+
+    Like the other ranks it reads `df` twice, to count the values and to attach the
+    ranks: the caller stores a costly input (or one whose values might differ when
+    computed again) first.
+    """
     ranks = value_ranks(df, key, descending, partitions).drop("_upto")
     return attach_by_value(df, ranks, key).withColumnRenamed("_dense", name)
 
@@ -102,16 +108,22 @@ def rank_within_day(df: DataFrame, ts: str, name: str, partitions: int | None =
 
 
 def forward_fill(df: DataFrame, columns: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
-    """Missing values take the last known one before them in the given (total) order."""
+    """Missing values take the last known one before them in the given (total) order.
+
+    The stored layout is one range shuffle, sorted within its runs. The state each
+    run hands on is one `max_by` per column; then every run fills itself in one
+    ordered window over the stored rows.
+    """
     keys = [F.col(c).asc() for c in order]
     laid_out = runs(df, keys, partitions)
+    place = F.struct(*[F.col(c) for c in order])
+    # A struct orders nulls first, as ascending keys do.
+    known = {f"_last_{c}": F.max_by(c, F.when(F.col(c).isNotNull(), place)) for c in columns}
+    summary = laid_out.groupBy("_run").agg(*[value.alias(name) for name, value in known.items()])
+    carried = _before(summary, {f"_carry_{c}": F.last(f"_last_{c}", ignorenulls=True) for c in columns})
     upto = Window.partitionBy("_run").orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = laid_out.withColumns({f"_local_{c}": F.last(c, ignorenulls=True).over(upto) for c in columns})
-    # What the last row of a run knows is what the run hands on.
-    summary = pick_one(local, ["_run"], [F.col(c).desc() for c in order])
-    carried = _before(summary, {f"_carry_{c}": F.last(f"_local_{c}", ignorenulls=True) for c in columns})
-    filled = {c: F.coalesce(f"_local_{c}", f"_carry_{c}").alias(c) for c in columns}
-    return local.join(carried, "_run").select(*[filled.get(c, F.col(c)) for c in df.columns])
+    filled = {c: F.coalesce(F.last(c, ignorenulls=True).over(upto), f"_carry_{c}").alias(c) for c in columns}
+    return laid_out.join(carried, "_run").select(*[filled.get(c, F.col(c)) for c in df.columns])
 
 
 def exact_median(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stormgrid.functions import geo
 from stormgrid.operators.ordered import dense_rank_of, max_rank_of
+from stormgrid.session import materialize
 
 
 def by_customers(df: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -33,8 +34,13 @@ def with_center_distance(df: DataFrame, method: str = "geodesic", center: str =
 
 
 def by_distance(df: DataFrame, method: str = "geodesic", center: str = "scaled", partitions: int | None = None) -> DataFrame:
-    """Ascending position of (distance to the centre / customers); ties share the highest."""
-    weighted = with_center_distance(df, method, center).withColumn(
+    """Ascending position of (distance to the centre / customers); ties share the highest.
+
+    Outages are ranked and matched by the same stored value, so the distance runs once.
+    Within about half a degree of the antipode of the centre the distance is null, and
+    the outage has no rank.
+    """
+    weighted = materialize(with_center_distance(df, method, center).withColumn(
         "Dist_per_Customer", F.try_divide("Center_Distance", "CUST_QTY")
-    )
+    ))
     return max_rank_of(weighted, "Dist_per_Customer", "Priority_Dist_Customer_Qty", partitions).drop("Center_Distance")

@@ -25,11 +25,12 @@ def marker_pivot(df: DataFrame, features: list[str] = C.WEATHER_FEATURES, marker
     return wide.where(F.col("MARKER1__rows") > 0).select("Date", *[f"{m}_{f}" for m in names for f in features])
 
 
-def marker_vectors(df: DataFrame, features: list[str] = C.WEATHER_FEATURES, markers: int = len(C.MARKERS)) -> DataFrame:
+def marker_vectors(df: DataFrame, features: list[str] = C.WEATHER_FEATURES, markers: int = len(C.MARKERS), complete_only: bool = True) -> DataFrame:
     """The same wide row as one array per day, marker after marker, for the model.
 
     Takes one row per day and marker, so a day gathers at most `markers` short arrays.
-    Days with a missing marker or value are left out.
+    A marker without a row counts as missing values. Days with any are left out, as
+    fitting needs, unless `complete_only` is off: scoring then gives them null forecasts.
     """
     long = df.select(
         F.to_date("timestamp").alias("Date"),
@@ -37,10 +38,11 @@ def marker_vectors(df: DataFrame, features: list[str] = C.WEATHER_FEATURES, mark
         F.array(*features).alias("_values"),
     ).where(F.col("_marker").between(1, markers))
     one = long.groupBy("Date", "_marker").agg(F.first("_values").alias("_values"))
-    days = one.groupBy("Date").agg(F.sort_array(F.collect_list(F.struct("_marker", "_values"))).alias("_all"))
-    wide = days.select("Date", F.flatten("_all._values").alias("features"))
-    complete = (F.size("features") == markers * len(features)) & ~F.exists("features", lambda v: v.isNull() | F.isnan(v))
-    return wide.where(complete)
+    days = one.groupBy("Date").agg(F.map_from_entries(F.collect_list(F.struct("_marker", "_values"))).alias("_all"))
+    nothing = F.array_repeat(F.lit(None).cast("double"), len(features))
+    parts = F.transform(F.sequence(F.lit(1), F.lit(markers)), lambda i: F.coalesce(F.try_element_at("_all", i), nothing))
+    wide = days.select("Date", F.flatten(parts).alias("features"))
+    return wide.where(~F.exists("features", lambda v: v.isNull() | F.isnan(v))) if complete_only else wide
 
 
 def vector_names(features: list[str] = C.WEATHER_FEATURES, markers: int = len(C.MARKERS)) -> list[str]:

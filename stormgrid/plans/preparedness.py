@@ -11,9 +11,9 @@ from stormgrid.operators import aggregate, joins, latest, reshape
 from stormgrid.session import materialize
 
 
-def wide_days(weather: DataFrame, features: list[str] = C.WEATHER_FEATURES) -> DataFrame:
+def wide_days(weather: DataFrame, features: list[str] = C.WEATHER_FEATURES, complete_only: bool = True) -> DataFrame:
     """Model rows (one per day, so never more than the calendar), stored because fitting reads them repeatedly."""
-    return materialize(reshape.marker_vectors(latest.latest_forecasts(weather), features))
+    return materialize(reshape.marker_vectors(latest.latest_forecasts(weather), features, complete_only=complete_only))
 
 
 def customer_days(weather: DataFrame) -> DataFrame:
@@ -31,6 +31,6 @@ def expected_days(history: DataFrame, actuals: DataFrame, forecast: DataFrame, t
     names = [f"PC{i + 1}" for i in range(len(model.signs))]
     count_model = forecasts.fit_outage_count(scored, names)
     customer_model = forecasts.fit_customers(customer_days(history).join(totals.select("Date", "CUST_QTY"), "Date"))
-    outages = forecasts.forecast_outages(count_model, model.scores(wide_days(forecast, features)))
+    outages = forecasts.forecast_outages(count_model, model.scores(wide_days(forecast, features, complete_only=False)))
     customers = forecasts.forecast_customers(customer_model, customer_days(forecast))
     return joins.collate_forecasts(outages, customers, today)

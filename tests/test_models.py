@@ -77,3 +77,32 @@ def test_profiles(spark):
     first = got[0]
     assert sum(first[f"prob_{n}"] for n in C.PROFILES) == pytest.approx(1.0) and first.prob_Cluster6 == 0.0
     assert first.prob_2 <= first.prob_Cluster1 and first.profile_desc2 in C.PROFILES.values()
+
+
+def test_rows_with_missing_inputs_come_back(spark):
+    data = [(i, float(i % 20), None if i % 5 == 0 else float(i % 3), float(np.exp(1 + 0.1 * (i % 20)))) for i in range(100)]
+    df = spark.createDataFrame(data, "Date int, x double, z double, OUTAGES double").withColumn("CUST_QTY", F.col("OUTAGES"))
+    for model in (
+        forecasts.fit_outage_count(df, ["x", "z"]), forecasts.fit_restoration(df, ["x", "z"], target="OUTAGES", trees=3), forecasts.fit_customers(df, ["x", "z"]),
+    ):
+        got = {r.Date: r.p for r in model.predict(df, "p").collect()}
+        assert len(got) == 100 and all((got[i] is None) == (i % 5 == 0) for i in got)
+    bands = forecasts.forecast_outages(forecasts.fit_outage_count(df, ["x", "z"]), df).collect()
+    assert len(bands) == 100 and all((r.Outages_UL_95 is None) == (r.Date % 5 == 0) for r in bands)
+    named = df.withColumn("clusters", F.concat(F.lit("Cluster"), (F.col("Date") % 3 + 1).cast("string")))
+    rows = forecasts.classify_profiles(forecasts.fit_profiles(named, ["x", "z"], trees=3), named, ["Date"]).collect()
+    assert len(rows) == 100
+    assert all((r.clusters is None) == (r.Date % 5 == 0) and (r.prob_2 is None) == (r.Date % 5 == 0) and (r.profile is None) == (r.Date % 5 == 0) for r in rows)
+
+
+def test_scores_of_incomplete_days_are_null(spark, table):
+    _, names, df = table
+    holes = df.withColumn("f1", F.when(F.col("Date") > 3, F.col("f1")))
+    model = components.fit_components(holes, names, k=2)
+    got = {r.Date: r.PC1 for r in model.scores(holes).collect()}
+    assert len(got) == 60 and all((got[d] is None) == (d <= 3) for d in got)
+
+
+def test_vectors_of_all_days(spark):
+    df = spark.createDataFrame([("2024-01-01 05:00:00", "IPL_Marker2", 9.0)], "timestamp string, Location string, t double").withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    assert reshape.marker_vectors(df, ["t"], 3, complete_only=False).first().features == [None, 9.0, None]

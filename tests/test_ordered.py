@@ -95,3 +95,26 @@ def test_priority_by_distance(spark):
     mean = {r.OUTAGE_ID: r.Center_Distance for r in priority.with_center_distance(df.where("LAT IS NOT NULL"), "haversine", "mean").collect()}
     assert mean["b"] == mean["c"] and mean["e"] < mean["a"]
     assert {r.OUTAGE_ID: r.Priority_Customer_Qty for r in priority.by_customers(df).collect()} == {"a": 1, "b": 1, "c": 1, "d": 2, "e": 3}
+
+
+def test_rows_without_a_key_are_spread(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(20_000).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).alias("key"))
+        ranked = ordered.dense_rank_of(df, "key", "rank")
+        sizes = ranked.groupBy(F.spark_partition_id()).count()
+        counts = [r["count"] for r in sizes.collect()]
+        assert ranked.where("(rank IS NULL) <> (key IS NULL)").count() == 0 and max(counts) < 2 * 20_000 / 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_forward_fill_shuffles_the_stored_rows_once(spark):
+    df = spark.createDataFrame([(i, i // 3, None if i % 4 else float(i), None if i % 7 else "x") for i in range(50)], "o int, p int, a double, b string")
+    filled = ordered.forward_fill(df, ["a", "b"], ["o"], partitions=5)
+    plan = filled._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(_run") <= 2 and "a#" in plan  # the rows, and the summary of one row per run
+    rows = sorted(filled.collect())
+    assert [r.a for r in rows] == [float(4 * (i // 4)) for i in range(50)] and [r.b for r in rows] == ["x"] * 50
