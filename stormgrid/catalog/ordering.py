@@ -9,9 +9,12 @@ from stormgrid.catalog import tables as t
 from stormgrid.catalog.expressions import PLANE, geodesic
 from stormgrid.catalog.oracle import haversine, sql, stamp, wind
 from stormgrid.catalog.registry import query
-from stormgrid.functions import geo, times
-from stormgrid.operators import clean, joins, ordered, trailing
-from stormgrid.plans import restoration
+from stormgrid.catalog.weather import PROFILE_SQL
+from stormgrid.functions import flags, geo, times
+from stormgrid.models import forecasts
+from stormgrid.operators import aggregate, joins, latest, ordered, trailing
+from stormgrid.plans import diagnostics, restoration
+from stormgrid.session import materialize, work_path
 
 
 @query("rank_subsequent", sql("outage_events", "SELECT OUTAGE_ID, dense_rank() OVER (PARTITION BY CAST(CREATION_DATETIME AS DATE) ORDER BY CREATION_DATETIME) AS RANK_SUBSEQUENT_OUTAGES FROM outage_events"))
@@ -133,6 +136,12 @@ _FILLED_SQL = {
 _FILL = ["WIND_DIRECTION", *FEATURES]
 
 
+_CURATED["once"] = (
+    f"SELECT {', '.join(filled(c, _BY_TIME) + ' AS ' + c if c in _FILL else c for c in CURATED_COLS)}, {', '.join(f'{e} AS {n}' for n, e in _FILLED_SQL.items())} "
+    "FROM fresh LEFT JOIN counted ON CAST(CREATION_DATETIME AS DATE) = d JOIN hours_before USING (OUTAGE_ID)"
+)
+
+
 def predicted_outages(outages):
     """Outages of one device kind count as predicted already."""
     return outages.where("DNI_EQUIP_TYPE = 'R'").select("OUTAGE_ID", times.slash_stamp(F.col("CREATION_DATETIME")).alias("Creation_Time"))
@@ -141,13 +150,47 @@ def predicted_outages(outages):
 @query(
     "live_outage_dataset",
     sql("live_grain live_flags cities latest_day markers depots",
-        f"SELECT {', '.join(filled(c, _BY_TIME) + ' AS ' + c if c in _FILL else c for c in CURATED_COLS)}, {', '.join(f'{e} AS {n}' for n, e in _FILLED_SQL.items())} "
-        "FROM fresh LEFT JOIN counted ON CAST(CREATION_DATETIME AS DATE) = d JOIN hours_before USING (OUTAGE_ID)", _CURATED),
+        f"SELECT {', '.join(filled(c, 'OUTAGE_ID') + ' AS ' + c if c in [*_FILL, 'SUBST_ID'] else c for c in [*CURATED_COLS, *_FILLED_SQL])} FROM once", _CURATED),
 )
 def live_outage_dataset(spark, folder):
     """Raw feeds to the curated table the restoration model scores."""
-    outages = live_table(spark, folder)
+    return curated_live(spark, folder).select(*CURATED_COLS, *_FILLED_SQL)
+
+
+def curated_live(spark, folder):
+    """The outages are read by several steps, so they are stored once."""
+    outages = materialize(live_table(spark, folder))
     located = restoration.located_outages(outages, t.location(spark, folder))
     weathered = restoration.weather_outages(located, t.forecast_day(spark, folder), FEATURES)
-    curated, _ = restoration.curated_outages(weathered, predicted_outages(outages))
-    return curated.select(*CURATED_COLS, *_FILLED_SQL)
+    return restoration.curated_outages(weathered, predicted_outages(outages))[0]
+
+
+RUN_TS = "2024-01-31 12:00:00"
+MODEL_INPUTS = [
+    "CALL_QTY", "CUST_QTY", "DOWNSTREAM_KVA_VAL", "Hour_Sin", "Hour_Cos", "weekend_flag", "RANK_SUBSEQUENT_OUTAGES", "Priority_Customer_Qty",
+    "Priority_Dist_Customer_Qty", *FEATURES, *[f"Outages_in_last_{k}hr" for k in range(1, C.TRAILING_HOURS + 1)],
+    *[f"{name}_False" for name in C.INDICATORS_FALSE], *[f"{name}_True" for name in C.INDICATORS_TRUE], "CITY_NAM_NO_CITY",
+]
+
+
+@query(
+    "published_predictions",
+    sql("live_grain live_flags cities latest_day markers depots storm_profiles",
+        f"""SELECT place, OUTAGE_ID, INCIDENT_ID, STRCTUR_NO, CIRCT_ID, DNI_EQUIP_TYPE, strftime(CREATION_DATETIME, '%Y/%m/%d %H:%M:%S') AS Creation_Time,
+          CASE WHEN clusters IS NOT NULL THEN {PROFILE_SQL} END AS Weather_Profile, '{RUN_TS[:16]}' AS Last_Updated, CAST(1 AS BIGINT) AS timed
+        FROM fresh f LEFT JOIN storm_profiles b ON CAST(f.CREATION_DATETIME AS DATE) = CAST(b."timestamp" AS DATE) AND f.Marker_Location = b.Location
+        CROSS JOIN (VALUES ('history'), ('history'), ('live')) AS p(place)""", _CURATED),
+)
+def published_predictions(spark, folder):
+    """Two runs from the raw feeds to both published tables; the forest learns from the history's durations."""
+    curated = materialize(curated_live(spark, folder))
+    actual = aggregate.with_restoration_minutes(diagnostics.facility_outages(t.facility(spark, folder))).select("OUTAGE_ID", "TTR")
+    model = forecasts.fit_restoration(flags.model_indicators(curated).join(actual, "OUTAGE_ID"), MODEL_INPUTS, trees=5, depth=4)
+    history, live = work_path(spark, "predictions"), work_path(spark, "live-predictions")
+    for _ in range(2):
+        restoration.publish_predictions(curated, model, t.storm_profiles(spark, folder), F.lit(RUN_TS).cast("timestamp"), history, live)
+    both = latest.union_all(*[spark.read.parquet(path).withColumn("place", F.lit(place)) for place, path in (("history", history), ("live", live))])
+    return both.select(
+        "place", "OUTAGE_ID", "INCIDENT_ID", "STRCTUR_NO", "CIRCT_ID", "DNI_EQUIP_TYPE", "Creation_Time", "Weather_Profile", "Last_Updated",
+        F.col("Estimated_Restoration_Time").isNotNull().cast("int").alias("timed"),
+    )

@@ -159,12 +159,12 @@ def outage_weather_join(spark, folder):
     return joined.select("OUTAGE_ID", "Marker_Location", *_USED, *_RATIO_NAMES, "WIND_DIRECTION", "weekend_flag")
 
 
-_PROFILE = ladder("clusters", [(f"{{0}} = '{k}'", text(v)) for k, v in C.PROFILES.items()], "''")
+PROFILE_SQL = ladder("clusters", [(f"{{0}} = '{k}'", text(v)) for k, v in C.PROFILES.items()], "''")
 
 
 @query(
     "outage_profile_join",
-    sql("outage_events storm_profiles", f"""SELECT OUTAGE_ID, CASE WHEN clusters IS NOT NULL THEN {_PROFILE} END AS Cluster_ID
+    sql("outage_events storm_profiles", f"""SELECT OUTAGE_ID, CASE WHEN clusters IS NOT NULL THEN {PROFILE_SQL} END AS Cluster_ID
       FROM outage_events LEFT JOIN storm_profiles ON CAST(CREATION_DATETIME AS DATE) = "timestamp" AND Location = 'Marker ' || (user_id % 23 + 1)"""),
 )
 def outage_profile_join(spark, folder):
@@ -176,7 +176,7 @@ _NAMES = "[" + ", ".join(text(v) for v in C.PROFILES.values()) + "]"
 
 @query(
     "profile_label",
-    sql("storm_profiles", f"""SELECT CAST("timestamp" AS VARCHAR) AS "timestamp", Location, {_PROFILE} AS profile,
+    sql("storm_profiles", f"""SELECT CAST("timestamp" AS VARCHAR) AS "timestamp", Location, {PROFILE_SQL} AS profile,
       ({_NAMES})[CAST(substr(clusters, 8) AS INTEGER)] AS profile_by_index FROM storm_profiles"""),
 )
 def profile_label(spark, folder):

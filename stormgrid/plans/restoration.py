@@ -11,7 +11,9 @@ from stormgrid.operators import aggregate, clean, joins, priority
 from stormgrid.operators.latest import keep_newest, latest_forecasts
 from stormgrid.operators.ordered import forward_fill, rank_within_day
 from stormgrid.operators.trailing import known_outages, trailing_counts
+from stormgrid.models.forecasts import Regression
 from stormgrid.session import materialize
+from stormgrid.sources import sinks
 
 PUBLISHED = [
     "OUTAGE_ID", "INCIDENT_ID", "STRCTUR_NO", "CIRCT_ID", "DNI_EQUIP_TYPE", "Creation_Time",
@@ -56,14 +58,18 @@ def curated_outages(outages: DataFrame, predictions: DataFrame, counters: DataFr
     running = batch if counters is None else aggregate.merge_counters(counters, batch)
     counted = fresh.withColumn("Date", F.to_date("CREATION_DATETIME")).join(running, "Date", "left").drop("Date")
     worded = flags.flags_to_text(counted)
-    gaps = [c for c in worded.columns if c not in [*C.GRAIN, "OUTAGE_ID", "CREATION_DATETIME"]]
+    # Flags, sums and the city are never missing.
+    whole = {*C.GRAIN, "OUTAGE_ID", "CREATION_DATETIME", "CALL_QTY", "CUST_QTY", *(name for mask in aggregate.MASKS.values() for name in mask)}
+    gaps = [c for c in worded.columns if c not in whole]
     filled = forward_fill(worded, gaps, ["CREATION_DATETIME", *C.GRAIN])
     filled = materialize(filled.withColumn("CITY_NAM", F.coalesce("CITY_NAM", F.lit(C.NO_CITY))))
     recent = predictions.select("OUTAGE_ID", times.parse_timestamp(F.col("Creation_Time"), "yyyy/MM/dd HH:mm:ss").alias("CREATION_DATETIME"))
     if today is not None:
         recent = recent.where(F.col("CREATION_DATETIME") >= F.date_sub(F.lit(today).cast("date"), 2).cast("timestamp"))
     counts = trailing_counts(filled, known_outages(filled, recent)).drop("CREATION_DATETIME")
-    return clean.default_columns(filled.join(counts, "OUTAGE_ID", "left")), running
+    complete = clean.default_columns(filled.join(counts, "OUTAGE_ID", "left"))
+    # The second pass, by id, reaches gaps at the beginning of the first one's order.
+    return forward_fill(complete, gaps, ["OUTAGE_ID"]), running
 
 
 def updated_history(history: DataFrame, batch: DataFrame) -> DataFrame:
@@ -90,3 +96,12 @@ def restoration_output(scored: DataFrame, profiles: DataFrame, prediction: str =
 
 def stamped(output: DataFrame, run_ts: Column) -> DataFrame:
     return output.withColumn("Last_Updated", F.date_format(run_ts, "yyyy-MM-dd HH:mm"))
+
+
+def publish_predictions(curated: DataFrame, model: Regression, profiles: DataFrame, run_ts: Column, history_path: str, live_path: str) -> None:
+    """Curated outages to published restoration times: scored, stamped, appended to the history, put in place of the live table.
+
+    An outage that lacks an input of the model is published without a time.
+    """
+    scored = model.predict(flags.model_indicators(curated), "Predicted_TTR")
+    sinks.publish(stamped(restoration_output(scored, profiles), run_ts), history_path, live_path)
