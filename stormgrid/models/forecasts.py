@@ -80,10 +80,11 @@ def with_hinges(df: DataFrame, knots: dict[str, list[float]]) -> DataFrame:
     return df.withColumns(columns) if columns else df
 
 
-def fit_customers(df: DataFrame, features: list[str] = C.CUSTOMER_MODEL_FEATURES, target: str = "CUST_QTY", quantiles: tuple[float, ...] = (0.33, 0.67), ridge: float = 1e-2) -> Regression:
-    """Piecewise-linear regression on the cube root, with hinges at quantiles of each input."""
-    marks = df.approxQuantile(features, list(quantiles), 0.001)
-    knots = {name: sorted(set(values)) for name, values in zip(features, marks)}
+def fit_customers(df: DataFrame, features: list[str] = C.CUSTOMER_MODEL_FEATURES, target: str = "CUST_QTY", quantiles: tuple[float, ...] = (0.33, 0.67), ridge: float = 1e-2, knots: dict[str, list[float]] | None = None) -> Regression:
+    """Piecewise-linear regression on the cube root, with hinges at given knots or at quantiles of each input."""
+    if knots is None:
+        marks = df.approxQuantile(features, list(quantiles), 0.001)
+        knots = {name: sorted(set(values)) for name, values in zip(features, marks)}
     hinged = with_hinges(df, knots)
     inputs = [c for c in hinged.columns if c not in df.columns]
     return _fit(hinged, [*features, *inputs], F.cbrt(target), LinearRegression(regParam=ridge), "cube", knots)
