@@ -12,7 +12,7 @@ from stormgrid.operators.latest import keep_newest, latest_forecasts
 from stormgrid.operators.ordered import forward_fill, rank_within_day
 from stormgrid.operators.trailing import known_outages, trailing_counts
 from stormgrid.models.forecasts import Regression
-from stormgrid.session import materialize
+from stormgrid.session import materialize, stored_steps
 from stormgrid.sources import sinks
 
 PUBLISHED = [
@@ -101,7 +101,9 @@ def stamped(output: DataFrame, run_ts: Column) -> DataFrame:
 def publish_predictions(curated: DataFrame, model: Regression, profiles: DataFrame, run_ts: Column, history_path: str, live_path: str) -> None:
     """Curated outages to published restoration times: scored, stamped, appended to the history, put in place of the live table.
 
-    An outage that lacks an input of the model is published without a time.
+    An outage that lacks an input of the model is published without a time. Steps
+    stored on the way are removed when both tables are written.
     """
-    scored = model.predict(flags.model_indicators(curated), "Predicted_TTR")
-    sinks.publish(stamped(restoration_output(scored, profiles), run_ts), history_path, live_path)
+    with stored_steps(curated.sparkSession):
+        scored = model.predict(flags.model_indicators(curated), "Predicted_TTR")
+        sinks.publish(stamped(restoration_output(scored, profiles), run_ts), history_path, live_path)

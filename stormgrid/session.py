@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,13 +42,15 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: on a cluster a
-    machine-local path would not survive the loss of that machine.
+    Only a session in one process (`local`, `local[n]`) may fall back to a temporary
+    folder: on a cluster, `local-cluster` included, a machine-local path would not
+    survive the loss of that machine. A `file:` folder that the setting names is
+    taken as what it is said to be, a mount that all machines share.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="stormgrid-")
     if context.getCheckpointDir() is None:
@@ -52,9 +58,30 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: The folder of the run in progress, below the shared folder.
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+
+
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh sub-folder of the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh sub-folder of the shared folder, or of the run in progress."""
+    return f"{_RUN.get() or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def stored_steps(spark: SparkSession) -> Iterator[str]:
+    """A run whose stored steps are removed at its end.
+
+    Steps stored inside go to a folder of the run's own, and only that folder is
+    removed, also when the run fails. Results must be written elsewhere before.
+    """
+    folder = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    token = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
