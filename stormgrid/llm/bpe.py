@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from stormgrid.llm.common import append_columns
 
 #: Words whose ids a task remembers; beyond it the memory starts anew.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 250_000
 NO_RANK = 1 << 60
 
 
@@ -172,31 +172,43 @@ def encoder(path: str, words_kept: int = WORDS_KEPT) -> Callable[[bytes], bytes]
     return lambda text: b"".join(map(chunks.__getitem__, text.split()))
 
 
-def encode(docs: DataFrame, vocabulary: str, text: str = "text", words_kept: int = WORDS_KEPT) -> DataFrame:
-    """Adds `ids` (little-endian unsigned 32-bit integers) and `n_tokens` to every row."""
+def encode(docs: DataFrame, vocabulary: str, text: str = "text", words_kept: int = WORDS_KEPT, decoded: bool = False, drop: tuple[str, ...] = ()) -> DataFrame:
+    """Adds `ids` (little-endian unsigned 32-bit integers) and `n_tokens` to every row.
+
+    With `decoded` the same tasks decode the ids at once, as `decode` does from
+    stored ones. Columns in `drop`, such as the text, do not travel back.
+    """
     fields = [T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())]
+    back = [T.StructField("decoded", T.StringType())] if decoded else []
 
     def make():
         to_ids = encoder(vocabulary, words_kept)
+        to_text = decoder(vocabulary) if decoded else None
 
         def work(texts):
             ids = [to_ids(t) for t in texts]
-            return ids, [len(i) // 4 for i in ids]
+            columns = [ids, [len(i) // 4 for i in ids]]
+            return [*columns, [to_text(i) for i in ids]] if to_text else columns
 
         return work
 
-    return append_columns(docs, text, make, fields)
+    return append_columns(docs, text, make, fields + back, drop)
+
+
+def decoder(path: str) -> Callable[[bytes], str]:
+    """A function from ids to the vocabulary's strings joined by blanks, special ones included."""
+    names = Vocabulary(path).names()
+    return lambda ids: " ".join(map(names.__getitem__, memoryview(ids).cast("I")))
 
 
 def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:
-    """Adds `decoded`: the vocabulary's strings joined by blanks, special ones included.
+    """Adds `decoded`, as a tokenizer file without a decoder stands for.
 
-    That is what a tokenizer file without a decoder stands for; `plain_text` undoes
-    the byte symbols and word ends instead.
+    `plain_text` undoes the byte symbols and word ends instead.
     """
     def make():
-        names = Vocabulary(vocabulary).names()
-        return lambda rows: [[" ".join(map(names.__getitem__, memoryview(r).cast("I"))) for r in rows]]
+        to_text = decoder(vocabulary)
+        return lambda rows: [[to_text(r) for r in rows]]
 
     return append_columns(encoded, ids, make, [T.StructField("decoded", T.StringType())])
 
