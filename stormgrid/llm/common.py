@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -9,8 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Rows that travel to a Python worker at a time; Spark's own number suits short rows, not whole texts.
+BATCH_ROWS = 1024
 #: Text bytes handled at a time inside a task; a single longer row is handled alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +25,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Has Spark send rows to Python in batches of at most `BATCH_ROWS`: both sides hold a batch in memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+def release_memory() -> None:
+    """Gives memory that a task has freed back to the machine: the worker outlives the task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts a batch so that each part holds at most `limit` bytes of `column`, or one row."""
     array = batch.column(batch.schema.get_field_index(column))
@@ -69,7 +87,10 @@ def append_columns(
                 columns = work(texts_of(batch, column))
                 arrays = [c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(n)) for n in names] + arrays, names=out_names)
+        del work
+        release_memory()
 
+    small_batches(frame.sparkSession)
     needed = frame.select(*[F.col(f"`{n}`") for n in dict.fromkeys([*names, column])])
     return needed.mapInArrow(run, schema)
 

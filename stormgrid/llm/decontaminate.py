@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stormgrid.llm.common import slices, texts_of
+from stormgrid.llm.common import release_memory, slices, small_batches, texts_of
 from stormgrid.session import materialize
 
 WINDOW = 10
@@ -134,7 +134,10 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", segmen
                     keys, hashes, counts, held = [], [], [], 0
         if keys:
             yield segment()
+        del hasher, keys, hashes, counts
+        release_memory()
 
+    small_batches(docs.sparkSession)
     return materialize(docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema))
 
 

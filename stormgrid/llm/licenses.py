@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stormgrid.llm.common import append_columns, slices, texts_of
+from stormgrid.llm.common import append_columns, slices, small_batches, texts_of
 from stormgrid.llm.decontaminate import HASHED_BYTES, WordHasher
 
 BLOCK = 64
@@ -83,6 +83,7 @@ def frequencies(docs: DataFrame, vocabulary: list[str], text: str = "text") -> d
                 counts[order] += np.bincount(place[place >= 0], minlength=len(codes))
         yield pa.RecordBatch.from_arrays([pa.array(vocabulary, pa.string()), pa.array(counts, pa.int64())], names=["word", "n"])
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "word string, n bigint")
     return dict.fromkeys(vocabulary, 0) | {r.word: r.n for r in rows.groupBy("word").agg(F.sum("n").alias("n")).collect()}
 

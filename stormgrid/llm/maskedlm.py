@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stormgrid.llm.common import append_columns, slices, texts_of
+from stormgrid.llm.common import append_columns, slices, small_batches, texts_of
 from stormgrid.llm.perplexity import SHAPES, TOKEN, token_ids
 from stormgrid.session import materialize
 
@@ -126,6 +126,7 @@ def count_tokens(docs: DataFrame, text: str = "text") -> DataFrame:
                     counts.update(find(t.decode("utf-8", "replace")))
                 yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["token", "n"])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "token string, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
 
