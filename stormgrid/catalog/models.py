@@ -9,9 +9,9 @@ from stormgrid.catalog import tables as t
 from stormgrid.catalog.oracle import sql
 from stormgrid.catalog.ordering import live_table
 from stormgrid.catalog.registry import query
-from stormgrid.functions import times, weather
+from stormgrid.functions import times
 from stormgrid.models import components, forecasts
-from stormgrid.operators import aggregate, latest, reshape
+from stormgrid.operators import aggregate, reshape
 from stormgrid.plans import diagnostics, preparedness, profiles, restoration
 
 _COLS = ["l_quantity", "l_extendedprice", "l_discount"]

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormgrid import constants as C
-from stormgrid.functions import weather
 from stormgrid.session import use_utc
 
 # Sample texts of the code tables, picked by (code % number of texts).

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stormgrid.operators.latest import pick_one
 from stormgrid.session import materialize
 
 # A value is hot when it holds at least this share of all rows: 1/share values at most.
