@@ -24,21 +24,27 @@ table gives no pages; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
+import sys
+import types
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormgrid.llm.common import SLICE_BYTES, slices, texts_of
+from stormgrid.llm.bpe import Vocabulary, byte_symbols
+from stormgrid.llm.common import slices, small_batches, texts_of
 
 BLOCK = 128
 PAGE_IDS = 1 << 17
 PERCENTILE = 90
 MAGIC = b"PFR1"
-#: Words whose ids a task remembers, and words looked up at a time.
-WORDS_KEPT, WORDS_AT_ONCE = 500_000, 200_000
+#: Words and pieces of words whose ids a worker remembers, and words looked up at a time.
+WORDS_KEPT, PIECES_KEPT, WORDS_AT_ONCE = 600_000, 600_000, 100_000
 
 
 def pack(ids: np.ndarray, percentile: int = PERCENTILE) -> bytes:
@@ -107,11 +113,20 @@ def unpack(page: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
     return ids[: max(0, int(n) - first * BLOCK)]
 
 
-def library_encoder(path: str, words_kept: int = WORDS_KEPT) -> Callable[[bytes], list[bytes]]:
-    """The tokenizers library on whole texts, asked once for each word it has not met lately.
+def process_memory(name: str) -> dict:
+    """A dictionary that lasts as long as the Python worker, which serves many tasks one after the other."""
+    store = sys.modules.setdefault("_stormgrid_llm_memory", types.ModuleType("_stormgrid_llm_memory"))
+    return store.__dict__.setdefault(name, {})
+
+
+def library_encoder(path: str, words_kept: int = WORDS_KEPT, pieces_kept: int = PIECES_KEPT) -> Callable[[bytes], list[bytes]]:
+    """The tokenizers library on whole texts, asked once for each piece it has not met lately.
 
     No match of this vocabulary's splitting pattern spans white space, so the ids
-    of a text are those of its ASCII-blank-separated words in order.
+    of a text are those of its ASCII-blank-separated words in order. A word of
+    ASCII or marked Latin letters is in turn the sequence of its matches,
+    lower-cased; other words, and those that may hold a special string, go to the
+    library as they are.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the work
     from tokenizers import Tokenizer
@@ -119,20 +134,45 @@ def library_encoder(path: str, words_kept: int = WORDS_KEPT) -> Callable[[bytes]
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    known: dict[bytes, bytes] = {}
+    words_of, ids_of = process_memory(f"words of {path}"), process_memory(f"ids of {path}")
+    model, symbols = tokenizer.model, byte_symbols()
+    # Printable ASCII and Latin letters with marks: composed already, and lower-cased to letters of the same range.
+    plain = re.compile("[!-~\u00c0-\u012f\u0131-\u017f]+").fullmatch
+    # The ASCII part of the vocabulary file's pattern, and the whole of it.
+    find, find_all = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall, regex.compile(Vocabulary(path).pattern).findall
+
+    def pieces_of(word: bytes) -> list[bytes]:
+        if b"<|" in word:
+            return [word]
+        if word.isascii():
+            return find(word.lower())
+        text = word.decode("utf-8", "replace")
+        return [p.encode() for p in find_all(text.lower())] if plain(text) else [word]
+
+    def learn(missing: set[bytes]) -> None:
+        split = {w: pieces_of(w) for w in missing}
+        new = {p for pieces in split.values() for p in pieces}.difference(ids_of)
+        if len(ids_of) + len(new) > pieces_kept:
+            ids_of.clear()
+            new = {p for pieces in split.values() for p in pieces}
+        # Normalizing leaves such a piece as it is, so the library's model is asked for its byte symbols directly.
+        direct = [p for p in new if b"<|" not in p and plain(p.decode("utf-8", "replace"))]
+        ids_of.update((p, array("I", [t.id for t in model.tokenize(p.decode() if p.isascii() else "".join([symbols[b] for b in p]))]).tobytes()) for p in direct)
+        others = [p for p in new if p not in ids_of]
+        found = tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in others], add_special_tokens=False)
+        ids_of.update(zip(others, (array("I", f.ids).tobytes() for f in found), strict=True))
+        words_of.update((w, b"".join(map(ids_of.__getitem__, pieces))) for w, pieces in split.items())
 
     def encode(text: bytes) -> list[bytes]:
         words, parts = text.split(), []
         for at in range(0, len(words), WORDS_AT_ONCE):
             some = words[at : at + WORDS_AT_ONCE]
-            if missing := set(some).difference(known):
-                if len(known) + len(missing) > words_kept:
-                    known.clear()
+            if missing := set(some).difference(words_of):
+                if len(words_of) + len(missing) > words_kept:
+                    words_of.clear()
                     missing = set(some)
-                missing = list(missing)
-                found = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in missing], add_special_tokens=False)
-                known.update(zip(missing, (np.array(f.ids, dtype="<u4").tobytes() for f in found), strict=True))
-            parts += map(known.__getitem__, some)
+                learn(missing)
+            parts += map(words_of.__getitem__, some)
         return parts
 
     return encode
@@ -161,7 +201,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, key: str =
             return pa.RecordBatch.from_arrays(columns, names=["shard", "page", "first", "n_ids", "keys", "lengths", "payload"])
 
         for whole in batches:
-            for batch in slices(whole, "text", SLICE_BYTES):
+            for batch in slices(whole, "text"):
                 column = batch.column(batch.schema.get_field_index("key"))
                 for i, raw in enumerate(texts_of(batch, "text")):
                     ids = b"".join([*encode(raw), end])
@@ -176,6 +216,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, key: str =
         if held:
             yield filled()
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     # Copies of one row are alike wherever they land, so the text breaks ties within a range only.
     ordered = rows.repartitionByRange(F.col("key").asc_nulls_first()).sortWithinPartitions(F.col("key").asc_nulls_first(), "text")
