@@ -8,12 +8,15 @@ the token there given its neighbours.
 Classes are the most frequent tokens of the whole corpus and six shapes for all
 others; a token's probability is that of its class, divided for a shape by the
 number of different tokens the corpus has of it. All documents are counted; the
-counts also give the output layer its first bias. Training is data-parallel: in each round every task trains a copy of
-the network, in numpy, on the documents of its partition whose hash falls in that
-round's share, and the copies are averaged by the number of tokens each has seen,
-first in `GROUPS` groups on the cluster, then the groups on the driver. The share
-is a fraction of the corpus, so training grows with it. Scoring runs over every
-token of every document; equal windows in a slice of text are computed once.
+counts also give the output layer its first bias.
+
+Training is data-parallel and goes through every document: in each round every
+task trains a copy of the network, in numpy, on that round's share of its rows,
+and the copies are averaged by the number of tokens each has seen, first in
+`GROUPS` groups on the cluster, then the groups on the driver. Rows are dealt to
+shares by the hash of their text and, for copies of one text, in turn. Scoring
+runs over every token of every document; equal windows in a slice of text are
+computed once.
 
 Defined results: null, empty and blank texts have no tokens and score 0 with a
 null mean; repeated rows score alike; a corpus without tokens keeps the untrained
@@ -37,7 +40,8 @@ from stormgrid.llm.perplexity import SHAPES, TOKEN, token_ids
 from stormgrid.session import materialize
 
 CLASSES, SIDE, WIDTH, HIDDEN = 256, 2, 16, 32
-ROUNDS, SHARES, GROUPS = 2, 16, 16
+#: Every document trains in `ROUNDS` / `SHARES` rounds, a whole number.
+ROUNDS, SHARES, GROUPS = 2, 2, 16
 BATCH, RATE = 512, 0.1
 SEED = 11
 
@@ -60,12 +64,18 @@ class Network:
 
     def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Inputs, hidden values and log-probabilities of all classes."""
+        inputs, hidden, logits = self.hidden(context)
+        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+        return inputs, hidden, logits
+
+    def hidden(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Inputs, hidden values and logits of all classes, 0 at most."""
         w = self.weights
         inputs = w["embed"][context].reshape(len(context), -1)
         hidden = np.tanh(inputs @ w["in"] + w["in_bias"])
-        logits = hidden @ w["out"] + w["out_bias"]
+        logits = hidden @ w["out"]
+        logits += w["out_bias"]
         logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
         return inputs, hidden, logits
 
     def scores(self, context: np.ndarray, target: np.ndarray, at_once: int = 8192) -> np.ndarray:
@@ -78,14 +88,15 @@ class Network:
         order = np.random.default_rng(SEED).permutation(len(target))
         for at in range(0, len(order), BATCH):
             rows = order[at : at + BATCH]
-            inputs, hidden, logp = self.forward(context[rows])
-            wrong = np.exp(logp)
+            inputs, hidden, wrong = self.hidden(context[rows])
+            np.exp(wrong, out=wrong)
+            wrong /= wrong.sum(axis=1, keepdims=True)
             wrong[np.arange(len(rows)), target[rows]] -= 1
             wrong /= len(rows)
             back = (wrong @ w["out"].T) * (1 - hidden**2)
             grads = {"out": hidden.T @ wrong, "out_bias": wrong.sum(axis=0), "in": inputs.T @ back, "in_bias": back.sum(axis=0)}
-            embed = np.zeros_like(w["embed"])
-            np.add.at(embed, context[rows].reshape(-1), (back @ w["in"].T).reshape(-1, WIDTH))
+            cells = (context[rows].reshape(-1, 1) * WIDTH + np.arange(WIDTH)).reshape(-1)
+            embed = np.bincount(cells, (back @ w["in"].T).reshape(-1), w["embed"].size).astype(np.float32).reshape(-1, WIDTH)
             for name, grad in (grads | {"embed": embed}).items():
                 squares[name] += grad**2
                 w[name] -= RATE * grad / np.sqrt(squares[name] + 1e-6)
@@ -145,6 +156,8 @@ def shape_sizes(counted: DataFrame, vocabulary: dict[str, int]) -> dict[int, int
 
 def fit(docs: DataFrame, text: str = "text", classes: int = CLASSES, rounds: int = ROUNDS, shares: int = SHARES) -> tuple[dict[str, int], Network]:
     """The classes of the corpus and the trained network."""
+    if rounds % shares:
+        raise ValueError("rounds must be a multiple of shares: every document trains equally often")
     spark = docs.sparkSession
     counted = materialize(count_tokens(docs, text))
     top = counted.orderBy(F.desc("n"), "token").limit(classes - len(SHAPES)).collect()
@@ -157,19 +170,21 @@ def fit(docs: DataFrame, text: str = "text", classes: int = CLASSES, rounds: int
     inside = np.zeros(len(vocabulary))
     inside[: len(SHAPES)] = [-np.log(max(different.get(i, 1), 1)) for i in range(len(SHAPES))]
     network = Network.start(np.log(share / share.sum()), inside)
-    rows = docs.select(F.col(f"`{text}`").alias("text")).where(F.length("text") > 0)
+    rows = docs.select(F.col(f"`{text}`").alias("text"), F.xxhash64(F.col(f"`{text}`")).alias("hash")).where(F.length("text") > 0)
 
     for number in range(rounds):
         shared = spark.sparkContext.broadcast((vocabulary, network))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, turn=number % shares) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
             known, first = shared.value
             own, of, seen = first.unpacked(np.frombuffer(first.packed(), np.float32).copy()), token_ids(known), 0
             squares = {k: np.full_like(v, 0.01) for k, v in own.weights.items()}
+            deal = dealt(shares)
             for whole in batches:
-                for batch in slices(whole, "text"):
+                held = whole.filter(pa.array(deal(whole.column(whole.schema.get_field_index("hash")).to_pylist()) == turn))
+                for batch in slices(held, "text"):
                     flat, counts = of(texts_of(batch, "text"))
                     own.train(windows(flat, counts, len(known)), flat, squares)
                     seen += len(flat)
@@ -186,8 +201,7 @@ def fit(docs: DataFrame, text: str = "text", classes: int = CLASSES, rounds: int
                     total, seen = total + np.frombuffer(raw, np.float32).astype(np.float64) * n, seen + int(n)
             yield pd.DataFrame({"seen": [seen], "weights": [(total / seen).tobytes()]})
 
-        some = rows.where(F.pmod(F.xxhash64("text"), F.lit(shares)) == number % shares)
-        copies = materialize(some.mapInArrow(run, "part int, seen bigint, weights binary"))
+        copies = materialize(rows.mapInArrow(run, "part int, seen bigint, weights binary"))
         means = copies.groupBy("part").applyInPandas(average, "seen bigint, weights binary").collect()
         if means:
             seen = sum(m.seen for m in means)
@@ -195,6 +209,20 @@ def fit(docs: DataFrame, text: str = "text", classes: int = CLASSES, rounds: int
     return vocabulary, network
 
 
+def dealt(shares: int):
+    """A function from the hashes of a task's next rows to their shares: one after the other for copies of a text."""
+    before: Counter = Counter()
+
+    def of(hashes: list[int]) -> np.ndarray:
+        out = np.empty(len(hashes), dtype=np.int64)
+        for i, h in enumerate(hashes):
+            out[i] = (h + before[h]) % shares
+            before[h] += 1
+        return out
+
+    return of
+
+
 def score(docs: DataFrame, vocabulary: dict[str, int], network: Network, text: str = "text") -> DataFrame:
     """All columns of `docs` but the text, with n_tokens, log_likelihood (sum over all places) and mean_log_likelihood."""
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType()), T.StructField("mean_log_likelihood", T.DoubleType())]

@@ -52,3 +52,18 @@ def test_edges(spark):
     assert sorted(r.n_tokens for r in got) == [0, 0, 2, 2, 2, 20_000]
     assert {(r.log_likelihood, r.mean_log_likelihood) for r in got if r.n_tokens == 0} == {(0.0, None)}
     assert M.score(docs.limit(0), *M.fit(docs.limit(0))).collect() == []
+
+
+def test_every_row_trains(spark, monkeypatch):
+    """Copies of one text are dealt over the rounds, and the rounds go through all rows."""
+    docs = spark.createDataFrame([(i, "one text") for i in range(40)] + [(40 + i, f"text {w}") for i, w in enumerate("abcdefgh")], "doc_id long, text string").coalesce(1)
+    assert M.ROUNDS % M.SHARES == 0
+    with pytest.raises(ValueError, match="multiple"):
+        M.fit(docs, rounds=2, shares=16)
+    turns = np.concatenate([M.dealt(2)([7] * 40 + [8, 9])])
+    assert np.bincount(turns[:40]).tolist() == [20, 20] and sorted(turns[40:]) == [0, 1]
+    seen = []
+    keep = M.materialize
+    monkeypatch.setattr(M, "materialize", lambda frame: (out := keep(frame), seen.append(sum(r.seen for r in out.collect())) if "seen" in out.columns else None)[0])
+    M.fit(docs)
+    assert sum(seen) == 2 * 48 and min(seen) >= 40
