@@ -6,9 +6,11 @@ classes. A document's score is the sum over its places of the log-probability of
 the token there given its neighbours.
 
 Classes are the most frequent tokens of the whole corpus and six shapes for all
-others; a token's probability is that of its class, divided for a shape by the
-number of different tokens the corpus has of it. All documents are counted; the
-counts also give the output layer its first bias.
+others. A token's probability is that of its class, times, for a shape, the
+token's own share of it: its count in the corpus over that of all tokens of the
+shape and one more, which is left for a token that the corpus has not. The table
+of counts holds every token. Its `HOT` most frequent ones go to the tasks, all
+others are joined with the documents by token, so the table may grow with the corpus.
 
 Training is data-parallel and goes through every document: in each round every
 task trains a copy of the network, in numpy, on that round's share of its rows,
@@ -36,12 +38,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stormgrid.llm.common import append_columns, slices, small_batches, texts_of
-from stormgrid.llm.perplexity import SHAPES, TOKEN, token_ids
+from stormgrid.llm.perplexity import SHAPES, TOKEN, shape, token_ids
 from stormgrid.session import materialize
 
 CLASSES, SIDE, WIDTH, HIDDEN = 256, 2, 16, 32
 #: Every document trains in `ROUNDS` / `SHARES` rounds, a whole number.
 ROUNDS, SHARES, GROUPS = 2, 2, 16
+#: Tokens whose counts are broadcast; the counts of all others are joined by token.
+HOT = 1 << 16
 BATCH, RATE = 512, 0.1
 SEED = 11
 
@@ -51,6 +55,11 @@ class Network:
 
     def __init__(self, weights: dict[str, np.ndarray], inside: np.ndarray) -> None:
         self.weights, self.inside = weights, inside
+        #: Count table of the corpus (token, n); stays on the driver.
+        self.counted: DataFrame | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"counted": None}
 
     @classmethod
     def start(cls, bias: np.ndarray, inside: np.ndarray) -> Network:
@@ -142,15 +151,17 @@ def count_tokens(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def shape_sizes(counted: DataFrame, vocabulary: dict[str, int]) -> dict[int, int]:
-    """How many different tokens outside the vocabulary have each shape."""
+    """How often the corpus has tokens outside the vocabulary of each shape."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = token_ids(vocabulary)
         for batch in batches:
             # A token of the corpus is one token again when it is cut out of a text of its own.
-            found, sizes = np.unique(of(texts_of(batch, "token"))[0], return_counts=True)
+            found, back = np.unique(of(texts_of(batch, "token"))[0], return_inverse=True)
+            sizes = np.zeros(len(found), dtype=np.int64)
+            np.add.at(sizes, back, batch.column(batch.schema.get_field_index("n")).to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(sizes, pa.int64())], names=["shape", "n"])
 
-    rows = counted.select("token").mapInArrow(run, "shape bigint, n bigint").where(F.col("shape") < len(SHAPES))
+    rows = counted.select("token", "n").mapInArrow(run, "shape bigint, n bigint").where(F.col("shape") < len(SHAPES))
     return {r.shape: r.n for r in rows.groupBy("shape").agg(F.sum("n").alias("n")).collect()}
 
 
@@ -162,13 +173,12 @@ def fit(docs: DataFrame, text: str = "text", classes: int = CLASSES, rounds: int
     counted = materialize(count_tokens(docs, text))
     top = counted.orderBy(F.desc("n"), "token").limit(classes - len(SHAPES)).collect()
     vocabulary = {w: i for i, w in enumerate([*SHAPES, *(r.token for r in top)])}
-    total = counted.agg(F.sum("n")).first()[0] or 0
+    shaped = shape_sizes(counted, vocabulary)
     share = np.ones(len(vocabulary))
     share[len(SHAPES) :] += [r.n for r in top]
-    share[: len(SHAPES)] += (total - sum(r.n for r in top)) / len(SHAPES)
-    different = shape_sizes(counted, vocabulary)
+    share[: len(SHAPES)] += [shaped.get(i, 0) for i in range(len(SHAPES))]
     inside = np.zeros(len(vocabulary))
-    inside[: len(SHAPES)] = [-np.log(max(different.get(i, 1), 1)) for i in range(len(SHAPES))]
+    inside[: len(SHAPES)] = -np.log(share[: len(SHAPES)])
     network = Network.start(np.log(share / share.sum()), inside)
     rows = docs.select(F.col(f"`{text}`").alias("text"), F.xxhash64(F.col(f"`{text}`")).alias("hash")).where(F.length("text") > 0)
 
@@ -206,6 +216,7 @@ def fit(docs: DataFrame, text: str = "text", classes: int = CLASSES, rounds: int
         if means:
             seen = sum(m.seen for m in means)
             network = network.unpacked(sum(np.frombuffer(m.weights, np.float64) * (m.seen / seen) for m in means))
+    network.counted = counted
     return vocabulary, network
 
 
@@ -223,17 +234,40 @@ def dealt(shares: int):
     return of
 
 
-def score(docs: DataFrame, vocabulary: dict[str, int], network: Network, text: str = "text") -> DataFrame:
+def score(docs: DataFrame, vocabulary: dict[str, int], network: Network, text: str = "text", hot_tokens: int = HOT) -> DataFrame:
     """All columns of `docs` but the text, with n_tokens, log_likelihood (sum over all places) and mean_log_likelihood."""
-    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType()), T.StructField("mean_log_likelihood", T.DoubleType())]
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, network))
+    fields = [
+        T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType()), T.StructField("__rare", T.ArrayType(T.StringType())),
+    ]
+    spark = docs.sparkSession
+    # A token met once adds log 1 to what `inside` has for its shape.
+    more = spark.createDataFrame([], "token string, n bigint") if network.counted is None else network.counted.where("n > 1")
+    hot = more.orderBy(F.desc("n"), "token").limit(len(vocabulary) + hot_tokens).collect()
+    hot = {r.token: r.n for r in hot if r.token not in vocabulary}
+    shared = spark.sparkContext.broadcast((vocabulary, network, hot))
 
     def make():
-        known, trained = shared.value
-        of, base = token_ids(known), len(known) + 1
+        import re
+
+        known, trained, frequent = shared.value
+        base, find = len(known) + 1, re.compile(TOKEN).findall
+
+        class Ids(dict):
+            def __missing__(self, token: str) -> int:
+                return -1 - known[shape(token)]
+
+        # Classes, then the frequent tokens; below 0 the shapes of all others.
+        ids = Ids({**known, **{t: len(known) + i for i, t in enumerate(frequent)}})
+        own = np.concatenate([np.arange(len(known)), np.array([known[shape(t)] for t in frequent], dtype=np.int64)])
+        logs = np.concatenate([np.zeros(len(known)), np.log(np.array(list(frequent.values()), dtype=np.float64))])
 
         def work(texts):
-            flat, counts = of(texts)
+            lists = [find(t.decode("utf-8", "replace")) for t in texts]
+            counts = np.array([len(x) for x in lists], dtype=np.int64)
+            found = np.fromiter((i for x in lists for i in map(ids.__getitem__, x)), dtype=np.int64, count=int(counts.sum()))
+            away = found < 0
+            at = np.where(away, 0, found)
+            flat = np.where(away, -1 - found, own[at])
             # A window and its token are one number; different ones are computed once.
             key = flat.copy()
             for column in windows(flat, counts, len(known)).T:
@@ -242,12 +276,21 @@ def score(docs: DataFrame, vocabulary: dict[str, int], network: Network, text: s
             context, rest = np.empty((len(different), 2 * SIDE), dtype=np.int64), different
             for c in range(2 * SIDE - 1, -1, -1):
                 rest, context[:, c] = np.divmod(rest, base)
-            sums = np.concatenate([[0.0], np.cumsum(trained.scores(context, rest)[back], dtype=np.float64)])
+            sums = np.concatenate([[0.0], np.cumsum(trained.scores(context, rest)[back] + np.where(away, 0.0, logs[at]), dtype=np.float64)])
             ends = np.cumsum(counts)
             value = sums[ends] - sums[ends - counts]
-            mean = np.divide(value, counts, out=np.zeros(len(counts)), where=counts > 0)
-            return counts, value, pa.array(mean, pa.float64(), mask=counts == 0)
+            words = [t for x in lists for t in x]
+            rare = pa.array([words[i] for i in np.flatnonzero(away).tolist()], pa.string())
+            bounds = np.concatenate([[0], np.cumsum(away)])[np.concatenate([[0], ends])]
+            return counts, value, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), rare)
 
         return work
 
-    return append_columns(docs, text, make, fields, drop=(text,))
+    based = materialize(append_columns(docs.withColumn("__row", F.monotonically_increasing_id()), text, make, fields, drop=(text,)))
+    rest = more.select("token", F.log("n").alias("log_n"))
+    met = based.select("__row", F.explode("__rare").alias("token")).join(rest, "token").groupBy("__row").agg(F.sum("log_n").alias("__more"))
+    whole = F.col("log_likelihood") + F.coalesce("__more", F.lit(0.0))
+    kept = [F.col(f"`{n}`") for n in based.columns if n not in ("n_tokens", "log_likelihood", "mean_log_likelihood", "__row", "__rare")]
+    return based.join(met, "__row", "left").select(
+        *kept, "n_tokens", whole.alias("log_likelihood"), F.when(F.col("n_tokens") > 0, whole / F.col("n_tokens")).alias("mean_log_likelihood")
+    )

@@ -67,3 +67,23 @@ def test_every_row_trains(spark, monkeypatch):
     monkeypatch.setattr(M, "materialize", lambda frame: (out := keep(frame), seen.append(sum(r.seen for r in out.collect())) if "seen" in out.columns else None)[0])
     M.fit(docs)
     assert sum(seen) == 2 * 48 and min(seen) >= 40
+
+
+@pytest.mark.parametrize("hot", [0, 2, 1000])
+def test_tokens_share_a_shape_by_their_counts(spark, hot):
+    """Outside the classes a token has its own share, from the table of all tokens, joined or broadcast."""
+    docs = spark.createDataFrame([(1, "x x x x x x often often often twice twice once"), (2, "x other Title"), (2, "x other Title"), (None, "often new")], "doc_id long, text string")
+    vocabulary, network = M.fit(docs, classes=len(SHAPES) + 1)
+    counts = {r.token: r.n for r in network.counted.collect()}
+    assert vocabulary.keys() == {*SHAPES, "x"} and counts["often"] == 4
+    texts = ["often", "twice", "once", "never", "Title often x twice", ""]
+    got = {r.doc_id: r for r in M.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), vocabulary, network, hot_tokens=hot).collect()}
+    for i, t in enumerate(texts):
+        flat, _ = M.token_ids(vocabulary)([t.encode()])
+        total = 0.0
+        for p, (token, word) in enumerate(zip(flat, t.split(), strict=True)):
+            around = [flat[q] if 0 <= q < len(flat) else len(vocabulary) for q in (p - 2, p - 1, p + 1, p + 2)]
+            in_shape = sum(n for w, n in counts.items() if w not in vocabulary and vocabulary[M.shape(w)] == token)
+            total += network.forward(np.array([around]))[2][0, token] + (0 if word in vocabulary else np.log(counts.get(word, 1) / (in_shape + 1)))
+        assert got[i].log_likelihood == pytest.approx(total, abs=1e-3) and got[i].n_tokens == len(flat)
+    assert got[0].log_likelihood > got[1].log_likelihood > got[2].log_likelihood
