@@ -7,8 +7,11 @@ text. Weights are summed over windows of `WINDOW` lines. Where the sums rise fro
 zero the text surges, where they fall back to zero it dives; a stretch between a
 surge and a dive whose highest sum reaches `SURGE` characters (or the highest
 sum of the page, if that is less) is main text, and the lines in it with any
-weight are kept in page order. On a page with an article or main element the
-lines outside it weigh nothing and every stretch inside it is kept.
+weight are kept in page order. Lines in an article or main element
+weigh `FAVOUR` times their length (once if mostly link text), and stretches end
+where such an element begins or ends; the threshold holds inside and outside alike.
+An article or main element that its class, id or role marks, or that is hidden, is
+no article text either.
 
 Defined results: null, empty and text-free pages give an empty text; repeated
 pages are treated alike; an unclosed comment, script or style runs to the end
@@ -28,6 +31,8 @@ from stormgrid.llm.common import append_columns
 
 WINDOW = 3
 SURGE = 80
+#: Weight of a character in an article or main element; 1 elsewhere.
+FAVOUR = 4
 
 #: Elements that begin a new line, that hold no article text, that hold no text at all, that are never closed.
 BLOCKS = frozenset(
@@ -58,7 +63,7 @@ def is_outside(name: str, attributes: str, in_article: bool) -> bool:
     """Whether an element holds no article text; the header of an article does."""
     if name in OUTSIDE or (name == "header" and not in_article):
         return True
-    if not attributes or name in ("html", "body", "article", "main"):
+    if not attributes or name in ("html", "body"):
         return False
     if HIDDEN.search(attributes):
         return True
@@ -129,27 +134,43 @@ def lines_of(page: str) -> list[tuple[str, bool, int, bool]]:
     return lines
 
 
+def weight_of(text: str, may: bool, linked: int, inside: bool) -> int:
+    """Weight of a line; one of mostly link text is not favoured inside an article, and weighs nothing outside."""
+    if not may:
+        return 0
+    plain = 2 * linked <= len(text)
+    return len(text) * ((FAVOUR if plain else 1) if inside else plain)
+
+
 def main_text(page: str, window: int = WINDOW, surge: int = SURGE) -> str:
     lines = lines_of(page)
-    held = any(inside and may and text for text, may, _, inside in lines)
-    weights = [len(text) if may and text and (inside or not held and 2 * linked <= len(text)) else 0 for text, may, linked, inside in lines]
-    sums, total = [], sum(weights[: window - 1])
-    for i, weight in enumerate(weights):  # the window of line i and those after it
-        total += weights[i + window - 1] if i + window - 1 < len(weights) else 0
-        sums.append(total)
-        total -= weight
-    least = 1 if held else min(surge, max(sums, default=0))
+    weights = [weight_of(*line) for line in lines]
+    sums = [0] * len(lines)
+    runs: list[tuple[int, int]] = []  # lines in a row that are all inside an article or main element, or all outside
+    for i in range(len(lines)):
+        if i and lines[i][3] == lines[i - 1][3]:
+            runs[-1] = (runs[-1][0], i + 1)
+        else:
+            runs.append((i, i + 1))
+    for first, last in runs:
+        total = sum(weights[first : min(first + window - 1, last)])
+        for i in range(first, last):  # the window of line i and those after it
+            total += weights[i + window - 1] if i + window - 1 < last else 0
+            sums[i] = total
+            total -= weights[i]
+    least = max(min(surge, max(sums, default=0)), 1)
     kept: list[str] = []
-    at = 0
-    while at < len(sums):
-        if not sums[at]:
-            at += 1
-            continue
-        start = at
-        while at < len(sums) and sums[at]:
-            at += 1
-        if max(sums[start:at]) >= max(least, 1):
-            kept += [lines[i][0] for i in range(start, at) if weights[i]]
+    for first, last in runs:
+        at = first
+        while at < last:
+            if not sums[at]:
+                at += 1
+                continue
+            start = at
+            while at < last and sums[at]:
+                at += 1
+            if max(sums[start:at]) >= least:
+                kept += [lines[i][0] for i in range(start, at) if weights[i]]
     return "\n\n".join(kept)
 
 

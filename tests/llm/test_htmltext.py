@@ -47,3 +47,14 @@ def test_whole_pages_of_the_table(spark):
         number = int("".join(c for c in r.url.split("://")[1].split("/")[2].split(".")[0].split("?")[0].split("#")[0] if c.isdigit()))
         lines = [" ".join(x.split()) for x in texts[number].split("\n")]
         assert r.text.split("\n\n")[1:] == [x for x in lines if x]
+
+
+def test_articles_are_weighed_not_switched_on():
+    gap = "<div></div>" * 4
+    # A teaser or comment in an article does not displace the text outside it.
+    assert H.main_text(f"<div><p>{LONG}</p><p>more</p></div>{gap}<article><p>Read on</p></article>") == f"{LONG}\n\nmore"
+    assert H.main_text(f"<div><p>{LONG}</p></div><article class='comment'><p>I say {LONG}</p></article>") == LONG
+    assert H.main_text(f"<p>{LONG}</p><main hidden><p>{LONG} twice</p></main><article id='comment-7'>{LONG}</article>") == LONG
+    # The threshold holds inside as well, with more weight.
+    assert H.main_text(f"<article><p>{LONG}</p>{gap}<p>ad</p>{gap}<p>A short but whole sentence.</p></article>{gap}<p>A short but whole sentence.</p>") == f"{LONG}\n\nA short but whole sentence."
+    assert H.main_text(f"<article><p>{LONG}</p></article><div>tiny</div>") == LONG
