@@ -16,8 +16,9 @@ survivors verified by their bits.
 
 Copies share a fingerprint, so keys hold different fingerprints only. Keys with
 more than `CHUNK` of them (large groups of near copies) are dealt into chunks of
-about that size by hash, and chunk pairs are compared as separate rows: work is
-spread over all tasks and each pair of chunks gives at most as many links as it
+about that size by hash, and chunk pairs are compared as separate rows. `TILE`
+chunks make a tile; pairs of a key are dealt by their two tiles, so the work is
+spread over all tasks, a chunk travels once per tile and not per chunk, and each pair of chunks gives at most as many links as it
 has fingerprints (a star for each component of its links), never all pairs.
 
 Defined results: null, empty and blank texts have fingerprint zero, linked like
@@ -46,6 +47,8 @@ DISTANCE = 4
 SEED = 42
 #: Different fingerprints of one key that one task compares with each other or with as many more.
 CHUNK = 1024
+#: Chunks of one key in a tile; two tiles are compared in one place.
+TILE = 8
 #: Reference fingerprints of the table of whole fingerprints, and of each block's table.
 PIVOTS = 16
 
@@ -105,19 +108,28 @@ def keyed(distinct: DataFrame, distance: int) -> DataFrame:
     return tables.select("fingerprint", F.explode(keys).alias("key"))
 
 
+def chunk_pairs(chunks: DataFrame, tile: int = TILE) -> DataFrame:
+    """Each two chunks of a key once, dealt over the tasks by key and tiles.
+
+    The number of partitions is given, since adaptive coalescing goes by bytes: chunks are small, their pairs much work.
+    """
+    several, own = chunks.where("parts > 1"), F.expr(f"part div {tile}").cast("int")
+    last = F.expr(f"(parts - 1) div {tile}").cast("int")
+    number, by = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), ["key", "tile", "other_tile"]
+    left = several.select("key", "part", "held", own.alias("tile"), F.explode(F.sequence(own, last)).alias("other_tile"))
+    right = several.select("key", F.col("part").alias("other_part"), F.col("held").alias("other"), F.explode(F.sequence(F.lit(0), own)).alias("tile"), own.alias("other_tile"))
+    return left.repartition(number, *by).join(right.repartition(number, *by), by).where("part < other_part")
+
+
 def links(distinct: DataFrame, distance: int = DISTANCE, chunk: int = CHUNK) -> DataFrame:
     """Pairs (a, b) with the same connected components as all fingerprints within `distance` bits of each other."""
     rows = materialize(keyed(distinct, distance))
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     spread = F.pmod(F.xxhash64("fingerprint", F.lit("chunk")), F.ceil(F.col("n") / chunk)).cast("int")
     chunks = materialize(
-        rows.join(sizes, "key").groupBy("key", spread.alias("part")).agg(F.collect_list("fingerprint").alias("held"))
-    )
-    left = chunks.select("key", "part", "held")
-    right = chunks.select("key", F.col("part").alias("other_part"), F.col("held").alias("other"))
-    pairs = left.where(F.size("held") > 1).select("held", F.lit(None).cast("array<bigint>").alias("other")).unionByName(
-        left.join(right, "key").where("part < other_part").select("held", "other")
+        rows.join(sizes, "key").groupBy("key", spread.alias("part")).agg(F.collect_list("fingerprint").alias("held"), F.first(F.ceil(F.col("n") / chunk)).cast("int").alias("parts"))
     )
+    pairs = chunks.where(F.size("held") > 1).select("held", F.lit(None).cast("array<bigint>").alias("other")).unionByName(chunk_pairs(chunks).select("held", "other"))
     references = np.array(pivots(), dtype=np.uint64)
 
     def near(a: np.ndarray, b: np.ndarray, table_a: np.ndarray, table_b: np.ndarray) -> np.ndarray:

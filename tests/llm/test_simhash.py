@@ -77,3 +77,14 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101), (101, 100), (50, 50)], "a long, b long")
     got = {r.node: r.component for r in components(edges).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+
+
+def test_chunk_pairs_of_one_key_spread_over_tasks(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(7, p, [p], 20) for p in range(20)] + [(8, 0, [1], 1)]
+    pairs = S.chunk_pairs(spark.createDataFrame(rows, "key long, part int, held array<bigint>, parts int"), tile=2)
+    found = pairs.select("part", "other_part", "held", "other", F.spark_partition_id().alias("task")).collect()
+    assert sorted((r.part, r.other_part) for r in found) == [(a, b) for a in range(20) for b in range(a + 1, 20)]
+    assert all(r.held == [r.part] and r.other == [r.other_part] for r in found)
+    assert len({r.task for r in found}) > 1
