@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormgrid.llm import bpe, decontaminate, htmltext, idfile, licenses, maskedlm, perplexity, rules, simhash, urlfilter
+from stormgrid.llm import bpe, conversations, decontaminate, htmltext, idfile, licenses, maskedlm, perplexity, rules, simhash, urlfilter
 from stormgrid.llm.common import load
 from stormgrid.session import work_path
 
@@ -183,3 +183,10 @@ def op10_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, word_vocabulary(), decoded=True, drop=("text",))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults planted in every conversation and their cheapest repair."""
+    damaged = conversations.damage(load(spark, folder, "conversations"))
+    return conversations.repair(damaged, present="present")
