@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormgrid.llm import bpe, conversations, decontaminate, htmltext, idfile, licenses, maskedlm, perplexity, rules, simhash, urlfilter
+from stormgrid.llm import bpe, conversations, decontaminate, htmltext, idfile, licenses, maskedlm, merkle, perplexity, rules, simhash, urlfilter
 from stormgrid.llm.common import load
 from stormgrid.session import work_path
 
@@ -190,3 +190,18 @@ def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     """Faults planted in every conversation and their cheapest repair."""
     damaged = conversations.damage(load(spark, folder, "conversations"))
     return conversations.repair(damaged, present="present")
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, way to the root, and check of every document after a third of them was tampered with."""
+    def leaf(text):
+        return merkle.leaf(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+
+    hit = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")) % 3 == 0
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    docs = load(spark, folder, "documents")
+    leaves = docs.select("doc_id", "lang", leaf(F.col("text")).alias("leaf"), F.when(hit, leaf(lowered)).alias("tampered"))
+    proved = merkle.manifest(leaves, "lang", "doc_id", carried=("tampered",))
+    folded = proved.withColumn("folded_root", merkle.fold(F.col("steps"), F.coalesce("tampered", "leaf")))
+    return folded.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("steps")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
