@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormgrid.llm import bpe, conversations, decontaminate, htmltext, idfile, licenses, maskedlm, merkle, perplexity, rules, simhash, urlfilter
+from stormgrid.llm import bpe, conversations, decontaminate, htmltext, idfile, licenses, maskedlm, merkle, perplexity, rules, simhash, urlfilter, warc
 from stormgrid.llm.common import load
 from stormgrid.session import work_path
 
@@ -205,3 +205,12 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     proved = merkle.manifest(leaves, "lang", "doc_id", carried=("tampered",))
     folded = proved.withColumn("folded_root", merkle.fold(F.col("steps"), F.coalesce("tampered", "leaf")))
     return folded.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("steps")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's record, written to archives and read back through their index."""
+    path, pages = work_path(spark, "warc"), load(spark, folder, "pages")
+    warc.write(pages, path)
+    found = warc.read(spark, path, pages.schema["page_id"].dataType.simpleString())
+    return found.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
