@@ -244,7 +244,6 @@ def _gathered(rows: DataFrame, kind: str) -> DataFrame:
             yield _batch([conv], [repaired(*held)], batch.schema.field(0).type)
         release_memory()
 
-    # One conversation's rows are no more than `bytes_at_once`, so batches may hold many rows.
     ordered = rows.repartition("conv").sortWithinPartitions(F.asc_nulls_first("conv"), F.asc_nulls_first("turn"), "role", "text")
     return ordered.select("conv", "turn", "role", "text", "present").mapInArrow(run, f"conv {kind}, {RESULT}")
 

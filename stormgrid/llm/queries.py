@@ -214,3 +214,75 @@ def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
     warc.write(pages, path)
     found = warc.read(spark, path, pages.schema["page_id"].dataType.simpleString())
     return found.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: The checksum table of CRC-32 in SQL, and the checksum of an ASCII text by it.
+_CRC_TABLE = "SELECT list(v ORDER BY n) AS t FROM (SELECT n, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n) AS v FROM range(256) b(n))"
+_CRC = "xor(list_reduce(list_transform(string_split({0}, ''), lambda x: CAST(ascii(x) AS BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"
+
+SQL["op11_warc"] = r"""
+WITH page AS (SELECT page_id, coalesce(html, '') AS html, row_number() OVER w AS r, first_value(page_id) OVER w AS top
+  FROM pages WINDOW w AS (PARTITION BY coalesce(html, '') ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST)),
+hashed AS (SELECT *, sha1(html) AS h FROM page),
+cut AS (SELECT *, list_transform(range(8), lambda j: list_reduce(list_transform(string_split(substr(h, CAST(5 * j + 1 AS BIGINT), 5), ''), lambda c: strpos('0123456789abcdef', c) - 1), lambda a, d: 16 * a + d, 0)) AS v FROM hashed)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(v, lambda x: array_to_string(list_transform([15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((x >> s) & 31 AS BIGINT) + 1, 1)), '')), '') AS payload_digest,
+  CASE WHEN r = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN r > 1 THEN top END AS refers_to
+FROM cut"""
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(CAST({value} AS VARCHAR)) || ':' || {value} END"
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+SQL["op12_merkle_manifest"] = rf"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}),
+doc AS (SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, sha256({" || ".join(map(_field, ["doc_id", "source", "lang", "n_chars", "text"]))}) AS leaf,
+  CASE WHEN {_CRC.format("CAST(doc_id AS VARCHAR)")} % 3 = 0 THEN sha256({" || ".join(map(_field, ["doc_id", "source", "lang", "n_chars", _LOWERED]))}) END AS changed FROM documents, crc),
+own AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY g) AS n, row_number() OVER () AS r FROM doc),
+node(g, lvl, idx, h, n) AS (SELECT g, 0, idx, leaf, n FROM own
+  UNION ALL SELECT g, lvl + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), (n + 7) // 8 FROM node WHERE n > 1 GROUP BY g, lvl, idx // 8, n),
+sub AS (SELECT g, h FROM node WHERE n = 1),
+top(lvl, idx, h, n) AS (SELECT 0, g, h, (SELECT count(*) FROM sub) FROM sub
+  UNION ALL SELECT lvl + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), (n + 7) // 8 FROM top WHERE n > 1 GROUP BY lvl, idx // 8, n),
+beside AS (
+  SELECT r, s.lvl, s.idx AS idx, own.idx >> (3 * s.lvl) AS me, s.h FROM own JOIN node s ON s.g = own.g AND s.n > 1 AND s.idx // 8 = (own.idx >> (3 * s.lvl)) // 8
+  UNION ALL SELECT r, 100 + s.lvl, s.idx, own.g >> (3 * s.lvl), s.h FROM own JOIN top s ON s.n > 1 AND s.idx // 8 = (own.g >> (3 * s.lvl)) // 8),
+step AS (SELECT r, lvl, coalesce(string_agg(h, '' ORDER BY idx) FILTER (idx < me), '') AS a, coalesce(string_agg(h, '' ORDER BY idx) FILTER (idx > me), '') AS b FROM beside GROUP BY r, lvl),
+way AS (SELECT r, string_agg(a || b, '' ORDER BY lvl) AS siblings, list([a, b] ORDER BY lvl) AS steps FROM step GROUP BY r),
+folded AS (SELECT own.*, coalesce(siblings, '') AS siblings, list_reduce(list_prepend([coalesce(changed, leaf), ''], coalesce(steps, [])), lambda x, s: [sha256(s[1] || x[1] || s[2]), ''])[1] AS folded_root FROM own LEFT JOIN way USING (r))
+SELECT doc_id, leaf, sub.h AS subroot, (SELECT h FROM top WHERE n = 1) AS root, sha256(siblings) AS proof_sha256, folded_root, folded_root = (SELECT h FROM top WHERE n = 1) AS verified
+FROM folded JOIN sub USING (g)"""
+
+#: States of the repaired sequence: nothing yet, after s, after u, after a; and what a user or assistant row put there leads to.
+_NEXT = "CASE WHEN {0} = 2 THEN 3 ELSE 2 END"
+_SAYS = "CASE WHEN {0} = 2 THEN 'assistant' ELSE 'user' END"
+_EDITED = f"""SELECT t.g, t.i + 1 AS i, CASE edit WHEN 'D' THEN st WHEN 'K' THEN CASE c WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END ELSE {_NEXT.format("st")} END AS st,
+  cost + CASE edit WHEN 'D' THEN 2 WHEN 'K' THEN 5 * cut ELSE 1 + 5 * cut END AS cost, audit || edit AS audit,
+  o || CASE edit WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || role || ':' || text ELSE chr(10) || {_SAYS.format("st")} || ':' || text END AS o
+  FROM t JOIN coded ON coded.g = t.g AND coded.i = t.i + 1, (VALUES ('D'), ('K'), ('R')) e(edit)
+  WHERE edit = 'D' OR NOT gone AND (edit = 'R' OR (c = 's' AND st = 0) OR (c = 'u' AND st <> 2) OR (c = 'a' AND st = 2))"""
+_INSERTED = f"""SELECT g, i, CASE n WHEN 0 THEN st WHEN 1 THEN {_NEXT.format("st")} ELSE {_NEXT.format(f"({_NEXT.format('st')})")} END AS st, cost + 5 * n AS cost, audit || repeat('I', n) AS audit,
+  o || CASE WHEN n > 0 THEN chr(10) || {_SAYS.format("st")} || ':' ELSE '' END || CASE WHEN n > 1 THEN chr(10) || {_SAYS.format(f"({_NEXT.format('st')})")} || ':' ELSE '' END AS o
+  FROM ({{0}}) made, (VALUES (0), (1), (2)) v(n)"""
+SQL["op13_conversation_repair"] = rf"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}),
+given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, dense_rank() OVER (ORDER BY conv_id) AS g, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s FROM conversations),
+kind AS (SELECT *, {_CRC.format("s")} % 20 AS k FROM given, crc),
+damaged AS (SELECT g, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE WHEN k = 0 THEN 0 WHEN k = 3 THEN 2 ELSE 1 END)) FROM kind),
+placed AS (SELECT *, substr(role, 1, 1) AS c, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+marked AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 THEN 'duplicate'
+  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS mark, lag(c) OVER (PARTITION BY g ORDER BY i) || c AS pair FROM placed),
+coded AS (SELECT g, i, c, role, text, mark IN ('blank', 'duplicate') AS gone, CASE WHEN mark = 'truncated' THEN 1 ELSE 0 END AS cut FROM marked),
+t(g, i, st, cost, audit, o) AS (
+  {_INSERTED.format("SELECT DISTINCT g, CAST(0 AS BIGINT) AS i, 0 AS st, 0 AS cost, '' AS audit, '' AS o FROM given")}
+  UNION ALL SELECT g, i, st, cost, audit, o FROM (SELECT *, row_number() OVER (PARTITION BY g, i, st ORDER BY cost, audit) AS nth FROM ({_INSERTED.format(_EDITED)}) every) best WHERE nth = 1),
+size AS (SELECT g, coalesce(max(i), 0) AS n FROM (SELECT DISTINCT g FROM given) LEFT JOIN marked USING (g) GROUP BY g),
+done AS (SELECT t.*, row_number() OVER (PARTITION BY t.g ORDER BY cost, audit) AS nth FROM t JOIN size ON size.g = t.g AND size.n = t.i WHERE st IN (0, 3)),
+counted AS (SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (mark = 'blank') AS blank, count(*) FILTER (mark = 'duplicate') AS duplicate,
+  count(*) FILTER (mark = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM marked GROUP BY g)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(cost AS BIGINT) AS cost, audit, sha256(substr(o, 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, g FROM given) JOIN done USING (g) LEFT JOIN counted USING (g) WHERE nth = 1"""
