@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from stormgrid import constants as C
 from stormgrid.functions import intervals, weather
+from stormgrid.models import selection
 from stormgrid.session import materialize
 
 SEED = 17
@@ -70,6 +71,16 @@ def fit_outage_count(df: DataFrame, features: list[str], target: str = "OUTAGES"
     return _fit(df.where(F.col(target) > 0), features, F.log(target), LinearRegression(regParam=ridge), "exp")
 
 
+def choose_outage_inputs(df: DataFrame, features: list[str], target: str = "OUTAGES") -> selection.Chosen:
+    """Linear regression on the log of the number of outages, on the inputs that a stepwise search keeps."""
+    return selection.stepwise(df.where(F.col(target) > 0), features, F.log(target), "exp")
+
+
+def choose_customer_hinges(df: DataFrame, features: list[str] = C.CUSTOMER_MODEL_FEATURES, target: str = "CUST_QTY") -> selection.Chosen:
+    """Additive splines on the cube root, with knots and terms chosen by search."""
+    return selection.splines(df, features, F.cbrt(target), "cube")
+
+
 def with_hinges(df: DataFrame, knots: dict[str, list[float]]) -> DataFrame:
     """max(0, x - k) at the given knots; with x itself they span all lines that bend there. A missing x stays missing."""
     columns = {}
@@ -90,13 +101,13 @@ def fit_customers(df: DataFrame, features: list[str] = C.CUSTOMER_MODEL_FEATURES
     return _fit(hinged, [*features, *inputs], F.cbrt(target), LinearRegression(regParam=ridge), "cube", knots)
 
 
-def forecast_outages(model: Regression, scores: DataFrame) -> DataFrame:
+def forecast_outages(model: Regression | selection.Chosen, scores: DataFrame) -> DataFrame:
     predicted = model.predict(scores, "predicted_Number_of_OUTAGES").select("Date", "predicted_Number_of_OUTAGES")
     low, high = intervals.outage_interval(F.col("predicted_Number_of_OUTAGES"))
     return predicted.withColumns({"Outages_LL_95": low, "Outages_UL_95": high})
 
 
-def forecast_customers(model: Regression, days: DataFrame) -> DataFrame:
+def forecast_customers(model: Regression | selection.Chosen, days: DataFrame) -> DataFrame:
     predicted = model.predict(days, "Predicted_Cust_Qty").select("Date", F.bround("Predicted_Cust_Qty", 0).alias("Predicted_Cust_Qty"))
     low, high = intervals.customer_interval(F.col("Predicted_Cust_Qty"))
     return predicted.withColumns({"Customers_LL_95": low, "Customers_UL_95": high})

@@ -29,8 +29,8 @@ def expected_days(history: DataFrame, actuals: DataFrame, forecast: DataFrame, t
     totals = materialize(actuals.withColumnRenamed("Outages_recorded", "OUTAGES"))
     scored = model.scores(past).join(totals.select("Date", "OUTAGES"), "Date")
     names = [f"PC{i + 1}" for i in range(len(model.signs))]
-    count_model = forecasts.fit_outage_count(scored, names)
-    customer_model = forecasts.fit_customers(customer_days(history).join(totals.select("Date", "CUST_QTY"), "Date"))
+    count_model = forecasts.choose_outage_inputs(scored, names)
+    customer_model = forecasts.choose_customer_hinges(customer_days(history).join(totals.select("Date", "CUST_QTY"), "Date"))
     outages = forecasts.forecast_outages(count_model, model.scores(wide_days(forecast, features, complete_only=False)))
     customers = forecasts.forecast_customers(customer_model, customer_days(forecast))
     return joins.collate_forecasts(outages, customers, today)
