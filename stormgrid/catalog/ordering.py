@@ -15,6 +15,7 @@ from stormgrid.models import forecasts
 from stormgrid.operators import aggregate, joins, latest, ordered, trailing
 from stormgrid.plans import diagnostics, restoration
 from stormgrid.session import materialize, work_path
+from stormgrid.sources import sinks, snapshots
 
 
 @query("rank_subsequent", sql("outage_events", "SELECT OUTAGE_ID, dense_rank() OVER (PARTITION BY CAST(CREATION_DATETIME AS DATE) ORDER BY CREATION_DATETIME) AS RANK_SUBSEQUENT_OUTAGES FROM outage_events"))
@@ -157,10 +158,10 @@ def live_outage_dataset(spark, folder):
     return curated_live(spark, folder).select(*CURATED_COLS, *_FILLED_SQL)
 
 
-def curated_live(spark, folder):
+def curated_live(spark, folder, run_ts=None):
     """The outages are read by several steps, so they are stored once."""
     outages = materialize(live_table(spark, folder))
-    located = restoration.located_outages(outages, t.location(spark, folder))
+    located = restoration.located_outages(outages, t.location(spark, folder), run_ts)
     weathered = restoration.weather_outages(located, t.forecast_day(spark, folder), FEATURES)
     return restoration.curated_outages(weathered, predicted_outages(outages))[0]
 
@@ -177,20 +178,23 @@ MODEL_INPUTS = [
     "published_predictions",
     sql("live_grain live_flags cities latest_day markers depots storm_profiles",
         f"""SELECT place, OUTAGE_ID, INCIDENT_ID, STRCTUR_NO, CIRCT_ID, DNI_EQUIP_TYPE, strftime(CREATION_DATETIME, '%Y/%m/%d %H:%M:%S') AS Creation_Time,
-          CASE WHEN clusters IS NOT NULL THEN {PROFILE_SQL} END AS Weather_Profile, '{RUN_TS[:16]}' AS Last_Updated, CAST(1 AS BIGINT) AS timed
+          CASE WHEN clusters IS NOT NULL THEN {PROFILE_SQL} END AS Weather_Profile, '{RUN_TS[:16]}' AS Last_Updated, CAST({RUN_TS[:16].translate(str.maketrans('', '', '-: '))} AS BIGINT) AS INSERTION_TIME, CAST(1 AS BIGINT) AS timed
         FROM fresh f LEFT JOIN storm_profiles b ON CAST(f.CREATION_DATETIME AS DATE) = CAST(b."timestamp" AS DATE) AND f.Marker_Location = b.Location
         CROSS JOIN (VALUES ('history'), ('history'), ('live')) AS p(place)""", _CURATED),
 )
 def published_predictions(spark, folder):
     """Two runs from the raw feeds to both published tables; the forest learns from the history's durations."""
-    curated = materialize(curated_live(spark, folder))
+    run_ts = F.lit(RUN_TS).cast("timestamp")
+    curated = materialize(curated_live(spark, folder, run_ts))
     actual = aggregate.with_restoration_minutes(diagnostics.facility_outages(t.facility(spark, folder))).select("OUTAGE_ID", "TTR")
     model = forecasts.fit_restoration(flags.model_indicators(curated).join(actual, "OUTAGE_ID"), MODEL_INPUTS, trees=5, depth=4)
-    history, live = work_path(spark, "predictions"), work_path(spark, "live-predictions")
-    for _ in range(2):
-        restoration.publish_predictions(curated, model, t.storm_profiles(spark, folder), F.lit(RUN_TS).cast("timestamp"), history, live)
-    both = latest.union_all(*[spark.read.parquet(path).withColumn("place", F.lit(place)) for place, path in (("history", history), ("live", live))])
+    root = work_path(spark, "predictions")
+    for run in ("first", "second", "second"):  # the repeated run changes nothing
+        restoration.publish_predictions(curated, model, t.storm_profiles(spark, folder), run_ts, root, run)
+    kinds = {"ETR": "double", "INSERTION_TIME": "bigint"}
+    schema = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in [*restoration.PUBLISHED, "INSERTION_TIME", "Last_Updated"])
+    both = latest.union_all(*[snapshots.read(spark, root, place, schema).withColumn("place", F.lit(place)) for place in (sinks.HISTORY, sinks.LIVE)])
     return both.select(
-        "place", "OUTAGE_ID", "INCIDENT_ID", "STRCTUR_NO", "CIRCT_ID", "DNI_EQUIP_TYPE", "Creation_Time", "Weather_Profile", "Last_Updated",
+        "place", "OUTAGE_ID", "INCIDENT_ID", "STRCTUR_NO", "CIRCT_ID", "DNI_EQUIP_TYPE", "Creation_Time", "Weather_Profile", "Last_Updated", "INSERTION_TIME",
         F.col("Estimated_Restoration_Time").isNotNull().cast("int").alias("timed"),
     )

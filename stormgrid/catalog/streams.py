@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stormgrid import constants as C
 from stormgrid.catalog import tables as t
@@ -20,12 +21,17 @@ def _stream(spark, folder, name):
 
 
 def _late_events(spark, folder):
-    """All events as three files whose days are dealt out in turn, the last ones first: batches come out of date order."""
+    """All events as three folders whose days are dealt out in turn, the last ones first: batches come out of date order.
+
+    Each folder is written in parallel; files are picked up in the order of their
+    times, a third of them in a batch.
+    """
     feed, rows = work_path(spark, "feed"), t.load(spark, folder, "events")
     turn = F.coalesce(F.pmod(F.unix_date(F.to_date("ts")), F.lit(3)), F.lit(0))
     for part in (2, 0, 1):
-        rows.where(turn == part).coalesce(1).write.mode("append").parquet(feed)
-    return jobs.read_feed(spark, feed, rows.schema, "*.parquet", "parquet", files_per_batch=1)
+        rows.where(turn == part).write.parquet(f"{feed}/turn-{part}")
+    files = spark.read.parquet(f"{feed}/*").inputFiles()
+    return jobs.read_feed(spark, f"{feed}/*", rows.schema, "*.parquet", "parquet", files_per_batch=-(-len(files) // 3))
 
 
 def _event_stream(spark, folder):
@@ -84,4 +90,4 @@ def stream_trailing_counts(spark, folder):
     live = _event_stream(spark, folder).where(F.col("event_type").isin("signup", "error", "purchase"))
     history = t.outage_events(spark, folder).where(F.col("event_type").isin("view", "click"))
     jobs.trailing_count_batches(live.drop("event_type"), history, out, work_path(spark, "trailing-progress"))
-    return jobs.newest_rows(spark, out, ["OUTAGE_ID"]).select("OUTAGE_ID", *[f"Outages_in_last_{k}hr" for k in range(1, C.TRAILING_HOURS + 1)])
+    return jobs.trailing_table(spark, out, T.StructField("OUTAGE_ID", T.StringType())).select("OUTAGE_ID", *[f"Outages_in_last_{k}hr" for k in range(1, C.TRAILING_HOURS + 1)])

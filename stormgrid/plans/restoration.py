@@ -59,7 +59,7 @@ def curated_outages(outages: DataFrame, predictions: DataFrame, counters: DataFr
     counted = fresh.withColumn("Date", F.to_date("CREATION_DATETIME")).join(running, "Date", "left").drop("Date")
     worded = flags.flags_to_text(counted)
     # Flags, sums and the city are never missing.
-    whole = {*C.GRAIN, "OUTAGE_ID", "CREATION_DATETIME", "CALL_QTY", "CUST_QTY", *(name for mask in aggregate.MASKS.values() for name in mask)}
+    whole = {*C.GRAIN, "OUTAGE_ID", "INSERTION_TIME", "CREATION_DATETIME", "CALL_QTY", "CUST_QTY", *(name for mask in aggregate.MASKS.values() for name in mask)}
     gaps = [c for c in worded.columns if c not in whole]
     filled = forward_fill(worded, gaps, ["CREATION_DATETIME", *C.GRAIN])
     filled = materialize(filled.withColumn("CITY_NAM", F.coalesce("CITY_NAM", F.lit(C.NO_CITY))))
@@ -85,12 +85,14 @@ def restoration_output(scored: DataFrame, profiles: DataFrame, prediction: str =
     allowed = scored.withColumn(prediction, times.business_minutes(F.col(prediction)))
     labelled = joins.with_profile(allowed, profiles)
     created = F.col("CREATION_DATETIME")
+    # Outages of a live run carry the moment they came in.
+    inserted = [c for c in ("INSERTION_TIME",) if c in scored.columns]
     return labelled.select(
         "OUTAGE_ID", "INCIDENT_ID", "STRCTUR_NO", "CIRCT_ID", "DNI_EQUIP_TYPE",
         times.slash_stamp(created).alias("Creation_Time"),
         times.slash_stamp(times.restoration_time(created, F.col(prediction))).alias("Estimated_Restoration_Time"),
         F.bround(prediction, 0).alias("ETR"),
-        F.col("Cluster_ID").alias("Weather_Profile"),
+        F.col("Cluster_ID").alias("Weather_Profile"), *inserted,
     )
 
 
@@ -98,12 +100,12 @@ def stamped(output: DataFrame, run_ts: Column) -> DataFrame:
     return output.withColumn("Last_Updated", F.date_format(run_ts, "yyyy-MM-dd HH:mm"))
 
 
-def publish_predictions(curated: DataFrame, model: Regression, profiles: DataFrame, run_ts: Column, history_path: str, live_path: str) -> None:
-    """Curated outages to published restoration times: scored, stamped, appended to the history, put in place of the live table.
+def publish_predictions(curated: DataFrame, model: Regression, profiles: DataFrame, run_ts: Column, root: str, token: str) -> None:
+    """Curated outages to published restoration times: scored, stamped, appended to the history and put in place of the live table at once.
 
     An outage that lacks an input of the model is published without a time. Steps
     stored on the way are removed when both tables are written.
     """
     with stored_steps(curated.sparkSession):
         scored = model.predict(flags.model_indicators(curated), "Predicted_TTR")
-        sinks.publish(stamped(restoration_output(scored, profiles), run_ts), history_path, live_path)
+        sinks.publish(stamped(restoration_output(scored, profiles), run_ts), root, token)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stormgrid.functions import times
 from stormgrid.session import materialize
+from stormgrid.sources import snapshots
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -45,11 +46,18 @@ def write_day_slices(df: DataFrame, path: str, today) -> None:
     day_slices(df, today).write.mode("overwrite").partitionBy("day_label").parquet(path)
 
 
-def publish(df: DataFrame, history_path: str, live_path: str) -> None:
-    """One result into two tables: appended to the history, put in place of the live one.
+#: Tables of a published result.
+HISTORY, LIVE = "history", "live"
+
+
+def publish(df: DataFrame, root: str, token: str) -> None:
+    """One result into two tables below `root`: appended to the history, put in place of the live one, both or neither.
 
     The result is stored first, so its plan runs once and both tables get the same rows.
+    A run that repeats with the same token changes nothing.
     """
-    stored = materialize(df)
-    append(stored, history_path)
-    replace(stored, live_path)
+    with snapshots.Transaction(df.sparkSession, root, token) as run:
+        if not run.done:
+            stored = materialize(df)
+            run.append(HISTORY, stored)
+            run.replace(LIVE, stored)

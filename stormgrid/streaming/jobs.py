@@ -7,17 +7,19 @@ available files are used up, and keeps its progress under a checkpoint folder.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stormgrid import constants as C
 from stormgrid.operators import aggregate, joins
 from stormgrid.operators.latest import keep_newest, pick_one
-from stormgrid.operators.trailing import known_outages, trailing_counts
+from stormgrid.operators.trailing import trailing_counts
+from stormgrid.sources import snapshots
 
 
 def read_feed(spark: SparkSession, folder: str, schema: T.StructType, glob: str, fmt: str = "csv", files_per_batch: int | None = None) -> DataFrame:
@@ -137,35 +139,112 @@ def upsert_batches(stream: DataFrame, out: str, checkpoint: str, keys: list[str]
     run_each_batch(stream, lambda df, batch: write_batch(keep_newest(df, keys, by), out, batch), checkpoint)
 
 
+#: Stands for no time where frames without missing values travel.
+NO_TIME = -(1 << 62)
+
+
+def outage_times(stream: DataFrame, history: DataFrame, key: str, ts: str) -> DataFrame:
+    """What each batch changes: key, live, first and event (microseconds), and what they were before.
+
+    `first` is the earliest live time, `event` the historical time or else the latest
+    live one. The state of an outage lies in Spark's state store under its key, so a
+    batch looks up the keys it brings and no others.
+    """
+    kind = stream.schema[key].dataType.simpleString()
+    tagged = stream.select(F.col(key).alias("key"), F.unix_micros(ts).alias("at"), F.lit(False).alias("past")).unionByName(
+        history.select(F.col(key).alias("key"), F.unix_micros(ts).alias("at"), F.lit(True).alias("past"))
+    )
+
+    def update(name: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        # Live at all, earliest and latest live time, historical at all and its latest time.
+        held = state.get if state.exists else (False, None, None, False, None)
+        live, first, last, past, known = held
+        for batch in batches:
+            for own in (False, True):
+                mine = batch[batch["past"] == own]
+                times = [int(t) for t in mine["at"].dropna()]
+                if own:
+                    past, known = past or len(mine) > 0, max([*times, *([] if known is None else [known])], default=None)
+                else:
+                    live = live or len(mine) > 0
+                    first = min([*times, *([] if first is None else [first])], default=None)
+                    last = max([*times, *([] if last is None else [last])], default=None)
+        state.update((live, first, last, past, known))
+        row = {"key": name[0], "live": live, "first": first, "event": known if past else last, "old_live": held[0], "old_first": held[1], "old_event": held[4] if held[3] else held[2]}
+        yield pd.DataFrame({n: [NO_TIME if v is None and n != "key" else v] for n, v in row.items()})
+
+    out = f"key {kind}, live boolean, first bigint, event bigint, old_live boolean, old_first bigint, old_event bigint"
+    found = tagged.groupBy("key").applyInPandasWithState(update, out, "live boolean, first bigint, last bigint, past boolean, known bigint", "update", "NoTimeout")
+    return found.withColumns({c: F.when(F.col(c) != NO_TIME, F.col(c)) for c in ("first", "event", "old_first", "old_event")})
+
+
+#: Part of outages whose time is not known.
+NO_DAY = "none"
+
+
 def trailing_count_batches(stream: DataFrame, history: DataFrame, out: str, checkpoint: str, key: str = "OUTAGE_ID", ts: str = "CREATION_DATETIME", hours: int = C.TRAILING_HOURS) -> None:
     """Trailing-hour counts that end at the answer for all rows at once.
 
-    The times of all outages so far are kept beside the output, by batch. A batch
-    counts again every outage of the days it can change: its own days, those on
-    which its outages stood before, and the days up to `hours` after. `newest_rows`
-    of the output is the current table.
+    The times of live outages, of all known ones, and the counts are kept by day.
+    A batch replaces the days on which its outages stand or stood before, counts
+    again the live outages of those and of the days up to `hours` after, reads the
+    days up to `hours` before these, and no others; all its days take effect in one
+    commit. The history is a stream beside the feed, read once. `trailing_table` of
+    the output is the current table.
     """
     spark = stream.sparkSession
     claim(spark, out, checkpoint)
-    seen = f"{out.rstrip('/')}-seen"
+    if not history.isStreaming:
+        stored = f"{out.rstrip('/')}-history"
+        try:
+            shape = spark.read.parquet(stored).schema
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            history.select(key, ts).write.parquet(stored)
+            shape = spark.read.parquet(stored).schema
+        history = spark.readStream.schema(shape).parquet(stored)
+    kind = stream.schema[key].dataType.simpleString()
     reach = -(-hours // 24)
 
-    def handle(df: DataFrame, batch: int) -> None:
-        # A table of its own, so that neither the feed nor the sort is run again.
-        write_batch(df.select(key, ts), seen, batch)
-        now = spark.read.parquet(f"{seen}/batch={batch}")
-        known = read_batches(spark, seen, now.schema, before=batch + 1).select(key, ts)
-        moved = known.join(now.select(key).distinct(), key, "left_semi")
-        # At most one row for each day of the calendar.
-        touched = [r[0] for r in moved.select(F.to_date(ts).alias("day")).where("day IS NOT NULL").distinct().collect()]
-        days = sorted({day + dt.timedelta(days=i) for day in touched for i in range(reach + 1)})
-        around = sorted({day - dt.timedelta(days=i) for day in days for i in range(reach + 1)})
-        probes = known.where(F.to_date(ts).isin(days)).select(key).distinct() if days else known.limit(0).select(key)
-        near = known.unionByName(history.select(key, ts)).where(F.to_date(ts).isin(around)).select(key).distinct() if days else probes
-        # An outage has one time, wherever its rows stand, so all rows of the ids are asked.
-        events = known_outages(known.join(near, key, "left_semi"), history.join(near, key, "left_semi"))
-        unknown = now.where(F.col(ts).isNull()).select(key)
-        asked = known.join(probes.unionByName(unknown).distinct(), key, "left_semi")
-        write_batch(trailing_counts(asked, events, key, ts, hours), out, batch)
+    def day_of(micros: str) -> Column:
+        return F.coalesce(F.date_format(F.timestamp_micros(micros), "yyyy-MM-dd"), F.lit(NO_DAY))
 
-    run_each_batch(stream, handle, checkpoint)
+    def shifted(days: set[str], by: range) -> list[str]:
+        dated = {dt.date.fromisoformat(d) for d in days if d != NO_DAY}
+        return sorted({(d + dt.timedelta(days=i)).isoformat() for d in dated for i in by})
+
+    def handle(df: DataFrame, batch: int) -> None:
+        with snapshots.Transaction(spark, out, f"batch-{batch}") as run:
+            if run.done:
+                return
+            # Stored, so that the state is not asked again by every step.
+            df.write.mode("overwrite").parquet(f"{out.rstrip('/')}-changes/batch={batch}")
+            changes = spark.read.parquet(f"{out.rstrip('/')}-changes/batch={batch}")
+            # At most one row for each day of the calendar and kind.
+            stands = {"probe": F.col("live"), "event": F.lit(True)}
+            stood = {"probe": F.col("old_live"), "event": F.col("old_event").isNotNull()}
+            touched: dict[str, set[str]] = {}
+            for name, column in (("probe", "first"), ("event", "event")):
+                days = changes.where(stands[name]).select(day_of(column).alias("day")).unionByName(changes.where(stood[name]).select(day_of(f"old_{column}").alias("day")))
+                touched[name] = {r.day for r in days.distinct().collect()}
+                kept = run.read(name, f"key {kind}, at bigint", sorted(touched[name])).join(changes.select(F.col("key").alias("_key")), F.col("key").eqNullSafe(F.col("_key")), "left_anti")
+                new = changes.where(stands[name]).select("key", F.col(column).alias("at"))
+                run.replace_parts(name, kept.unionByName(new).withColumn("day", day_of("at")), "day", sorted(touched[name]))
+            again = sorted({*touched["probe"], *shifted(touched["event"], range(reach + 1))})
+            around = shifted(set(again), range(-reach, 1))
+
+            def times(name: str, days: list[str]) -> DataFrame:
+                rows = run.read(name, f"key {kind}, at bigint", days)
+                return rows.select(F.col("key").alias(key), F.timestamp_micros("at").alias(ts))
+
+            counts = trailing_counts(times("probe", again), times("event", around), key, ts, hours)
+            run.replace_parts("counts", counts.withColumn("day", F.coalesce(F.date_format(ts, "yyyy-MM-dd"), F.lit(NO_DAY))), "day", again)
+
+    run_each_batch(outage_times(stream, history, key, ts), handle, checkpoint, "update")
+
+
+def trailing_table(spark: SparkSession, out: str, key: T.StructField, ts: str = "CREATION_DATETIME", hours: int = C.TRAILING_HOURS, days: list[str] | None = None) -> DataFrame:
+    """The current counts, of all days or some."""
+    fields = [key, T.StructField(ts, T.TimestampType()), *[T.StructField(f"Outages_in_last_{k}hr", T.LongType()) for k in range(1, hours + 1)]]
+    return snapshots.read(spark, out, "counts", T.StructType(fields), days)

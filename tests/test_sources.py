@@ -1,11 +1,12 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from stormgrid import schemas
 from stormgrid.plans import daily_summary, weather_view
 from stormgrid.session import materialize, shared_dir
-from stormgrid.sources import files, sinks, warehouse
+from stormgrid.sources import files, sinks, snapshots, warehouse
 
 
 def test_latin_csv_and_parsed_times(spark, tmp_path):
@@ -43,10 +44,66 @@ def test_gate_needs_three_new_files(spark):
 
 
 def test_publish_appends_and_replaces(spark, tmp_path, rows):
-    history, live = str(tmp_path / "h"), str(tmp_path / "l")
-    for stamp, ids in (("2024-01-01 00:00", [1, 2]), ("2024-01-01 00:32", [3])):
-        sinks.publish(spark.createDataFrame([(i, stamp) for i in ids], "id int, Last_Updated string"), history, live)
-    assert rows(spark.read.parquet(history), "id") == [(1,), (2,), (3,)] and rows(spark.read.parquet(live), "id") == [(3,)]
+    root = str(tmp_path / "p")
+    for stamp, ids in (("2024-01-01 00:00", [1, 2]), ("2024-01-01 00:32", [3]), ("2024-01-01 00:32", [3])):
+        sinks.publish(spark.createDataFrame([(i, stamp) for i in ids], "id int, Last_Updated string"), root, stamp)
+    history, live = (snapshots.read(spark, root, name, "id int, Last_Updated string") for name in (sinks.HISTORY, sinks.LIVE))
+    assert rows(history, "id") == [(1,), (2,), (3,)] and rows(live, "id") == [(3,)]
+
+
+def _ids(spark, root, table, **options):
+    return sorted(r.id for r in snapshots.read(spark, root, table, "id int", **options).collect())
+
+
+@pytest.mark.parametrize("broken", ["replace", "_commit"])
+def test_a_failure_between_the_writes_leaves_both_tables(spark, tmp_path, monkeypatch, broken):
+    root = str(tmp_path / "p")
+    sinks.publish(spark.createDataFrame([(1,)], "id int"), root, "a")
+    real = getattr(snapshots.Transaction, broken)
+
+    def fail(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(snapshots.Transaction, broken, fail)
+    with pytest.raises(OSError):
+        sinks.publish(spark.createDataFrame([(2,)], "id int"), root, "b")
+    assert _ids(spark, root, "history") == [1] and _ids(spark, root, "live") == [1]
+    monkeypatch.setattr(snapshots.Transaction, broken, real)
+    for _ in range(2):
+        sinks.publish(spark.createDataFrame([(2,)], "id int"), root, "b")
+    assert _ids(spark, root, "history") == [1, 2] and _ids(spark, root, "live") == [2]
+    assert snapshots.vacuum(spark, root, keep=1) >= 1
+    assert _ids(spark, root, "history") == [1, 2] and _ids(spark, root, "live") == [2]
+
+
+def test_named_parts_versions_and_races(spark, tmp_path):
+    root = str(tmp_path / "t")
+    frame = lambda *rows: spark.createDataFrame(rows, "id int, day string")
+    with snapshots.Transaction(spark, root, "1") as run:
+        run.replace_parts("days", frame((1, "a"), (2, "b"), (3, "c")), "day", ["a", "b", "c"])
+    with snapshots.Transaction(spark, root, "2") as run:
+        kept = run.read("days", "id int", ["b"])
+        run.replace_parts("days", kept.unionByName(spark.createDataFrame([(4,)], "id int")).selectExpr("id", "'b' AS day"), "day", ["b", "c"])
+        assert sorted(r.id for r in run.read("days", "id int").collect()) == [1, 2, 4]
+        with pytest.raises(ValueError):
+            run.replace_parts("days", frame((9, "z")), "day", ["a"])
+    assert _ids(spark, root, "days") == [1, 2, 4] and _ids(spark, root, "days", number=1) == [1, 2, 3] and _ids(spark, root, "days", parts=["b"]) == [2, 4]
+    assert _ids(spark, root, "none") == [] and snapshots.version(spark, root) == 2
+    one, other = snapshots.Transaction(spark, root, "3"), snapshots.Transaction(spark, root, "4")
+    with one:
+        one.append("log", frame((1, "x")).select("id"))
+    with pytest.raises(Exception, match="[Ee]xist"), other:
+        other.append("log", frame((2, "x")).select("id"))
+    assert _ids(spark, root, "log") == [1]
+
+
+def test_many_appends_become_one_part(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "MERGE_AFTER", 3)
+    root = str(tmp_path / "t")
+    for i in range(8):
+        with snapshots.Transaction(spark, root, str(i)) as run:
+            run.append("log", spark.createDataFrame([(i,)], "id int"))
+    assert _ids(spark, root, "log") == list(range(8)) and len(snapshots.manifest(spark, root)[0]) <= 3
 
 
 def test_single_csv_and_slices(spark, tmp_path, rows):

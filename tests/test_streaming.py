@@ -2,12 +2,16 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stormgrid import constants as C
 from stormgrid.operators import aggregate
 from stormgrid.operators.trailing import known_outages, trailing_counts
+from stormgrid.sources import snapshots
 from stormgrid.streaming import jobs
 
+ID = T.StructField("OUTAGE_ID", T.StringType())
+
 FLAGS = list(C.DAILY_COUNTERS.values())
 SCHEMA = "OUTAGE_ID string, CREATION_DATETIME timestamp, " + ", ".join(f"{f} int" for f in FLAGS)
 
@@ -70,7 +74,7 @@ def test_trailing_batches_see_recent_history(spark, tmp_path, rows):
     jobs.trailing_count_batches(live, history, out, str(tmp_path / "progress"))
     batch = spark.read.parquet(feed).select("OUTAGE_ID", "CREATION_DATETIME")
     want = trailing_counts(batch, batch.unionByName(history))
-    assert rows(spark.read.parquet(out).drop("batch")) == rows(want)
+    assert rows(jobs.trailing_table(spark, out, ID)) == rows(want)
 
 
 def _feed(spark, folder, parts, schema="OUTAGE_ID string, CREATION_DATETIME timestamp, " + ", ".join(f"{f} int" for f in FLAGS)):
@@ -117,7 +121,50 @@ def test_trailing_counts_do_not_depend_on_batches(spark, tmp_path, rows):
         feed, out = str(tmp_path / f"feed{ways}"), str(tmp_path / f"out{ways}")
         _feed(spark, feed, _dealt(outages, ways), schema)
         jobs.trailing_count_batches(_stream(spark, feed), history, out, str(tmp_path / f"progress{ways}"))
-        assert rows(jobs.newest_rows(spark, out, ["OUTAGE_ID"])) == want, ways
+        assert rows(jobs.trailing_table(spark, out, ID)) == want, ways
+
+
+def test_trailing_batches_read_only_days_they_can_change(spark, tmp_path, monkeypatch):
+    """Rows read per batch do not grow with the days before it, and the scans name their days."""
+    schema, feed, out = "OUTAGE_ID string, CREATION_DATETIME timestamp", str(tmp_path / "feed"), str(tmp_path / "out")
+    asked, read = [], snapshots.Transaction.read
+
+    def watched(run, table, shape, parts=None):
+        frame = read(run, table, shape, parts)
+        asked.append((len(parts), len(frame.inputFiles()) and frame.count()))
+        return frame
+
+    monkeypatch.setattr(snapshots.Transaction, "read", watched)
+    history = spark.createDataFrame([], schema)
+    for day in range(4):
+        start = dt.datetime(2024, 1, 1) + dt.timedelta(days=10 * day)
+        _feed(spark, feed, [[(f"{day}-{i}", start + dt.timedelta(minutes=i)) for i in range(20)]], schema)
+        asked.append("batch")
+        jobs.trailing_count_batches(_stream(spark, feed), history, out, str(tmp_path / "progress"))
+    batches = [b.strip() for b in " ".join(map(str, asked)).split("batch")[2:]]
+    assert len(set(batches)) == 1 and jobs.trailing_table(spark, out, ID).count() == 80
+    one = jobs.trailing_table(spark, out, ID, days=["2024-01-11"])
+    assert one.count() == 20 and all("_part=2024-01-11" in f for f in one.inputFiles())
+
+
+def test_a_failed_trailing_batch_repeats(spark, tmp_path, rows, monkeypatch):
+    schema, feed, out = "OUTAGE_ID string, CREATION_DATETIME timestamp", str(tmp_path / "feed"), str(tmp_path / "out")
+    outages = [r[:2] for r in _outages()]
+    _feed(spark, feed, _dealt(outages, 3), schema)
+    history, commit, calls = spark.createDataFrame([], schema), snapshots.Transaction._commit, []
+
+    def sometimes(run):
+        calls.append(run.token)
+        if len(calls) == 2:
+            raise OSError("lost")
+        commit(run)
+
+    monkeypatch.setattr(snapshots.Transaction, "_commit", sometimes)
+    with pytest.raises(Exception, match="lost"):
+        jobs.trailing_count_batches(_stream(spark, feed), history, out, str(tmp_path / "progress"))
+    jobs.trailing_count_batches(_stream(spark, feed), history, out, str(tmp_path / "progress"))
+    whole = spark.createDataFrame(outages, schema)
+    assert rows(jobs.trailing_table(spark, out, ID)) == rows(trailing_counts(whole, known_outages(whole, history)))
 
 
 def test_another_progress_folder_is_refused(spark, tmp_path):
