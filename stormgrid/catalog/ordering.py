@@ -191,9 +191,7 @@ def published_predictions(spark, folder):
     root = work_path(spark, "predictions")
     for run in ("first", "second", "second"):  # the repeated run changes nothing
         restoration.publish_predictions(curated, model, t.storm_profiles(spark, folder), run_ts, root, run)
-    kinds = {"ETR": "double", "INSERTION_TIME": "bigint"}
-    schema = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in [*restoration.PUBLISHED, "INSERTION_TIME", "Last_Updated"])
-    both = latest.union_all(*[snapshots.read(spark, root, place, schema).withColumn("place", F.lit(place)) for place in (sinks.HISTORY, sinks.LIVE)])
+    both = latest.union_all(*[snapshots.read(spark, root, place).withColumn("place", F.lit(place)) for place in (sinks.HISTORY, sinks.LIVE)])
     return both.select(
         "place", "OUTAGE_ID", "INCIDENT_ID", "STRCTUR_NO", "CIRCT_ID", "DNI_EQUIP_TYPE", "Creation_Time", "Weather_Profile", "Last_Updated", "INSERTION_TIME",
         F.col("Estimated_Restoration_Time").isNotNull().cast("int").alias("timed"),

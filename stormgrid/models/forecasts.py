@@ -56,7 +56,7 @@ def _fit(df: DataFrame, features: list[str], label: Column, estimator, inverse:
     learner = estimator.setFeaturesCol("_inputs").setLabelCol("_label").setPredictionCol("_prediction")
     labelled = df.withColumn("_label", label).where(F.col("_label").isNotNull() & ~F.isnan("_label"))
     # Fitting passes over its rows many times.
-    rows = materialize(with_inputs(labelled, features).where("_complete").select("_inputs", "_label"))
+    rows = materialize(with_inputs(labelled, features).where("_complete").select("_inputs", "_label"), "no row has all inputs and a label")
     return Regression(Pipeline(stages=[learner]).fit(rows), inverse, features, knots or {})
 
 
@@ -128,7 +128,7 @@ def fit_profiles(df: DataFrame, features: list[str], label: str = "clusters", tr
         RandomForestClassifier(featuresCol="_inputs", labelCol="_label", numTrees=trees, maxDepth=depth, seed=SEED, bootstrap=bootstrap),
     ]
     rows = with_inputs(df.where(F.col(label).isin(list(C.PROFILES))), features).where("_complete")
-    return ProfileModel(Pipeline(stages=stages).fit(materialize(rows.select("_inputs", label))), features)
+    return ProfileModel(Pipeline(stages=stages).fit(materialize(rows.select("_inputs", label), "no labelled row has all inputs")), features)
 
 
 def classify_profiles(model: ProfileModel, df: DataFrame, keep: list[str]) -> DataFrame:

@@ -80,16 +80,34 @@ def with_nearest_depot(df: DataFrame, depots: list[tuple[str, float, float]] = C
     ).drop("_near")
 
 
+#: No feed reaches further back. Stated as a filter, it tells the optimizer that the
+#: dates of the outages select among those of the weather, so that tables stored by
+#: date (`warehouse.store_by_date`) are pruned to the dates that occur.
+FIRST_DATE = "1900-01-01"
+
+
+def by_date(forecasts: DataFrame) -> DataFrame:
+    """Weather with its `Date`: the stored partition column, or else the date of the timestamp."""
+    return forecasts if "Date" in forecasts.columns else forecasts.withColumn("Date", F.to_date("timestamp"))
+
+
+def dates_of(outages: DataFrame) -> DataFrame:
+    """Outages with the date they began on (`_day`), without those that have none."""
+    day = F.to_date("CREATION_DATETIME")
+    return outages.withColumn("_day", day).where(day >= F.lit(FIRST_DATE).cast("date"))
+
+
 def weather_for_dates(forecasts: DataFrame, outages: DataFrame) -> DataFrame:
     """Forecast rows of the dates on which outages began: a semi join on the distinct dates."""
-    days = outages.select(F.to_date("CREATION_DATETIME").alias("Date")).distinct()
-    return forecasts.withColumn("Date", F.to_date("timestamp")).join(days, "Date", "left_semi")
+    days = dates_of(outages).select(F.col("_day").alias("Date")).distinct()
+    return by_date(forecasts).join(days, "Date", "left_semi")
 
 
 def with_weather(outages: DataFrame, forecasts: DataFrame, features: list[str]) -> DataFrame:
     """Weather of the outage's marker and day, with the derived ranges and classes."""
+    relevant = weather_for_dates(forecasts, outages) if "Date" in forecasts.columns else by_date(forecasts)
     enriched = weather.range_and_ratio(
-        forecasts.withColumns({"_day": F.to_date("timestamp"), "_marker": weather.marker_key(F.col("Location"))})
+        relevant.withColumns({"_day": F.col("Date"), "_marker": weather.marker_key(F.col("Location"))})
     )
     derived = [f"{n}Range" for n in C.RANGE_FEATURES] + [f"{n}Ratio" for n in C.RATIO_FEATURES]
     dated = outages.withColumns(
@@ -103,8 +121,9 @@ def with_weather(outages: DataFrame, forecasts: DataFrame, features: list[str])
 
 def with_profile(outages: DataFrame, profiles: DataFrame) -> DataFrame:
     """Weather profile text of the outage's marker and day."""
-    labels = profiles.select(
-        F.to_date("timestamp").alias("_day"),
+    relevant = weather_for_dates(profiles, outages) if "Date" in profiles.columns else by_date(profiles)
+    labels = relevant.select(
+        F.col("Date").alias("_day"),
         weather.outage_marker_key(F.col("Location")).alias("_marker"),
         weather.profile_text(F.col("clusters")).alias("Cluster_ID"),
     )

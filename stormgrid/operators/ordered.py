@@ -134,3 +134,41 @@ def exact_median(df: DataFrame, key: str, partitions: int | None = None) -> Data
     return ranks.join(total, (stop >= low) & (start <= high)).agg(
         ((F.min(key) + F.max(key)) / 2.0).alias("median")
     )
+
+
+def grouped_quantiles(df: DataFrame, group: str, key: str, shares: dict[str, float], partitions: int | None = None) -> DataFrame:
+    """Exact quantiles (linear between neighbours) of every group, as columns named by `shares`.
+
+    Equal values are counted first; the different (group, value) pairs are laid out
+    in runs, so a group of any size spreads over many tasks, and each run knows from
+    one row per run and group how many of the group's rows stand before it.
+    A group of nulls has no quantile.
+    """
+    counts = df.groupBy(group, key).agg(F.count("*").alias("_n"))
+    laid_out = runs(counts, [F.asc_nulls_first(group), F.asc_nulls_first(key)], partitions)
+    pieces = laid_out.groupBy("_run", F.col(group).alias("_group")).agg(F.sum(F.when(F.col(key).isNotNull(), F.col("_n"))).alias("_rows"))
+    all_of = Window.partitionBy("_group")
+    earlier = F.sum("_rows").over(all_of.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1))
+    pieces = pieces.select("_run", "_group", F.coalesce(earlier, F.lit(0)).alias("_before"), F.sum("_rows").over(all_of).alias("_all"))
+    within = Window.partitionBy("_run", group).orderBy(F.asc_nulls_first(key))
+    known = F.when(F.col(key).isNotNull(), F.col("_n")).otherwise(0)
+    placed = laid_out.withColumn("_upto", F.sum(known).over(within)).join(pieces.withColumnRenamed("_run", "_r"), (F.col("_run") == F.col("_r")) & F.col(group).eqNullSafe(F.col("_group")))
+    stop = F.col("_upto") + F.col("_before")
+    start = stop - F.col("_n") + 1
+
+    def at(place: Column) -> Column:
+        """The value at a place counted from 1."""
+        return F.max(F.when(F.col(key).isNotNull() & (start <= place) & (place <= stop), F.col(key).cast("double")))
+
+    columns, ends = [], []
+    for name, share in shares.items():
+        exact = (F.col("_all") - 1) * F.lit(float(share)) + 1
+        low = F.floor(exact)
+        columns += [at(low).alias(f"_low_{name}"), at(F.least(low + 1, F.col("_all"))).alias(f"_high_{name}"), F.max(exact - low).alias(f"_part_{name}")]
+        ends.append((F.col(f"_low_{name}") + F.col(f"_part_{name}") * (F.col(f"_high_{name}") - F.col(f"_low_{name}"))).alias(name))
+    return placed.groupBy(group).agg(*columns).select(group, *ends)
+
+
+def grouped_median(df: DataFrame, group: str, key: str, partitions: int | None = None) -> DataFrame:
+    """Exact median of every group."""
+    return grouped_quantiles(df, group, key, {"median": 0.5}, partitions)

@@ -32,7 +32,7 @@ def located_outages(outages: DataFrame, location: DataFrame, run_ts: Column | No
 
     The placed outages are read more than once, so they are stored first.
     """
-    placed = materialize(joins.with_coordinates(outages, location))
+    placed = materialize(joins.with_coordinates(outages, location), "no outage to place")
     if run_ts is not None:
         placed = placed.withColumn("INSERTION_TIME", times.insertion_stamp(run_ts))
     ranked = rank_within_day(placed, "CREATION_DATETIME", "RANK_SUBSEQUENT_OUTAGES")
@@ -51,9 +51,9 @@ def curated_outages(outages: DataFrame, predictions: DataFrame, counters: DataFr
     Returns them with the running daily counters, which the caller stores for the next run.
     Open and fresh outages are each read by several operators, so they are stored once.
     """
-    open_outages = clean.require_rows(materialize(clean.still_out(outages)), "all outages have power again")
-    queued = priority.by_distance(materialize(priority.by_customers(open_outages)))
-    fresh = clean.require_rows(materialize(joins.not_yet_predicted(queued, predictions)), "all outages are predicted already")
+    open_outages = materialize(clean.still_out(outages), "all outages have power again")
+    queued = priority.by_distance(materialize(priority.by_customers(open_outages), "no outage in the queue by customers"))
+    fresh = materialize(joins.not_yet_predicted(queued, predictions), "all outages are predicted already")
     batch = aggregate.daily_counters(fresh)
     running = batch if counters is None else aggregate.merge_counters(counters, batch)
     counted = fresh.withColumn("Date", F.to_date("CREATION_DATETIME")).join(running, "Date", "left").drop("Date")
@@ -62,7 +62,7 @@ def curated_outages(outages: DataFrame, predictions: DataFrame, counters: DataFr
     whole = {*C.GRAIN, "OUTAGE_ID", "INSERTION_TIME", "CREATION_DATETIME", "CALL_QTY", "CUST_QTY", *(name for mask in aggregate.MASKS.values() for name in mask)}
     gaps = [c for c in worded.columns if c not in whole]
     filled = forward_fill(worded, gaps, ["CREATION_DATETIME", *C.GRAIN])
-    filled = materialize(filled.withColumn("CITY_NAM", F.coalesce("CITY_NAM", F.lit(C.NO_CITY))))
+    filled = materialize(filled.withColumn("CITY_NAM", F.coalesce("CITY_NAM", F.lit(C.NO_CITY))), "no filled outage")
     recent = predictions.select("OUTAGE_ID", times.parse_timestamp(F.col("Creation_Time"), "yyyy/MM/dd HH:mm:ss").alias("CREATION_DATETIME"))
     if today is not None:
         recent = recent.where(F.col("CREATION_DATETIME") >= F.date_sub(F.lit(today).cast("date"), 2).cast("timestamp"))

@@ -10,7 +10,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "stormgrid", cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -84,12 +85,21 @@ def stored_steps(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+class EmptyStep(ValueError):
+    """A step that must have rows has none."""
+
+
+def materialize(df: DataFrame, gate: str | None = None) -> DataFrame:
     """Stores a step as a table in the shared folder and reads it back.
 
     Later reads see the very same rows, need only the columns they use, know the
-    size of the table, and survive the loss of any executor.
+    size of the table, and survive the loss of any executor. With a `gate` the rows
+    are counted while they are written, and `EmptyStep` is raised under that name if
+    there are none: no job is run to find out.
     """
     path = work_path(df.sparkSession, "step")
-    df.write.parquet(path)
+    seen = Observation()
+    (df if gate is None else df.observe(seen, F.count(F.lit(1)).alias("rows"))).write.parquet(path)
+    if gate is not None and not seen.get["rows"]:
+        raise EmptyStep(gate)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from stormgrid import constants as C
 from stormgrid.functions import times
 from stormgrid.functions.choose import first_match
+from stormgrid.session import materialize
 
 LATIN = "ISO-8859-1"
 
@@ -70,3 +71,39 @@ def freshness_gate(current: DataFrame, last: DataFrame, keys: tuple[str, ...] =
     return grouped.agg(
         F.count("*").alias("feeds"), same.alias("unchanged"), (same == 0).cast("bigint").alias("is_new")
     )
+
+
+REJECTS = "file string, reason string, row string"
+_ROW = "_row"
+
+
+def headers(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
+    """First line of every file: file, header."""
+    lines = spark.read.option("encoding", encoding).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("nth"), "value"
+    )
+    return lines.where("start = 0").groupBy("file").agg(F.min_by("value", "nth").alias("header"))
+
+
+def read_checked(spark: SparkSession, path: str | list[str], schema: T.StructType, encoding: str = "UTF-8") -> tuple[DataFrame, DataFrame]:
+    """Rows of comma-separated files that fit the schema, and a table of those that do not.
+
+    A file whose header does not name the schema's columns in order is rejected with
+    all its rows (`header`): read by position, its values would stand in other columns.
+    A row with a value of another type or another number of columns is rejected by
+    itself (`row`) and kept as it was written; rows of a rejected file that could be
+    parsed are put together again from their values. Rows are parsed once: both tables
+    come from one stored step.
+    """
+    wanted = ",".join(f.name for f in schema.fields)
+    shown = headers(spark, path, encoding)
+    # One row for each file.
+    wrong = materialize(shown.where(F.lower(F.regexp_replace("header", '[ "\r\ufeff]', "")) != wanted.lower()).select(F.col("file").alias("_wrong")))
+    typed = T.StructType([*schema.fields, T.StructField(_ROW, T.StringType())])
+    reader = spark.read.schema(typed).option("header", True).option("encoding", encoding).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _ROW).option("enforceSchema", True)
+    rows = reader.csv(path).select("*", F.col("_metadata.file_path").alias("_file"))
+    stored = materialize(rows.join(wrong, F.col("_file") == F.col("_wrong"), "left"))
+    text = F.coalesce(F.col(_ROW), F.concat_ws(",", *[F.coalesce(F.col(f"`{f.name}`").cast("string"), F.lit("")) for f in schema.fields]))
+    whole = F.when(F.col("_wrong").isNotNull(), "header").when(F.col(_ROW).isNotNull(), "row")
+    rejects = stored.where(whole.isNotNull()).select(F.col("_file").alias("file"), whole.alias("reason"), text.alias("row"))
+    return stored.where(whole.isNull()).select(*[f"`{f.name}`" for f in schema.fields]), rejects

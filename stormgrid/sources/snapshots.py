@@ -59,14 +59,16 @@ def manifest(spark: SparkSession, root: str, number: int | None = None) -> tuple
     return [Part(r.name, r.part, f"{root}/{r.path}") for r in rows if r.kind == "part"], [r.name for r in rows if r.kind == "token"]
 
 
-def _open(spark: SparkSession, parts: list[Part], table: str, schema: T.StructType | str, names: list[str] | None) -> DataFrame:
+def _open(spark: SparkSession, parts: list[Part], table: str, schema: T.StructType | str | None, names: list[str] | None) -> DataFrame:
     wanted = None if names is None else set(names)
     paths = [p.path for p in parts if p.table == table and (wanted is None or p.name in wanted)]
+    if schema is None:
+        return spark.read.parquet(*paths)
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
-def read(spark: SparkSession, root: str, table: str, schema: T.StructType | str, parts: list[str] | None = None, number: int | None = None) -> DataFrame:
-    """A table, or some of its named parts, as of a version; nothing else is listed or opened."""
+def read(spark: SparkSession, root: str, table: str, schema: T.StructType | str | None = None, parts: list[str] | None = None, number: int | None = None) -> DataFrame:
+    """A table, or some of its named parts, as of a version; nothing else is listed or opened. Without a schema there must be a part."""
     return _open(spark, manifest(spark, root, number)[0], table, schema, parts)
 
 

@@ -45,3 +45,9 @@ def todays_forecast(forecasts: DataFrame, today: str, prefix: str = C.LOCATION_P
 
 def preparedness_row(preparations: DataFrame, today: str, horizon: str = C.HORIZON_LABELS[1]) -> DataFrame:
     return preparations.where((F.col("Date") == F.lit(today).cast("date")) & (F.col("Number_of_days_ahead") == horizon))
+
+
+def store_by_date(df: DataFrame, path: str, ts: str = "timestamp") -> None:
+    """Weather rows in one folder per `Date`, which joins on the date are pruned to."""
+    dated = df.withColumn("Date", F.to_date(ts))
+    dated.hint("rebalance", "Date").write.mode("append").partitionBy("Date").parquet(path)

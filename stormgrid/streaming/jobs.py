@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,7 @@ from stormgrid import constants as C
 from stormgrid.operators import aggregate, joins
 from stormgrid.operators.latest import keep_newest, pick_one
 from stormgrid.operators.trailing import trailing_counts
+from stormgrid.session import EmptyStep
 from stormgrid.sources import snapshots
 
 
@@ -31,9 +32,23 @@ def read_feed(spark: SparkSession, folder: str, schema: T.StructType, glob: str,
     return reader.load(folder)
 
 
-def run_each_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
-    writer = stream.writeStream.outputMode(mode).foreachBatch(handle)
+def run_each_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append", gate: str | None = None) -> None:
+    """Runs the handler on each batch, to the end of the available files.
+
+    With a `gate` the feed's rows are counted as the handler reads them, without a job
+    of its own, and `EmptyStep` is raised under that name if a run that found files read no row.
+    """
+    counted: list[int] = []
+
+    def watched(df: DataFrame, batch: int) -> None:
+        seen = Observation()
+        handle(df.observe(seen, F.count(F.lit(1)).alias("rows")), batch)
+        counted.append(seen.get["rows"])
+
+    writer = stream.writeStream.outputMode(mode).foreachBatch(handle if gate is None else watched)
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    if counted and not sum(counted):
+        raise EmptyStep(gate)
 
 
 def append_stream(stream: DataFrame, out: str, checkpoint: str) -> None:
@@ -113,7 +128,7 @@ def daily_counts(stream: DataFrame, out: str, checkpoint: str) -> None:
         added = [(F.col(name) + F.coalesce(f"_{name}", F.lit(0))).alias(name) for name in C.DAILY_COUNTERS]
         write_batch(sums.join(held, "Date", "left").select("Date", *added), out, batch)
 
-    run_each_batch(stream, handle, checkpoint)
+    run_each_batch(stream, handle, checkpoint, gate="no row in the feed of daily counts")
 
 
 def not_yet_predicted(stream: DataFrame, predictions: DataFrame, out: str, checkpoint: str, key: str = "OUTAGE_ID", ts: str = "CREATION_DATETIME") -> None:
@@ -134,9 +149,9 @@ def not_yet_predicted(stream: DataFrame, predictions: DataFrame, out: str, check
 
 
 def upsert_batches(stream: DataFrame, out: str, checkpoint: str, keys: list[str], by: list[str]) -> None:
-    """Each batch's newest row per key, laid over the earlier batches."""
+    """Each batch's newest row per key, laid over the earlier batches; a feed without rows raises."""
     claim(stream.sparkSession, out, checkpoint)
-    run_each_batch(stream, lambda df, batch: write_batch(keep_newest(df, keys, by), out, batch), checkpoint)
+    run_each_batch(stream, lambda df, batch: write_batch(keep_newest(df, keys, by), out, batch), checkpoint, gate="no row in the feed of changes")
 
 
 #: Stands for no time where frames without missing values travel.
