@@ -14,7 +14,8 @@ An article or main element that its class, id or role marks, or that is hidden,
 no article text either.
 
 Defined results: null, empty and text-free pages give an empty text; repeated
-pages are treated alike; an unclosed comment, script or style runs to the end
+pages are treated alike, very long ones and broken markup in time linear in their length;
+an empty table gives no rows; an unclosed comment, script or style runs to the end
 of the page, an unclosed element to the end of the element around it; a "<" that
 begins no tag is text; columns named text or n_chars are replaced.
 """
@@ -22,6 +23,7 @@ begins no tag is text; columns named text or n_chars are replaced.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from html import unescape
 
 from pyspark.sql import DataFrame
@@ -50,11 +52,10 @@ MARKS = frozenset(
     "subscription signup login search form popup modal overlay dialog widget toolbar pagination pager toc hidden".split()
 )
 
-#: In order of precedence: comment, element whose content is no markup, other declaration, tag.
-TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-z][a-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>",
-    re.IGNORECASE | re.DOTALL,
-)
+NAME = re.compile(r"<(/?)([a-z][a-z0-9:-]*)", re.IGNORECASE)
+RAW_START = re.compile(rf"<({RAW})\b", re.IGNORECASE)
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in RAW.split("|")}
+STOP = re.compile("[\"'>]")
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.IGNORECASE)
 
@@ -71,18 +72,98 @@ def is_outside(name: str, attributes: str, in_article: bool) -> bool:
     return bool(words & (MARKS - {"header"} if in_article else MARKS))
 
 
+def tokens(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """Start, end, whether closing, name and attributes of every token; no name for comments, declarations and elements without markup.
+
+    In time linear in the page: what is known not to follow is not looked for again.
+    """
+    last = {c: page.rfind(c) for c in "\"'>"}
+    dead: set[int] = set()  # quotes from which no tag ends
+
+    def tag_end(at: int) -> int:
+        """Place after the first ">" that is in no quotes; 0 if there is none."""
+        passed = []
+        while at <= last[">"]:
+            at = STOP.search(page, at).start()
+            quote = page[at]
+            if quote == ">":
+                return at + 1
+            passed.append(at)
+            if at in dead or at == last[quote]:
+                break
+            at = page.find(quote, at + 1) + 1
+        dead.update(passed)
+        return 0
+
+    at = page.find("<")
+    while at >= 0:
+        end, closing, name, attributes = 0, False, "", ""
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4) + 3
+            end = len(page) if end == 2 else end
+        elif at < last[">"]:
+            raw = RAW_START.match(page, at)
+            if raw:
+                found = RAW_END[raw[1].lower()].search(page, page.find(">", raw.end()) + 1)
+                end = found.end() if found else len(page)
+            elif page[at + 1] in "!?":
+                end = page.find(">", at) + 1
+            elif named := NAME.match(page, at):
+                end = tag_end(named.end())
+                closing, name, attributes = bool(named[1]), named[2].lower(), page[named.end() : end - 1]
+        if end:
+            yield at, end, closing, name, attributes
+        at = page.find("<", end or at + 1)
+
+
+class Open:
+    """The elements that are open, with what must be known of them at every token."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, bool, bool]] = []  # name, outside, article
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.outside = self.article = self.links = 0
+
+    def push(self, name: str, outside: bool) -> None:
+        article = name in ("article", "main")
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name in BLOCKS:
+            self.blocks.append(len(self.stack))
+        self.stack.append((name, outside, article))
+        self._count(name, outside, article, 1)
+
+    def cut(self, depth: int) -> None:
+        """Closes the element at `depth` and all inside it."""
+        while len(self.stack) > depth:
+            name, outside, article = self.stack.pop()
+            self.places[name].pop()
+            if name in BLOCKS:
+                self.blocks.pop()
+            self._count(name, outside, article, -1)
+
+    def _count(self, name: str, outside: bool, article: bool, by: int) -> None:
+        self.outside += by * outside
+        self.article += by * article
+        self.links += by * (name == "a")
+
+    def depth(self, name: str) -> int:
+        """Where the innermost element of the name is, -1 without one."""
+        places = self.places.get(name)
+        return places[-1] if places else -1
+
+
 def lines_of(page: str) -> list[tuple[str, bool, int, bool]]:
     """Lines of a page in order: text, whether it may be article text, characters inside links, whether in an article or main element."""
     lines: list[tuple[str, bool, int, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, outside, article
+    opened = Open()
     parts: list[str] = []
-    linked = links = 0
-    outside = article = False
+    linked = 0
 
     def end_line() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
-        lines.append((text, not outside, linked, article))
+        lines.append((text, not opened.outside, linked, opened.article > 0))
         parts.clear()
         linked = 0
 
@@ -90,44 +171,38 @@ def lines_of(page: str) -> list[tuple[str, bool, int, bool]]:
         nonlocal linked
         text = unescape(raw)
         parts.append(text)
-        if links:
+        if opened.links:
             linked += len(text.strip())
 
     at = 0
-    for token in TOKEN.finditer(page):
-        if token.start() > at:
-            add(page[at : token.start()])
-        at = token.end()
-        name = (token[3] or "").lower()
+    for start, end, closing, name, attributes in tokens(page):
+        if start > at:
+            add(page[at:start])
+        at = end
         if not name:
             continue
         if name == "br":
             parts.append(" ")
             continue
-        closing = bool(token[2])
         block = name in BLOCKS or name in OUTSIDE
-        if not closing and is_outside(name, token[4], article):
+        if not closing and is_outside(name, attributes, opened.article > 0):
             block = True
         if block:
             end_line()
         if name in VOID:
             continue
         if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
+            depth = opened.depth(name)
             # An element closes what is open inside it, but an inline one no block around it.
-            if depth >= 0 and (block or not any(n in BLOCKS for n, _, _ in stack[depth + 1 :])):
-                if not block and stack[depth][1]:
+            if depth >= 0 and (block or not opened.blocks or opened.blocks[-1] <= depth):
+                if not block and opened.stack[depth][1]:
                     end_line()
-                del stack[depth:]
+                opened.cut(depth)
         else:
-            if name == "p" and stack:  # a paragraph ends an open one
-                depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in BLOCKS), -1)
-                if depth >= 0 and stack[depth][0] == "p":
-                    del stack[depth:]
-            stack.append((name, is_outside(name, token[4], article), name in ("article", "main")))
-        outside = any(o for _, o, _ in stack)
-        article = any(a for _, _, a in stack)
-        links = sum(n == "a" for n, _, _ in stack)
+            # A paragraph ends an open one.
+            if name == "p" and opened.blocks and opened.stack[opened.blocks[-1]][0] == "p":
+                opened.cut(opened.blocks[-1])
+            opened.push(name, is_outside(name, attributes, opened.article > 0))
     if at < len(page):
         add(page[at:])
     end_line()

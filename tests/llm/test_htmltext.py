@@ -1,3 +1,6 @@
+import random
+import re
+import time
 import pytest
 
 from stormgrid.llm import htmltext as H
@@ -58,3 +61,51 @@ def test_articles_are_weighed_not_switched_on():
     # The threshold holds inside as well, with more weight.
     assert H.main_text(f"<article><p>{LONG}</p>{gap}<p>ad</p>{gap}<p>A short but whole sentence.</p></article>{gap}<p>A short but whole sentence.</p>") == f"{LONG}\n\nA short but whole sentence."
     assert H.main_text(f"<article><p>{LONG}</p></article><div>tiny</div>") == LONG
+
+
+#: The tokens as one pattern, in order of precedence: comment, element whose content is no markup, other declaration, tag.
+TOKEN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<({H.RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-z][a-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>",
+    re.IGNORECASE | re.DOTALL,
+)
+
+
+def test_tokens_equal_one_pattern():
+    rng = random.Random(8)
+    parts = ["<", ">", "a", "<a ", "</a>", "<p>", "<script", "</script >", "<!--", "-->", "<!", "?", '"', "'", "=", " ", "<b x='", "<i y=\"", "/>", "<Style>", "x"]
+    for _ in range(20_000):
+        page = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        want = [(m.start(), m.end(), bool(m[2]), (m[3] or "").lower(), m[4] or "") for m in TOKEN.finditer(page)]
+        assert list(H.tokens(page)) == want, page
+
+
+@pytest.mark.parametrize("part", ["<a ", "<a href=x>", "<a \"'", "<script ", "</b><i>", "<p><b>", "<!", "<!--", "<a \"\" '", "<div></span>"])
+def test_broken_markup_takes_linear_time(part):
+    page = part * (1_000_000 // len(part))
+    began = time.process_time()
+    H.main_text(page + "'")
+    assert time.process_time() - began < 20  # seconds where a quadratic scan takes hours; 1 to 3 on an idle machine
+
+
+def test_kept_lines_against_plain_sums():
+    """Every window added up by itself, stretches found line by line."""
+    rng = random.Random(9)
+    for _ in range(300):
+        blocks = [("<article>" if rng.random() < 0.1 else "</article>" if rng.random() < 0.1 else "") + f"<p>{'<a>' if rng.random() < 0.2 else ''}{'w' * rng.choice([0, 1, 5, 30, 90])}</p>" for _ in range(12)]
+        page = "".join(blocks)
+        lines = H.lines_of(page)
+        weights = [H.weight_of(*line) for line in lines]
+        sums = [sum(weights[j] for j in range(i, min(i + H.WINDOW, len(lines))) if all(lines[k][3] == lines[i][3] for k in range(i, j + 1))) for i in range(len(lines))]
+        least = max(min(H.SURGE, max(sums)), 1)
+
+        def stretch(i):
+            """Lines of positive sum around i, all inside or all outside."""
+            a = b = i
+            while a > 0 and sums[a - 1] and lines[a - 1][3] == lines[i][3]:
+                a -= 1
+            while b + 1 < len(lines) and sums[b + 1] and lines[b + 1][3] == lines[i][3]:
+                b += 1
+            return range(a, b + 1)
+
+        want = [line[0] for i, line in enumerate(lines) if weights[i] and max(sums[j] for j in stretch(i)) >= least]
+        assert H.main_text(page) == "\n\n".join(want)
