@@ -6,6 +6,7 @@ import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def share(spark: SparkSession, value: object) -> Callable[[], object]:
+    """A broadcast of `value`, as a function that gives it inside a task.
+
+    A plain broadcast names the classes of its objects, which a worker without this
+    package cannot import; here they travel along, as functions do.
+    """
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(shared.value)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Has Spark send rows to Python in batches of at most `BATCH_ROWS`: both sides hold a batch in memory."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -10,8 +10,9 @@ word makes long lists inside segments but no large group.
 `search` reads each segment once. For every query window it takes the terms from
 the rarest to the most frequent in that segment, shifts each list by the term's
 offset in the window, and keeps the places that all lists share; places that
-cross the end of a document do not count. With `slop` above 0 a term may stand up
-to so many words from its place, which gives proximity matches.
+cross the end of a document do not count. Proximity matches (`slop` or `near` above 0) are
+windows for which some place of the document has every term at most so many words
+from where the window puts it; each list gives the rarest term's places, shifted.
 
 Terms are 64-bit hashes of lower-cased words. A false match needs a word other
 than the right one with an equal hash between nine right neighbours; for a
@@ -22,7 +23,7 @@ Queries reach the tasks in blocks of at most `block_words` words, each broadcast
 by itself, so a query set of any size goes through bounded memory.
 
 Defined results: null and empty texts have no words and no hits; an item without
-words matches nothing; items with equal windows are all reported; a null item id
+words matches nothing; items with equal windows are all reported; very long texts are indexed whole, in a segment of their own if need be; a null item id
 marks words as hit and names no item; repeated documents each get their own row;
 an empty table of either kind gives no hits or no rows; other columns of the
 inputs are ignored.
@@ -38,10 +39,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stormgrid.llm.common import release_memory, slices, small_batches, texts_of
+from stormgrid.llm.common import release_memory, share, slices, small_batches, texts_of
 from stormgrid.session import materialize
 
 WINDOW = 10
+#: Words that a term may stand away in the proximity matches of the query.
+NEAR = 2
 SEGMENT_WORDS = 1 << 18
 BLOCK_WORDS = 1_000_000
 #: Bytes of text hashed at a time; a longer document is hashed alone.
@@ -183,25 +186,28 @@ def query_blocks(items: DataFrame, key: str, text: str, window: int | None, bloc
     yield block(rows)
 
 
-def window_places(lists: list[np.ndarray], offsets: np.ndarray, starts: np.ndarray, width: int, slop: int) -> np.ndarray:
-    """Places where a window begins: `lists` from the rarest term on, each to be shifted by its offset."""
-    places = lists[0].astype(np.int64) - offsets[0]
+def window_places(lists: list[np.ndarray], offsets: np.ndarray, starts: np.ndarray, width: int, slop: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places where a window begins, and their documents: `lists` from the rarest term on, each to be shifted by its offset.
+
+    With slop such a place may lie before its document, which is that of the rarest term.
+    """
     doc = np.searchsorted(starts, lists[0], side="right") - 1
+    places, doc = (lists[0].astype(np.int64)[:, None] - offsets[0] + np.arange(-slop, slop + 1)).reshape(-1), np.repeat(doc, 2 * slop + 1)
     low, high = starts[doc], starts[doc + 1] - 1
     keep = (places >= low) & (places + width - 1 <= high) if slop == 0 else np.ones(len(places), dtype=bool)
     for postings, offset in zip(lists[1:], offsets[1:], strict=True):
-        places, low, high = places[keep], low[keep], high[keep]
+        places, doc, low, high = places[keep], doc[keep], low[keep], high[keep]
         if not len(places):
-            return places
+            return places, doc
         # Kept if the list has a place between the bounds; both bounds are the shifted place itself when slop is 0.
         at = np.searchsorted(postings, np.maximum(places + (offset - slop), low))
         nearest = postings[np.minimum(at, len(postings) - 1)]
         keep = (at < len(postings)) & (nearest <= np.minimum(places + (offset + slop), high))
-    return places[keep]
+    return places[keep], doc[keep]
 
 
-def _segment_matches(block: QueryBlock, starts, terms, list_starts, postings, slop: int):
-    """(window, place) of every match in a segment."""
+def _segment_matches(block: QueryBlock, starts, terms, list_starts, postings, slop: int, near: int | None):
+    """Window, places, documents, and documents by proximity of every window with matches in a segment."""
     if not len(terms) or not len(block.windows):
         return
     at = np.minimum(np.searchsorted(terms, block.terms), len(terms) - 1)
@@ -213,27 +219,30 @@ def _segment_matches(block: QueryBlock, starts, terms, list_starts, postings, sl
         offsets = np.argsort(sizes[w, :width], kind="stable")
         chosen = at[block.windows[w, offsets]]
         lists = [postings[list_starts[t] : list_starts[t + 1]] for t in chosen]
-        places = window_places(lists, offsets, starts, width, slop)
-        if len(places):
-            yield int(w), places
+        places, docs = window_places(lists, offsets, starts, width, slop)
+        beside = docs if near is None else window_places(lists, offsets, starts, width, near)[1]
+        if len(places) or len(beside):
+            yield int(w), places, docs, beside
 
 
-def search(index: DataFrame, items: DataFrame, key: str = "item_id", text: str = "text", window: int | None = WINDOW, slop: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
+def search(index: DataFrame, items: DataFrame, key: str = "item_id", text: str = "text", window: int | None = WINDOW, slop: int = 0, block_words: int = BLOCK_WORDS, near: int | None = None) -> DataFrame:
     """Every indexed document with what was found in it.
 
     A query is each run of `window` words of an item (the whole item if it has
     fewer, or if `window` is None). Returns key, n_words, `spans` (sorted,
     disjoint [first, end) word ranges that some match covers), `items` (ids of
-    the matched items, distinct and sorted) and n_hit (words inside spans).
+    the matched items, distinct and sorted), n_hit (words inside spans) and
+    `near_items`: the items that match with each word up to `near` places away
+    (those of `items` without `near`).
     """
     spark = index.sparkSession
     kind = index.schema["keys"].dataType.elementType.simpleString()
     item_kind = items.schema[key].dataType.simpleString()
-    schema = f"segment bigint, row int, key {kind}, n_words bigint, spans array<struct<first:bigint,end:bigint>>, items array<{item_kind}>"
+    schema = f"segment bigint, row int, key {kind}, n_words bigint, spans array<struct<first:bigint,end:bigint>>, items array<{item_kind}>, near_items array<{item_kind}>"
 
     def searcher(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            block = shared.value
+            block = shared()
             for batch in batches:
                 for i in range(batch.num_rows):
                     segment = batch.column(0)[i]
@@ -247,12 +256,13 @@ def search(index: DataFrame, items: DataFrame, key: str = "item_id", text: str =
         n = len(keys)
         edges = np.zeros(len(postings) + 1, dtype=np.int32)
         named: dict[int, set] = {}
-        for w, places in _segment_matches(block, starts, terms, list_starts, postings, slop):
-            docs = np.searchsorted(starts, np.clip(places, 0, max(len(postings) - 1, 0)), side="right") - 1
+        close: dict[int, set] = {}
+        for w, places, docs, beside in _segment_matches(block, starts, terms, list_starts, postings, slop, near):
             np.add.at(edges, np.maximum(places, starts[docs]), 1)
             np.add.at(edges, np.minimum(places + block.lengths[w], starts[docs + 1]), -1)
-            for d in np.unique(docs).tolist():
-                named.setdefault(d, set()).update(block.items[w])
+            for held, found in ((named, docs), (close, beside)):
+                for d in np.unique(found).tolist():
+                    held.setdefault(d, set()).update(block.items[w])
         # A document's first word never continues a span of the one before it.
         covered = np.cumsum(edges[:-1]) > 0
         first = np.flatnonzero(covered & ~np.concatenate([[False], covered[:-1]])) if len(covered) else np.empty(0, dtype=np.int64)
@@ -268,23 +278,23 @@ def search(index: DataFrame, items: DataFrame, key: str = "item_id", text: str =
         columns = [
             pa.array([segment] * n, pa.int64()), pa.array(np.arange(n), pa.int32()), keys, pa.array(np.diff(starts), pa.int64()),
             pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
-            pa.array([sorted(named.get(d, ())) for d in range(n)], pa.list_(item_type)),
+            *(pa.array([sorted(ids.get(d, ())) for d in range(n)], pa.list_(item_type)) for ids in (named, close)),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["segment", "row", "key", "n_words", "spans", "items"])
+        return pa.RecordBatch.from_arrays(columns, names=["segment", "row", "key", "n_words", "spans", "items", "near_items"])
 
     item_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_kind]
     parts = []
     for block in query_blocks(items, key, text, window, block_words):
-        parts.append(index.mapInArrow(searcher(spark.sparkContext.broadcast(block)), schema))
+        parts.append(index.mapInArrow(searcher(share(spark, block)), schema))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
     if len(parts) > 1:
         result = result.groupBy("segment", "row").agg(
             F.first("key").alias("key"), F.first("n_words").alias("n_words"),
-            F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+            F.flatten(F.collect_list("spans")).alias("spans"), *[F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("items", "near_items")],
         ).withColumn("spans", F.expr(JOINED_SPANS))
-    return result.select("key", "n_words", "spans", "items", F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.first)").alias("n_hit"))
+    return result.select("key", "n_words", "spans", "items", "near_items", F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.first)").alias("n_hit"))
 
 
 #: Overlapping and touching spans of several blocks become one.

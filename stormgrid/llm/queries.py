@@ -35,27 +35,36 @@ ITEMS_DIGEST = "sha2(array_join(array_sort(transform(items, i -> cast(i AS strin
 def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that lie inside ten-word windows of benchmark items."""
     index = decontaminate.build_index(load(spark, folder, "documents"))
-    found = decontaminate.search(index, load(spark, folder, "benchmark"))
+    found = decontaminate.search(index, load(spark, folder, "benchmark"), near=decontaminate.NEAR)
     return found.select(
         F.col("key").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.expr(ITEMS_DIGEST).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near_items"),
     )
 
 
 SQL["op1_decontaminate"] = r"""
 WITH item AS (SELECT item_id, regexp_extract_all(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '\x00', ' ', 'g'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 doc AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-item_win AS (SELECT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS s
+item_win AS (SELECT item_id, least(10, len(w)) AS n, w[i:i + least(10, len(w)) - 1] AS b, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS s
   FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM item WHERE len(w) > 0)),
 size_of AS (SELECT DISTINCT n FROM item_win),
 doc_win AS (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS s
   FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, size_of WHERE len(w) >= n)),
 hit AS (SELECT d.r, d.i, d.n, b.item_id FROM doc_win d JOIN item_win b ON d.n = b.n AND d.s = b.s),
 words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT r, i, n FROM hit)) GROUP BY r),
+place AS (SELECT r, w AS v, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM doc),
+often AS (SELECT word, count(*) AS n FROM place GROUP BY word),
+part AS (SELECT b, n, unnest(range(1, len(b) + 1)) AS k, unnest(b) AS word FROM (SELECT DISTINCT b, n FROM item_win)),
+rarest AS (SELECT b, part.n, arg_min(k, (coalesce(often.n, 0), k)) AS k FROM part LEFT JOIN often USING (word) GROUP BY b, part.n),
+anchor AS (SELECT DISTINCT r, v, b, n, p - k + shift AS a FROM rarest JOIN place ON word = b[k], range(-2, 3) s(shift)),
+close AS (SELECT DISTINCT r, b FROM anchor WHERE len(list_filter(range(1, n + 1), lambda k: list_contains(v[CAST(greatest(a + k - 2, 1) AS BIGINT):CAST(greatest(a + k + 2, 0) AS BIGINT)], b[k]))) = n),
+beside AS (SELECT r, count(DISTINCT item_id) AS n_near_items FROM close JOIN item_win USING (b) GROUP BY r),
 items AS (SELECT r, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM (SELECT DISTINCT r, item_id FROM hit) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM doc LEFT JOIN words USING (r) LEFT JOIN items USING (r)"""
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+  CAST(coalesce(n_near_items, 0) AS BIGINT) AS n_near_items
+FROM doc LEFT JOIN words USING (r) LEFT JOIN items USING (r) LEFT JOIN beside USING (r)"""
 
 
 @query

@@ -72,3 +72,27 @@ def test_clean_keeps_rows_and_columns(spark):
     docs = spark.createDataFrame([(1, "a b c", "en"), (None, "x y", None), (None, "a b c", None), (2, None, "fr"), (2, None, "fr")], "doc_id long, text string, lang string")
     out = D.clean(docs, spark.createDataFrame([(1, "B c")], "item_id long, text string"))
     assert out.columns == docs.columns and sorted(map(repr, out.collect())) == sorted(map(repr, docs.where("text IS NULL OR text = 'x y'").collect()))
+
+
+def test_proximity_names_the_document_of_the_match(spark):
+    docs = spark.createDataFrame([(1, "x y z"), (2, "alpha gamma beta delta"), (3, "q alpha q q beta gamma")], "doc_id long, text string").coalesce(1)
+    items = spark.createDataFrame([(5, "alpha beta gamma")], "item_id long, text string")
+    found = {r.key: (list(r["items"]), list(r.near_items)) for r in D.search(D.build_index(docs), items, near=2).collect()}
+    assert found == {1: ([], []), 2: ([], [5]), 3: ([], [5])}
+
+
+@pytest.mark.parametrize("seed,segment,near", [(4, 1 << 18, 1), (5, 30, 2), (6, 1, 3)])
+def test_proximity_against_every_place(spark, seed, segment, near):
+    rng = random.Random(seed)
+    letters = "a b c d e f g h".split()
+    rows = [(i, " ".join(rng.choices(letters, k=rng.randint(0, 14)))) for i in range(60)]
+    items = [(i, " ".join(rng.sample(letters, rng.randint(1, 5)))) for i in range(8)]
+    index = D.build_index(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), segment_words=segment)
+    got = {r.key: list(r.near_items) for r in D.search(index, spark.createDataFrame(items, "item_id long, text string"), near=near, block_words=9).collect()}
+    for key, text in rows:
+        w, want = text.split(), []
+        for item, body in items:
+            b = body.split()
+            if any(all(any(0 <= p + k + s < len(w) and w[p + k + s] == x for s in range(-near, near + 1)) for k, x in enumerate(b)) for p in range(-near - 1, len(w) + near + 1)):
+                want.append(item)
+        assert got[key] == want, (text, got[key], want)
