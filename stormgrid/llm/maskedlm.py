@@ -1,34 +1,38 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
 The network sees the `SIDE` tokens on either side of a place and predicts the
-token on it: embeddings of the neighbours, one hidden layer, a softmax over the
-classes. A document's score is the sum over its places of the log-probability of
-the token there given its neighbours.
-
-Classes are the most frequent tokens of the whole corpus and six shapes for all
-others. A token's probability is that of its class, times, for a shape, the
-token's own share of it: its count in the corpus over that of all tokens of the
-shape and one more, which is left for a token that the corpus has not. The table
-of counts holds every token. Its `HOT` most frequent ones go to the tasks, all
-others are joined with the documents by token, so the table may grow with the corpus.
-
-Training is data-parallel and goes through every document: in each round every
-task trains a copy of the network, in numpy, on that round's share of its rows,
-and the copies are averaged by the number of tokens each has seen, first in
-`GROUPS` groups on the cluster, then the groups on the driver. Rows are dealt to
-shares by the hash of their text and, for copies of one text, in turn. Scoring
-runs over every token of every document; equal windows in a slice of text are
-computed once.
+token on it, in two levels: embeddings of the neighbours, one hidden layer and a
+softmax give the token's class; the token's own share of its class is its count in
+the corpus over that of all tokens of the class and one more, which is left for a
+token that the corpus has not. A document's score is the sum over its places of
+the log-probability of the token there given its neighbours.
+
+Every token belongs to one of `CLASSES` classes by its shape and ending (short ones
+by their whole form), so the neighbours move the probability of each. The table of
+counts holds every token. Its `HOT` most frequent ones go to the tasks, all others
+are joined with the documents by token, so the table may grow with the corpus.
+
+Training goes through every document once and does not depend on how the rows lie:
+rows are dealt by their hash to `ROUNDS` rounds and within them to blocks of about
+`BLOCK_BYTES` bytes. In a round each block trains a copy of the network, in numpy,
+from the same start, on its rows in the order of their hashes; the copies and their
+accumulated squares are averaged by the number of tokens and start the next round.
+So a copy's share of the text is the same however many tasks there are, and more
+text means more copies. Rows alike in all columns that are more than `COPIES` are
+dealt by their place instead, so they spread over blocks. The same pass counts the
+tokens, and tasks hand on one sum of copies each.
 
 Defined results: null, empty and blank texts have no tokens and score 0 with a
-null mean; repeated rows score alike; a corpus without tokens keeps the untrained
-network; an empty table gives no rows; columns named like an added one are replaced.
+null mean; repeated rows score alike; very long texts are trained and scored whole,
+a slice at a time; a corpus without tokens keeps the untrained network; an empty
+table gives no rows; columns named like an added one are replaced.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+import re
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,45 +41,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stormgrid.llm.common import append_columns, slices, small_batches, texts_of
-from stormgrid.llm.perplexity import SHAPES, TOKEN, shape, token_ids
+from stormgrid.llm.common import append_columns, share, slices, small_batches, texts_of
+from stormgrid.llm.perplexity import SHAPES, TOKEN, shape
 from stormgrid.session import materialize
 
-CLASSES, SIDE, WIDTH, HIDDEN = 256, 2, 16, 32
-#: Every document trains in `ROUNDS` / `SHARES` rounds, a whole number.
-ROUNDS, SHARES, GROUPS = 2, 2, 16
+SIDE, WIDTH, HIDDEN = 2, 8, 16
+ROUNDS, BLOCK_BYTES, GROUPS, COPIES = 3, 2 << 20, 16, 256
 #: Tokens whose counts are broadcast; the counts of all others are joined by token.
-HOT = 1 << 16
+HOT = 1 << 17
+#: Further tokens that a task remembers while it scores.
+REMEMBERED = 400_000
 BATCH, RATE = 512, 0.1
 SEED = 11
+#: Tokens of a block that are trained in one go.
+HELD_TOKENS = 1 << 20
+#: Classes of each shape for tokens of up to `SHORT` characters, by their whole form, and for longer ones, by their last two.
+SHORT = 3
+SPANS = dict(zip(SHAPES, [(40, 24), (8, 16), (3, 3), (1, 2), (4, 4), (12, 2)], strict=True))
+FIRST = {name: sum(sum(SPANS[n]) for n in SHAPES[:i]) for i, name in enumerate(SHAPES)}
+CLASSES = sum(map(sum, SPANS.values()))
 
 
-class Network:
-    """Weights by name, in single precision, and the log-probability of a token within each class."""
+def token_class(token: str) -> int:
+    name = shape(token)
+    short, long = SPANS[name]
+    if len(token) <= SHORT:
+        return FIRST[name] + zlib.crc32(token.encode()) % short
+    return FIRST[name] + short + zlib.crc32(token[-2:].encode()) % long
+
 
-    def __init__(self, weights: dict[str, np.ndarray], inside: np.ndarray) -> None:
-        self.weights, self.inside = weights, inside
-        #: Count table of the corpus (token, n); stays on the driver.
-        self.counted: DataFrame | None = None
+class Network:
+    """Weights and accumulated squares by name, in single precision."""
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"counted": None}
+    def __init__(self, weights: dict[str, np.ndarray], squares: dict[str, np.ndarray]) -> None:
+        self.weights, self.squares = weights, squares
 
     @classmethod
-    def start(cls, bias: np.ndarray, inside: np.ndarray) -> Network:
+    def start(cls, classes: int = CLASSES) -> Network:
         rng = np.random.default_rng(SEED)
-        n, wide = len(bias), 2 * SIDE * WIDTH
-        normal = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape).astype(np.float32)
-        return cls({
-            "embed": rng.normal(0, 0.5, (n + 1, WIDTH)).astype(np.float32), "in": normal(wide, HIDDEN), "in_bias": np.zeros(HIDDEN, np.float32),
-            "out": normal(HIDDEN, n) * np.float32(0.1), "out_bias": bias.astype(np.float32),
-        }, inside)
-
-    def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Inputs, hidden values and log-probabilities of all classes."""
-        inputs, hidden, logits = self.hidden(context)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-        return inputs, hidden, logits
+        normal = lambda *size: rng.normal(0, 1 / np.sqrt(size[0]), size).astype(np.float32)
+        weights = {
+            "embed": rng.normal(0, 0.5, (classes + 1, WIDTH)).astype(np.float32), "in": normal(2 * SIDE * WIDTH, HIDDEN), "in_bias": np.zeros(HIDDEN, np.float32),
+            "out": normal(HIDDEN, classes) * np.float32(0.1), "out_bias": np.zeros(classes, np.float32),
+        }
+        return cls(weights, {k: np.full_like(v, 0.01) for k, v in weights.items()})
 
     def hidden(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Inputs, hidden values and logits of all classes, 0 at most."""
@@ -88,12 +97,17 @@ class Network:
         return inputs, hidden, logits
 
     def scores(self, context: np.ndarray, target: np.ndarray, at_once: int = 8192) -> np.ndarray:
-        parts = [self.forward(context[i : i + at_once])[2][np.arange(len(target[i : i + at_once])), target[i : i + at_once]] for i in range(0, len(target), at_once)]
-        return (np.concatenate(parts) if parts else np.empty(0, np.float32)) + self.inside[target]
-
-    def train(self, context: np.ndarray, target: np.ndarray, squares: dict[str, np.ndarray]) -> None:
+        """Log-probability of the target classes."""
+        parts = []
+        for i in range(0, len(target), at_once):
+            logits = self.hidden(context[i : i + at_once])[2]
+            wanted = logits[np.arange(len(logits)), target[i : i + at_once]]
+            parts.append(wanted - np.log(np.exp(logits, out=logits).sum(axis=1)))
+        return np.concatenate(parts) if parts else np.empty(0, np.float32)
+
+    def train(self, context: np.ndarray, target: np.ndarray) -> None:
         """One pass over shuffled windows, by adaptive gradient steps."""
-        w = self.weights
+        w, squares = self.weights, self.squares
         order = np.random.default_rng(SEED).permutation(len(target))
         for at in range(0, len(order), BATCH):
             rows = order[at : at + BATCH]
@@ -110,16 +124,18 @@ class Network:
                 squares[name] += grad**2
                 w[name] -= RATE * grad / np.sqrt(squares[name] + 1e-6)
 
-    def packed(self) -> bytes:
-        return np.concatenate([self.weights[k].reshape(-1) for k in sorted(self.weights)]).tobytes()
+    def packed(self) -> np.ndarray:
+        """Weights, then squares, as one row of numbers."""
+        return np.concatenate([t[k].reshape(-1) for t in (self.weights, self.squares) for k in sorted(t)])
 
     def unpacked(self, flat: np.ndarray) -> Network:
-        at, weights = 0, {}
-        for k in sorted(self.weights):
-            size = self.weights[k].size
-            weights[k] = flat[at : at + size].astype(np.float32).reshape(self.weights[k].shape)
-            at += size
-        return Network(weights, self.inside)
+        at, tables = 0, ({}, {})
+        for table in tables:
+            for k in sorted(self.weights):
+                size = self.weights[k].size
+                table[k] = flat[at : at + size].astype(np.float32).reshape(self.weights[k].shape)
+                at += size
+        return Network(*tables)
 
 
 def windows(flat: np.ndarray, counts: np.ndarray, classes: int) -> np.ndarray:
@@ -133,156 +149,160 @@ def windows(flat: np.ndarray, counts: np.ndarray, classes: int) -> np.ndarray:
     return np.stack(columns, axis=1) if len(flat) else np.empty((0, 2 * SIDE), dtype=np.int64)
 
 
-def count_tokens(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Every different token of the corpus with its count."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import re
+class Slice:
+    """Tokens of some texts: number of each text, and class and count of each different token."""
 
-        find = re.compile(TOKEN).findall
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                counts: Counter = Counter()
-                for t in texts_of(batch, "text"):
-                    counts.update(find(t.decode("utf-8", "replace")))
-                yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["token", "n"])
+    def __init__(self, texts: list[bytes], find: Callable[[str], list[str]]) -> None:
+        ids: dict[str, int] = {}
+        lists = [find(t.decode("utf-8", "replace")) for t in texts]
+        self.counts = np.array([len(x) for x in lists], dtype=np.int64)
+        flat = np.fromiter((ids.setdefault(t, len(ids)) for x in lists for t in x), dtype=np.int64, count=int(self.counts.sum()))
+        self.tokens = list(ids)
+        self.classes = np.array([token_class(t) for t in self.tokens], dtype=np.int64)
+        self.times = np.bincount(flat, minlength=len(ids))
+        self.flat = self.classes[flat]
 
-    small_batches(docs.sparkSession)
-    return docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "token string, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
+def dealt(docs: DataFrame, text: str, rounds: int, block_bytes: int) -> DataFrame:
+    """Texts with the round and block that train on them and their order within it."""
+    rows = docs.select(F.col(f"`{text}`").alias("text"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("hash")).where(F.length("text") > 0)
+    weighed = rows.groupBy("hash").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    total = materialize(weighed.agg(F.sum("bytes").alias("bytes"))).first().bytes or 0
+    many = materialize(weighed.where(F.col("n") > COPIES).select(F.col("hash").alias("_hash")))
+    if not many.isEmpty():
+        rows = rows.join(many, F.col("hash") == F.col("_hash"), "left")
+        own = F.when(F.col("_hash").isNotNull(), F.xxhash64(F.monotonically_increasing_id())).otherwise(F.col("hash"))
+        rows = rows.select("text", own.alias("hash"))
+    blocks = max(1, round(total / rounds / block_bytes))
+    place = F.xxhash64("hash", F.lit("block"))
+    return rows.withColumns({"round": F.pmod(place, F.lit(rounds)), "block": F.pmod(F.shiftright(place, 20), F.lit(blocks))})
 
-def shape_sizes(counted: DataFrame, vocabulary: dict[str, int]) -> dict[int, int]:
-    """How often the corpus has tokens outside the vocabulary of each shape."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = token_ids(vocabulary)
-        for batch in batches:
-            # A token of the corpus is one token again when it is cut out of a text of its own.
-            found, back = np.unique(of(texts_of(batch, "token"))[0], return_inverse=True)
-            sizes = np.zeros(len(found), dtype=np.int64)
-            np.add.at(sizes, back, batch.column(batch.schema.get_field_index("n")).to_numpy(zero_copy_only=False))
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(sizes, pa.int64())], names=["shape", "n"])
 
-    rows = counted.select("token", "n").mapInArrow(run, "shape bigint, n bigint").where(F.col("shape") < len(SHAPES))
-    return {r.shape: r.n for r in rows.groupBy("shape").agg(F.sum("n").alias("n")).collect()}
+class Model:
+    """The trained network, how many tokens each class has, and the count table of the corpus (token, n)."""
 
+    def __init__(self, network: Network, sizes: dict[int, int], counted: DataFrame) -> None:
+        self.network, self.sizes, self.counted = network, sizes, counted
 
-def fit(docs: DataFrame, text: str = "text", classes: int = CLASSES, rounds: int = ROUNDS, shares: int = SHARES) -> tuple[dict[str, int], Network]:
-    """The classes of the corpus and the trained network."""
-    if rounds % shares:
-        raise ValueError("rounds must be a multiple of shares: every document trains equally often")
-    spark = docs.sparkSession
-    counted = materialize(count_tokens(docs, text))
-    top = counted.orderBy(F.desc("n"), "token").limit(classes - len(SHAPES)).collect()
-    vocabulary = {w: i for i, w in enumerate([*SHAPES, *(r.token for r in top)])}
-    shaped = shape_sizes(counted, vocabulary)
-    share = np.ones(len(vocabulary))
-    share[len(SHAPES) :] += [r.n for r in top]
-    share[: len(SHAPES)] += [shaped.get(i, 0) for i in range(len(SHAPES))]
-    inside = np.zeros(len(vocabulary))
-    inside[: len(SHAPES)] = -np.log(share[: len(SHAPES)])
-    network = Network.start(np.log(share / share.sum()), inside)
-    rows = docs.select(F.col(f"`{text}`").alias("text"), F.xxhash64(F.col(f"`{text}`")).alias("hash")).where(F.length("text") > 0)
 
+def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, block_bytes: int = BLOCK_BYTES) -> Model:
+    spark = docs.sparkSession
+    small_batches(spark)
+    network, tables = Network.start(), []
+    rows = dealt(docs, text, rounds, block_bytes)
     for number in range(rounds):
-        shared = spark.sparkContext.broadcast((vocabulary, network))
+        first = share(spark, network)
+
+        def run(batches: Iterator[pa.RecordBatch], first=first) -> Iterator[pa.RecordBatch]:
+            begin, find = first(), re.compile(TOKEN).findall
+            start = begin.packed()
+            own, block, seen, everything, total = None, None, 0, 0, np.zeros(len(start))
+            held: list[Slice] = []
+
+            def learn() -> None:
+                """Trains on the texts held so far as one pass, so steps do not depend on how rows were cut into batches."""
+                nonlocal seen
+                flat, counts = np.concatenate([h.flat for h in held]), np.concatenate([h.counts for h in held])
+                own.train(windows(flat, counts, CLASSES), flat)
+                seen += len(flat)
+                held.clear()
+
+            def close() -> None:
+                nonlocal total, everything
+                if held:
+                    learn()
+                if own is not None and seen:
+                    total += own.packed().astype(np.float64) * seen
+                    everything += seen
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, turn=number % shares) -> Iterator[pa.RecordBatch]:
-            from pyspark import TaskContext
-
-            known, first = shared.value
-            own, of, seen = first.unpacked(np.frombuffer(first.packed(), np.float32).copy()), token_ids(known), 0
-            squares = {k: np.full_like(v, 0.01) for k, v in own.weights.items()}
-            deal = dealt(shares)
             for whole in batches:
-                held = whole.filter(pa.array(deal(whole.column(whole.schema.get_field_index("hash")).to_pylist()) == turn))
-                for batch in slices(held, "text"):
-                    flat, counts = of(texts_of(batch, "text"))
-                    own.train(windows(flat, counts, len(known)), flat, squares)
-                    seen += len(flat)
-            if seen:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([TaskContext.get().partitionId() % GROUPS], pa.int32()), pa.array([seen], pa.int64()), pa.array([own.packed()], pa.binary())],
-                    names=["part", "seen", "weights"],
-                )
-
-        def average(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                numbers = whole.column(whole.schema.get_field_index("block")).to_pylist()
+                edges = [i for i in range(len(numbers)) if i == 0 or numbers[i] != numbers[i - 1]] + [len(numbers)]
+                for a, b in zip(edges, edges[1:]):
+                    if own is None or numbers[a] != block:
+                        close()
+                        own, block, seen = begin.unpacked(start), numbers[a], 0
+                    for batch in slices(whole.slice(a, b - a), "text"):
+                        part = Slice(texts_of(batch, "text"), find)
+                        held.append(part)
+                        if sum(len(h.flat) for h in held) >= HELD_TOKENS:
+                            learn()
+                        if part.tokens:
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(part.tokens, pa.string()), pa.array(part.classes, pa.int32()), pa.array(part.times, pa.int64()), pa.nulls(len(part.tokens), pa.binary())],
+                                names=["token", "class", "n", "weights"],
+                            )
+            close()
+            if everything:
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), pa.nulls(1, pa.int32()), pa.array([everything], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["token", "class", "n", "weights"])
+
+        def add(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total, seen = 0.0, 0
             for batch in batches:
-                for n, raw in zip(batch["seen"], batch["weights"], strict=True):
-                    total, seen = total + np.frombuffer(raw, np.float32).astype(np.float64) * n, seen + int(n)
-            yield pd.DataFrame({"seen": [seen], "weights": [(total / seen).tobytes()]})
-
-        copies = materialize(rows.mapInArrow(run, "part int, seen bigint, weights binary"))
-        means = copies.groupBy("part").applyInPandas(average, "seen bigint, weights binary").collect()
-        if means:
-            seen = sum(m.seen for m in means)
-            network = network.unpacked(sum(np.frombuffer(m.weights, np.float64) * (m.seen / seen) for m in means))
-    network.counted = counted
-    return vocabulary, network
-
-
-def dealt(shares: int):
-    """A function from the hashes of a task's next rows to their shares: one after the other for copies of a text."""
-    before: Counter = Counter()
-
-    def of(hashes: list[int]) -> np.ndarray:
-        out = np.empty(len(hashes), dtype=np.int64)
-        for i, h in enumerate(hashes):
-            out[i] = (h + before[h]) % shares
-            before[h] += 1
-        return out
-
-    return of
-
-
-def score(docs: DataFrame, vocabulary: dict[str, int], network: Network, text: str = "text", hot_tokens: int = HOT) -> DataFrame:
+                total, seen = total + sum(np.frombuffer(raw, np.float64) for raw in batch["weights"]), seen + int(batch["n"].sum())
+            yield pd.DataFrame({"n": [seen], "weights": [total.tobytes()]})
+
+        mine = rows.where(F.col("round") == number).repartition("block").sortWithinPartitions("block", "hash", "text")
+        found = materialize(mine.select("block", "text").mapInArrow(run, "token string, class int, n bigint, weights binary"))
+        sums = found.where("token IS NULL").withColumn("part", F.spark_partition_id() % GROUPS).groupBy("part").applyInPandas(add, "n bigint, weights binary").collect()
+        if sums:
+            network = network.unpacked(sum(np.frombuffer(m.weights, np.float64) for m in sums) / sum(m.n for m in sums))
+        tables.append(found.where("token IS NOT NULL").select("token", "class", "n"))
+    counted = tables[0]
+    for more in tables[1:]:
+        counted = counted.unionByName(more)
+    counted = materialize(counted.groupBy("token").agg(F.sum("n").alias("n"), F.first("class").alias("class")))
+    # One row for each class.
+    sizes = {r["class"]: r.n for r in counted.groupBy("class").agg(F.sum("n").alias("n")).collect()}
+    return Model(network, sizes, counted)
+
+
+def score(docs: DataFrame, model: Model, text: str = "text", hot_tokens: int = HOT) -> DataFrame:
     """All columns of `docs` but the text, with n_tokens, log_likelihood (sum over all places) and mean_log_likelihood."""
     fields = [
         T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType()), T.StructField("__rare", T.ArrayType(T.StringType())),
     ]
-    spark = docs.sparkSession
-    # A token met once adds log 1 to what `inside` has for its shape.
-    more = spark.createDataFrame([], "token string, n bigint") if network.counted is None else network.counted.where("n > 1")
-    hot = more.orderBy(F.desc("n"), "token").limit(len(vocabulary) + hot_tokens).collect()
-    hot = {r.token: r.n for r in hot if r.token not in vocabulary}
-    shared = spark.sparkContext.broadcast((vocabulary, network, hot))
+    # A token met once adds log 1 to what its class has for it.
+    more = model.counted.where("n > 1")
+    top = more.orderBy(F.desc("n"), "token").limit(hot_tokens).toArrow()
+    inside = -np.log(np.array([model.sizes.get(i, 0) + 1 for i in range(CLASSES)], dtype=np.float64))
+    shared = share(docs.sparkSession, (model.network, inside, top.column("token").to_pylist(), top.column("n").to_numpy(), top.column("class").to_numpy()))
 
     def make():
-        import re
-
-        known, trained, frequent = shared.value
-        base, find = len(known) + 1, re.compile(TOKEN).findall
+        trained, share_of, frequent, times, classes = shared()
+        find, logs = re.compile(TOKEN).findall, np.log(times.astype(np.float64))
+        base = {t: i for i, t in enumerate(frequent)}
+        others: list[int] = []
 
         class Ids(dict):
+            """Numbers of tokens: the frequent ones, then those met since, in the order of `others`."""
+
             def __missing__(self, token: str) -> int:
-                return -1 - known[shape(token)]
+                others.append(token_class(token))
+                self[token] = i = len(frequent) + len(others) - 1
+                return i
 
-        # Classes, then the frequent tokens; below 0 the shapes of all others.
-        ids = Ids({**known, **{t: len(known) + i for i, t in enumerate(frequent)}})
-        own = np.concatenate([np.arange(len(known)), np.array([known[shape(t)] for t in frequent], dtype=np.int64)])
-        logs = np.concatenate([np.zeros(len(known)), np.log(np.array(list(frequent.values()), dtype=np.float64))])
+        ids = Ids(base)
 
         def work(texts):
+            nonlocal ids
+            if len(others) > REMEMBERED:
+                others.clear()
+                ids = Ids(base)
             lists = [find(t.decode("utf-8", "replace")) for t in texts]
             counts = np.array([len(x) for x in lists], dtype=np.int64)
             found = np.fromiter((i for x in lists for i in map(ids.__getitem__, x)), dtype=np.int64, count=int(counts.sum()))
-            away = found < 0
-            at = np.where(away, 0, found)
-            flat = np.where(away, -1 - found, own[at])
-            # A window and its token are one number; different ones are computed once.
-            key = flat.copy()
-            for column in windows(flat, counts, len(known)).T:
-                key = key * base + column
-            different, back = np.unique(key, return_inverse=True)
-            context, rest = np.empty((len(different), 2 * SIDE), dtype=np.int64), different
-            for c in range(2 * SIDE - 1, -1, -1):
-                rest, context[:, c] = np.divmod(rest, base)
-            sums = np.concatenate([[0.0], np.cumsum(trained.scores(context, rest)[back] + np.where(away, 0.0, logs[at]), dtype=np.float64)])
+            flat = np.concatenate([classes.astype(np.int64), np.array(others, dtype=np.int64)])[found]
+            away = found >= len(frequent)
+            value = trained.scores(windows(flat, counts, CLASSES), flat) + share_of[flat]
+            if len(logs):
+                value += np.where(away, 0.0, logs[np.where(away, 0, found)])
+            sums = np.concatenate([[0.0], np.cumsum(value, dtype=np.float64)])
             ends = np.cumsum(counts)
-            value = sums[ends] - sums[ends - counts]
             words = [t for x in lists for t in x]
             rare = pa.array([words[i] for i in np.flatnonzero(away).tolist()], pa.string())
             bounds = np.concatenate([[0], np.cumsum(away)])[np.concatenate([[0], ends])]
-            return counts, value, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), rare)
+            return counts, sums[ends] - sums[ends - counts], pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), rare)
 
         return work
 

@@ -94,7 +94,7 @@ def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 def op4_masked_lm(spark: SparkSession, folder: str) -> DataFrame:
     """Masked pseudo-likelihood of every document under a network trained on the same corpus."""
     docs = load(spark, folder, "documents").select("doc_id", "text")
-    return maskedlm.score(docs, *maskedlm.fit(docs))
+    return maskedlm.score(docs, maskedlm.fit(docs))
 
 
 @query
