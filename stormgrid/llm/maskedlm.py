@@ -49,9 +49,9 @@ SIDE, WIDTH, HIDDEN = 2, 8, 16
 ROUNDS, BLOCK_BYTES, GROUPS, COPIES = 3, 2 << 20, 16, 256
 #: Tokens whose counts are broadcast; the counts of all others are joined by token.
 HOT = 1 << 17
-#: Further tokens that a task remembers while it scores.
-REMEMBERED = 400_000
-BATCH, RATE = 512, 0.1
+#: Tokens that a task remembers while it counts, and beside the frequent ones while it scores.
+REMEMBERED = 300_000
+BATCH, RATE = 1024, 0.1
 SEED = 11
 #: Tokens of a block that are trained in one go.
 HELD_TOKENS = 1 << 20
@@ -96,7 +96,7 @@ class Network:
         logits -= logits.max(axis=1, keepdims=True)
         return inputs, hidden, logits
 
-    def scores(self, context: np.ndarray, target: np.ndarray, at_once: int = 8192) -> np.ndarray:
+    def scores(self, context: np.ndarray, target: np.ndarray, at_once: int = 2048) -> np.ndarray:
         """Log-probability of the target classes."""
         parts = []
         for i in range(0, len(target), at_once):
@@ -149,18 +149,44 @@ def windows(flat: np.ndarray, counts: np.ndarray, classes: int) -> np.ndarray:
     return np.stack(columns, axis=1) if len(flat) else np.empty((0, 2 * SIDE), dtype=np.int64)
 
 
-class Slice:
-    """Tokens of some texts: number of each text, and class and count of each different token."""
+class Known(dict):
+    """Numbers of tokens in the order they are met, from `first` on, with their classes."""
 
-    def __init__(self, texts: list[bytes], find: Callable[[str], list[str]]) -> None:
-        ids: dict[str, int] = {}
+    def __init__(self, given: dict[str, int] | None = None) -> None:
+        super().__init__(given or {})
+        self.first, self.classes = len(self), []
+
+    def __missing__(self, token: str) -> int:
+        self.classes.append(token_class(token))
+        self[token] = i = self.first + len(self.classes) - 1
+        return i
+
+    def numbers(self, texts: list[bytes], find: Callable[[str], list[str]]) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
+        """The number of every token, the number of tokens of each text, and the tokens."""
         lists = [find(t.decode("utf-8", "replace")) for t in texts]
-        self.counts = np.array([len(x) for x in lists], dtype=np.int64)
-        flat = np.fromiter((ids.setdefault(t, len(ids)) for x in lists for t in x), dtype=np.int64, count=int(self.counts.sum()))
-        self.tokens = list(ids)
-        self.classes = np.array([token_class(t) for t in self.tokens], dtype=np.int64)
-        self.times = np.bincount(flat, minlength=len(ids))
-        self.flat = self.classes[flat]
+        counts = np.array([len(x) for x in lists], dtype=np.int64)
+        return np.fromiter((i for x in lists for i in map(self.__getitem__, x)), dtype=np.int64, count=int(counts.sum())), counts, lists
+
+
+class Counted:
+    """Tokens of a task with their classes and counts, handed on when they are many."""
+
+    def __init__(self) -> None:
+        self.known, self.times = Known(), np.zeros(0, dtype=np.int64)
+
+    def add(self, texts: list[bytes], find: Callable[[str], list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Classes of all tokens and the number of each text."""
+        numbers, counts, _ = self.known.numbers(texts, find)
+        times = np.bincount(numbers, minlength=len(self.known))
+        times[: len(self.times)] += self.times
+        self.times = times
+        return np.array(self.known.classes, dtype=np.int64)[numbers], counts
+
+    def taken(self) -> pa.RecordBatch:
+        n = len(self.known)
+        columns = [pa.array(list(self.known), pa.string()), pa.array(self.known.classes, pa.int32()), pa.array(self.times, pa.int64()), pa.nulls(n, pa.binary())]
+        self.known, self.times = Known(), np.zeros(0, dtype=np.int64)
+        return pa.RecordBatch.from_arrays(columns, names=["token", "class", "n", "weights"])
 
 
 def dealt(docs: DataFrame, text: str, rounds: int, block_bytes: int) -> DataFrame:
@@ -197,12 +223,13 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, block_bytes:
             begin, find = first(), re.compile(TOKEN).findall
             start = begin.packed()
             own, block, seen, everything, total = None, None, 0, 0, np.zeros(len(start))
-            held: list[Slice] = []
+            held: list[tuple[np.ndarray, np.ndarray]] = []
+            counted = Counted()
 
             def learn() -> None:
                 """Trains on the texts held so far as one pass, so steps do not depend on how rows were cut into batches."""
                 nonlocal seen
-                flat, counts = np.concatenate([h.flat for h in held]), np.concatenate([h.counts for h in held])
+                flat, counts = (np.concatenate(parts) for parts in zip(*held, strict=True))
                 own.train(windows(flat, counts, CLASSES), flat)
                 seen += len(flat)
                 held.clear()
@@ -223,15 +250,13 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, block_bytes:
                         close()
                         own, block, seen = begin.unpacked(start), numbers[a], 0
                     for batch in slices(whole.slice(a, b - a), "text"):
-                        part = Slice(texts_of(batch, "text"), find)
-                        held.append(part)
-                        if sum(len(h.flat) for h in held) >= HELD_TOKENS:
+                        held.append(counted.add(texts_of(batch, "text"), find))
+                        if sum(len(flat) for flat, _ in held) >= HELD_TOKENS:
                             learn()
-                        if part.tokens:
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array(part.tokens, pa.string()), pa.array(part.classes, pa.int32()), pa.array(part.times, pa.int64()), pa.nulls(len(part.tokens), pa.binary())],
-                                names=["token", "class", "n", "weights"],
-                            )
+                        if len(counted.known) > REMEMBERED:
+                            yield counted.taken()
+            if len(counted.known):
+                yield counted.taken()
             close()
             if everything:
                 yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), pa.nulls(1, pa.int32()), pa.array([everything], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["token", "class", "n", "weights"])
@@ -272,27 +297,14 @@ def score(docs: DataFrame, model: Model, text: str = "text", hot_tokens: int = H
         trained, share_of, frequent, times, classes = shared()
         find, logs = re.compile(TOKEN).findall, np.log(times.astype(np.float64))
         base = {t: i for i, t in enumerate(frequent)}
-        others: list[int] = []
-
-        class Ids(dict):
-            """Numbers of tokens: the frequent ones, then those met since, in the order of `others`."""
-
-            def __missing__(self, token: str) -> int:
-                others.append(token_class(token))
-                self[token] = i = len(frequent) + len(others) - 1
-                return i
-
-        ids = Ids(base)
+        ids = Known(base)
 
         def work(texts):
             nonlocal ids
-            if len(others) > REMEMBERED:
-                others.clear()
-                ids = Ids(base)
-            lists = [find(t.decode("utf-8", "replace")) for t in texts]
-            counts = np.array([len(x) for x in lists], dtype=np.int64)
-            found = np.fromiter((i for x in lists for i in map(ids.__getitem__, x)), dtype=np.int64, count=int(counts.sum()))
-            flat = np.concatenate([classes.astype(np.int64), np.array(others, dtype=np.int64)])[found]
+            if len(ids.classes) > REMEMBERED:
+                ids = Known(base)
+            found, counts, lists = ids.numbers(texts, find)
+            flat = np.concatenate([classes.astype(np.int64), np.array(ids.classes, dtype=np.int64)])[found]
             away = found >= len(frequent)
             value = trained.scores(windows(flat, counts, CLASSES), flat) + share_of[flat]
             if len(logs):
