@@ -53,6 +53,8 @@ HOT = 1 << 17
 REMEMBERED = 300_000
 BATCH, RATE = 1024, 0.1
 SEED = 11
+#: Logits up to which exponentials of a row cannot overflow.
+SAFE = 60.0
 #: Tokens of a block that are trained in one go.
 HELD_TOKENS = 1 << 20
 #: Classes of each shape for tokens of up to `SHORT` characters, by their whole form, and for longer ones, by their last two.
@@ -87,13 +89,15 @@ class Network:
         return cls(weights, {k: np.full_like(v, 0.01) for k, v in weights.items()})
 
     def hidden(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Inputs, hidden values and logits of all classes, 0 at most."""
+        """Inputs, hidden values and logits of all classes, small enough for their exponentials."""
         w = self.weights
         inputs = w["embed"][context].reshape(len(context), -1)
         hidden = np.tanh(inputs @ w["in"] + w["in_bias"])
         logits = hidden @ w["out"]
         logits += w["out_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
+        # Hidden values are within 1, so the weights bound the logits; mostly no row need be shifted.
+        if float((np.abs(w["out"]).sum(axis=0) + np.abs(w["out_bias"])).max()) > SAFE:
+            logits -= logits.max(axis=1, keepdims=True)
         return inputs, hidden, logits
 
     def scores(self, context: np.ndarray, target: np.ndarray, at_once: int = 2048) -> np.ndarray:
@@ -113,9 +117,9 @@ class Network:
             rows = order[at : at + BATCH]
             inputs, hidden, wrong = self.hidden(context[rows])
             np.exp(wrong, out=wrong)
-            wrong /= wrong.sum(axis=1, keepdims=True)
-            wrong[np.arange(len(rows)), target[rows]] -= 1
-            wrong /= len(rows)
+            n = np.float32(len(rows))
+            wrong *= 1 / (wrong.sum(axis=1, keepdims=True) * n)
+            wrong[np.arange(len(rows)), target[rows]] -= 1 / n
             back = (wrong @ w["out"].T) * (1 - hidden**2)
             grads = {"out": hidden.T @ wrong, "out_bias": wrong.sum(axis=0), "in": inputs.T @ back, "in_bias": back.sum(axis=0)}
             cells = (context[rows].reshape(-1, 1) * WIDTH + np.arange(WIDTH)).reshape(-1)
