@@ -32,7 +32,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pandas as pd
@@ -158,7 +160,7 @@ class Known(dict):
 
     def __init__(self, given: dict[str, int] | None = None) -> None:
         super().__init__(given or {})
-        self.first, self.classes = len(self), []
+        self.first, self.classes = len(self), array("i")
 
     def __missing__(self, token: str) -> int:
         self.classes.append(token_class(token))
@@ -169,7 +171,7 @@ class Known(dict):
         """The number of every token, the number of tokens of each text, and the tokens."""
         lists = [find(t.decode("utf-8", "replace")) for t in texts]
         counts = np.array([len(x) for x in lists], dtype=np.int64)
-        return np.fromiter((i for x in lists for i in map(self.__getitem__, x)), dtype=np.int64, count=int(counts.sum())), counts, lists
+        return np.fromiter(map(self.__getitem__, chain.from_iterable(lists)), dtype=np.int64, count=int(counts.sum())), counts, lists
 
 
 class Counted:
@@ -315,8 +317,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", hot_tokens: int = H
                 value += np.where(away, 0.0, logs[np.where(away, 0, found)])
             sums = np.concatenate([[0.0], np.cumsum(value, dtype=np.float64)])
             ends = np.cumsum(counts)
-            words = [t for x in lists for t in x]
-            rare = pa.array([words[i] for i in np.flatnonzero(away).tolist()], pa.string())
+            rare = pa.array(list(compress(chain.from_iterable(lists), away.tolist())), pa.string())
             bounds = np.concatenate([[0], np.cumsum(away)])[np.concatenate([[0], ends])]
             return counts, sums[ends] - sums[ends - counts], pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), rare)
 
