@@ -28,7 +28,8 @@ import re
 import sys
 import types
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +44,10 @@ BLOCK = 128
 PAGE_IDS = 1 << 17
 PERCENTILE = 90
 MAGIC = b"PFR1"
-#: Words and pieces of words whose ids a worker remembers, and words looked up at a time.
-WORDS_KEPT, PIECES_KEPT, WORDS_AT_ONCE = 600_000, 600_000, 100_000
+#: Words and pieces of words whose ids a worker remembers, words looked up and new pieces asked for at a time.
+WORDS_KEPT, PIECES_KEPT, WORDS_AT_ONCE, PIECES_AT_ONCE = 600_000, 600_000, 100_000, 2_000
+#: Text bytes encoded at a time: enough new words to learn together, few enough to stay in the processor's cache.
+ENCODED_BYTES = 1 << 17
 
 
 def pack(ids: np.ndarray, percentile: int = PERCENTILE) -> bytes:
@@ -119,61 +122,92 @@ def process_memory(name: str) -> dict:
     return store.__dict__.setdefault(name, {})
 
 
-def library_encoder(path: str, words_kept: int = WORDS_KEPT, pieces_kept: int = PIECES_KEPT) -> Callable[[bytes], list[bytes]]:
+def library_encoder(path: str, words_kept: int = WORDS_KEPT, pieces_kept: int = PIECES_KEPT) -> Callable[[list[bytes]], list[bytes]]:
     """The tokenizers library on whole texts, asked once for each piece it has not met lately.
 
     No match of this vocabulary's splitting pattern spans white space, so the ids
     of a text are those of its ASCII-blank-separated words in order. A word of
     ASCII or marked Latin letters is in turn the sequence of its matches,
     lower-cased; other words, and those that may hold a special string, go to the
-    library as they are.
+    library as they are. Normalizing leaves such matches as they are, so many of
+    them at a time go to the library's model as one text, cut at blanks only; its
+    ids are cut where a token ends a word.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the work
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import WhitespaceSplit
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    by_blanks = Tokenizer(tokenizer.model)
+    by_blanks.pre_tokenizer = WhitespaceSplit()
+    last = np.zeros(1 + max(tokenizer.get_vocab().values()), dtype=bool)
+    last[[i for token, i in tokenizer.get_vocab().items() if token.endswith(tokenizer.model.end_of_word_suffix)]] = True
     words_of, ids_of = process_memory(f"words of {path}"), process_memory(f"ids of {path}")
-    model, symbols = tokenizer.model, byte_symbols()
+    symbols = {b: s for b, s in enumerate(byte_symbols()) if b != ord(" ")}
     # Printable ASCII and Latin letters with marks: composed already, and lower-cased to letters of the same range.
     plain = re.compile("[!-~\u00c0-\u012f\u0131-\u017f]+").fullmatch
+    plain_ascii = re.compile(rb"[!-~]+").fullmatch
     # The ASCII part of the vocabulary file's pattern, and the whole of it.
     find, find_all = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall, regex.compile(Vocabulary(path).pattern).findall
 
-    def pieces_of(word: bytes) -> list[bytes]:
-        if b"<|" in word:
-            return [word]
-        if word.isascii():
-            return find(word.lower())
-        text = word.decode("utf-8", "replace")
-        return [p.encode() for p in find_all(text.lower())] if plain(text) else [word]
+    def learn_pieces(new: list[bytes]) -> None:
+        for at in range(0, len(new), PIECES_AT_ONCE):
+            some = new[at : at + PIECES_AT_ONCE]
+            text = b" ".join(some)
+            symbolic = text.decode() if text.isascii() else text.decode("latin-1").translate(symbols)
+            ids = np.array(by_blanks.encode_batch_fast([symbolic], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = (4 * (np.flatnonzero(last[ids]) + 1)).tolist()
+            raw, start = ids.tobytes(), 0
+            for piece, end in zip(some, ends, strict=True):
+                ids_of[piece] = raw[start:end]
+                start = end
 
     def learn(missing: set[bytes]) -> None:
-        split = {w: pieces_of(w) for w in missing}
-        new = {p for pieces in split.values() for p in pieces}.difference(ids_of)
+        simple = [w for w in missing if w.isascii()]
+        joined, others = b"".join(simple), [w for w in missing if not w.isascii()]
+        if b"<|" in joined or not plain_ascii(joined):
+            others += [w for w in simple if b"<|" in w or not plain_ascii(w)]
+            simple = [w for w in simple if b"<|" not in w and plain_ascii(w)]
+        split = {w: find(w.lower()) for w in simple}
+        marked = [(w, w.decode("utf-8", "replace")) for w in others if b"<|" not in w]
+        split.update((w, [p.encode() for p in find_all(text.lower())]) for w, text in marked if plain(text))
+        others = [w for w in others if w not in split]
+        new = set(chain.from_iterable(split.values())).difference(ids_of)
         if len(ids_of) + len(new) > pieces_kept:
             ids_of.clear()
-            new = {p for pieces in split.values() for p in pieces}
-        # Normalizing leaves such a piece as it is, so the library's model is asked for its byte symbols directly.
-        direct = [p for p in new if b"<|" not in p and plain(p.decode("utf-8", "replace"))]
-        ids_of.update((p, array("I", [t.id for t in model.tokenize(p.decode() if p.isascii() else "".join([symbols[b] for b in p]))]).tobytes()) for p in direct)
-        others = [p for p in new if p not in ids_of]
-        found = tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in others], add_special_tokens=False)
-        ids_of.update(zip(others, (array("I", f.ids).tobytes() for f in found), strict=True))
-        words_of.update((w, b"".join(map(ids_of.__getitem__, pieces))) for w, pieces in split.items())
-
-    def encode(text: bytes) -> list[bytes]:
+            new = set(chain.from_iterable(split.values()))
+        learn_pieces(list(new))
+        get = ids_of.__getitem__
+        for w, pieces in split.items():
+            words_of[w] = get(pieces[0]) if len(pieces) == 1 else b"".join(map(get, pieces))
+        found = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in others], add_special_tokens=False)
+        words_of.update((w, array("I", f.ids).tobytes()) for w, f in zip(others, found, strict=True))
+
+    def know(missing: set[bytes], wanted: Iterable[bytes]) -> None:
+        if missing and len(words_of) + len(missing) > words_kept:
+            words_of.clear()
+            missing = set(wanted)
+        if missing:
+            learn(missing)
+
+    def encode_long(text: bytes) -> bytes:
         words, parts = text.split(), []
         for at in range(0, len(words), WORDS_AT_ONCE):
             some = words[at : at + WORDS_AT_ONCE]
-            if missing := set(some).difference(words_of):
-                if len(words_of) + len(missing) > words_kept:
-                    words_of.clear()
-                    missing = set(some)
-                learn(missing)
+            know(set(some).difference(words_of), some)
             parts += map(words_of.__getitem__, some)
-        return parts
+        return b"".join(parts)
+
+    def encode(texts: list[bytes]) -> list[bytes]:
+        if sum(map(len, texts)) > 2 * ENCODED_BYTES:
+            return [encode_long(text) for text in texts]
+        missing = set()
+        for text in texts:
+            missing.update(filterfalse(words_of.__contains__, text.split()))
+        know(missing, chain.from_iterable(text.split() for text in texts))
+        return [b"".join(map(words_of.__getitem__, text.split())) for text in texts]
 
     return encode
 
@@ -201,10 +235,10 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, key: str =
             return pa.RecordBatch.from_arrays(columns, names=["shard", "page", "first", "n_ids", "keys", "lengths", "payload"])
 
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", ENCODED_BYTES):
                 column = batch.column(batch.schema.get_field_index("key"))
-                for i, raw in enumerate(texts_of(batch, "text")):
-                    ids = b"".join([*encode(raw), end])
+                for i, raw in enumerate(encode(texts_of(batch, "text"))):
+                    ids = raw + end
                     if held and held + len(ids) // 4 > page_ids:
                         yield filled()
                         page, first, held = page + 1, first + held, 0

@@ -57,5 +57,5 @@ def test_words_equal_whole_texts():
     encode, tokenizer, rng = idfile.library_encoder(PATH, words_kept=40, pieces_kept=60), Tokenizer.from_file(PATH), random.Random(3)
     for _ in range(2000):
         text = "".join(rng.choice([*PARTS, "\x00", "don't", "AB12cd", "_-", "'S", " x", "Œuvre", "ÀÉ×÷ß", "ŉſŸ", "señor,", "ĲÇ'S", "e\u0301"]) for _ in range(rng.randint(0, 12)))
-        got = list(memoryview(b"".join(encode(text.encode()))).cast("I"))
+        got = list(memoryview(b"".join(encode([text.encode()]))).cast("I"))
         assert got == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
