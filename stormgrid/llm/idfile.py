@@ -33,11 +33,10 @@ from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormgrid.llm.bpe import Vocabulary, byte_symbols
+from stormgrid.llm.bpe import byte_symbols
 from stormgrid.llm.common import slices, small_batches, texts_of
 
 BLOCK = 128
@@ -149,8 +148,9 @@ def library_encoder(path: str, words_kept: int = WORDS_KEPT, pieces_kept: int =
     # Printable ASCII and Latin letters with marks: composed already, and lower-cased to letters of the same range.
     plain = re.compile("[!-~\u00c0-\u012f\u0131-\u017f]+").fullmatch
     plain_ascii = re.compile(rb"[!-~]+").fullmatch
-    # The ASCII part of the vocabulary file's pattern, and the whole of it.
-    find, find_all = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall, regex.compile(Vocabulary(path).pattern).findall
+    # The vocabulary file's pattern, for ASCII and for the characters of `plain`.
+    find = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+").findall
+    find_marked = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+").findall
 
     def learn_pieces(new: list[bytes]) -> None:
         for at in range(0, len(new), PIECES_AT_ONCE):
@@ -170,9 +170,9 @@ def library_encoder(path: str, words_kept: int = WORDS_KEPT, pieces_kept: int =
         if b"<|" in joined or not plain_ascii(joined):
             others += [w for w in simple if b"<|" in w or not plain_ascii(w)]
             simple = [w for w in simple if b"<|" not in w and plain_ascii(w)]
-        split = {w: find(w.lower()) for w in simple}
+        split = {w: [w.lower()] if w.isalpha() else find(w.lower()) for w in simple}
         marked = [(w, w.decode("utf-8", "replace")) for w in others if b"<|" not in w]
-        split.update((w, [p.encode() for p in find_all(text.lower())]) for w, text in marked if plain(text))
+        split.update((w, [p.encode() for p in find_marked(text.lower())]) for w, text in marked if plain(text))
         others = [w for w in others if w not in split]
         new = set(chain.from_iterable(split.values())).difference(ids_of)
         if len(ids_of) + len(new) > pieces_kept:
