@@ -3,7 +3,11 @@
 Every text is cut into blocks of `BLOCK` words, each begun `BLOCK` / 2 words after
 the one before it, so a run of up to `BLOCK` / 2 words lies whole in some block. A
 template matches a block that holds at least its threshold's share of its
-different words (containment).
+different words (containment). One of fewer than `SHORT` different words must be
+there whole, the word that names its license included: without one word, it would
+be any sentence about licenses. A template longer than `BLOCK` / 2 words, such as
+a whole license text, is looked for in parts of even length, and each part that
+meets the threshold gives its label.
 
 Tokens are ordered by their frequency over the whole corpus, rarest first. A
 block with at least k of a template's n words must hold one of its n - k + 1
@@ -15,7 +19,9 @@ join finds all matches and nothing else.
 The base phrases are templates with containment 1 whose blocks are then searched
 for the words in a row.
 
-Defined results: null and empty texts have no words, no labels and score 0;
+Defined results: null and empty texts have no words, no labels and score 0; a very
+long text is joined block by block, wherever the match stands; a word in several
+templates counts for each, and equal matches of a label are one label;
 repeated rows are scanned alike; overlapping blocks report a place once; an empty
 table gives no rows; columns named like an added one are replaced.
 """
@@ -36,6 +42,8 @@ from stormgrid.llm.decontaminate import HASHED_BYTES, WordHasher
 
 BLOCK = 64
 THRESHOLD = 0.8
+#: Templates of fewer different words than this must be there whole.
+SHORT = 10
 
 
 @dataclass(frozen=True)
@@ -52,7 +60,7 @@ BASE = [
     Template("gpl", "general public license", phrase=True),
     Template("reserved", "all rights reserved", phrase=True),
 ]
-#: Sentences by which public licenses are known, of at most `BLOCK` / 2 words.
+#: Sentences by which public licenses are known, and whole texts of short licenses.
 TEMPLATES = [
     Template("mit", "released under the mit license"),
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
@@ -63,6 +71,23 @@ TEMPLATES = [
     Template("cc-by-nc", "licensed under cc by nc 4 0"),
     Template("cc-by-4.0", "this work is licensed under a creative commons attribution 4 0 international license"),
     Template("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    Template(
+        "mit",
+        "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense "
+        "and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions "
+        "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
+    ),
+    Template(
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+        "provided that the above copyright notice and this permission notice appear in all copies",
+    ),
+    Template(
+        "bsd",
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer "
+        "in the documentation and or other materials provided with the distribution",
+    ),
 ]
 
 
@@ -70,6 +95,22 @@ def words_of(templates: list[Template]) -> list[list[str]]:
     return [t.text.split() for t in templates]
 
 
+def in_parts(templates: list[Template], block: int = BLOCK) -> list[Template]:
+    """The templates, those of more than `block` / 2 words cut into the fewest parts of even length."""
+    out = []
+    for t in templates:
+        words = t.text.split()
+        number = 1 if t.phrase else max(-(-len(words) // (block // 2)), 1)
+        cuts = [len(words) * i // number for i in range(number + 1)]
+        out += [Template(t.label, " ".join(words[a:b]), t.phrase) for a, b in zip(cuts, cuts[1:], strict=False)]
+    return out
+
+
+def least_share(template: Template, threshold: float) -> float:
+    """The share of its different words that a block must hold to match."""
+    return 1.0 if template.phrase or len(set(template.text.split())) < SHORT else threshold
+
+
 def frequencies(docs: DataFrame, vocabulary: list[str], text: str = "text") -> dict[str, int]:
     """How often each word of the templates stands in the corpus; as many rows as the templates have words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +148,7 @@ class Join:
         self.templates = templates
         self.phrases = [np.array([rank[w] for w in words]) for words in words_of(templates)]
         self.sets = [sorted(set(p.tolist())) for p in self.phrases]
-        self.least = [len(s) if t.phrase else int(np.ceil(round(threshold * len(s), 9))) for t, s in zip(templates, self.sets, strict=True)]
+        self.least = [int(np.ceil(round(least_share(t, threshold) * len(s), 9))) for t, s in zip(templates, self.sets, strict=True)]
         self.by_prefix: dict[int, list[int]] = {}
         for i, (words, least) in enumerate(zip(self.sets, self.least, strict=True)):
             for w in words[: len(words) - least + 1]:
@@ -166,10 +207,10 @@ def scan(docs: DataFrame, text: str = "text", base: list[Template] = BASE, templ
     `matches` names for each template match the label, the word at which the block
     (or the phrase) begins and the containment; `score` is the largest containment.
     """
-    every = [*base, *templates]
+    every = [*base, *in_parts(templates, block)]
     for t, words in zip(every, words_of(every), strict=True):
         if not 0 < len(words) <= block // 2:
-            raise ValueError(f"a template has 1 to {block // 2} words: {t.text!r}")
+            raise ValueError(f"a template has a word, a phrase at most {block // 2}: {t.text!r}")
     counts = frequencies(docs, sorted({w for words in words_of(every) for w in words}), text)
     match = T.StructType([T.StructField("label", T.StringType()), T.StructField("word", T.LongType()), T.StructField("containment", T.DoubleType())])
     fields = [

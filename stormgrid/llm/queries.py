@@ -173,14 +173,14 @@ def _listed(templates: list[licenses.Template], distinct: bool) -> str:
 SQL["op9_license_scan"] = rf"""
 WITH doc AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 phrase(label, p) AS ({_listed(licenses.BASE, False)}),
-template(label, p) AS ({_listed(licenses.TEMPLATES, True)}),
+template(label, p) AS ({_listed(licenses.in_parts(licenses.TEMPLATES), True)}),
 word AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM doc),
 place AS (SELECT r, i - 1 AS i, label FROM word JOIN phrase ON w[i] = p[1] AND w[i:i + len(p) - 1] = p),
 block AS (SELECT r, w[s + 1:s + {licenses.BLOCK}] AS b FROM (SELECT r, w, unnest(range(0, len(w), {licenses.BLOCK // 2})) AS s FROM doc)),
-alike AS (SELECT r, label, len(list_filter(p, lambda x: list_contains(b, x))) / len(p) AS c FROM block, template),
+alike AS (SELECT r, label, CASE WHEN len(p) < {licenses.SHORT} THEN 1 ELSE {licenses.THRESHOLD} END AS least, len(list_filter(p, lambda x: list_contains(b, x))) / len(p) AS c FROM block, template),
 base AS (SELECT r, count(*) AS n, min(i) AS lo, max(i) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM place GROUP BY r),
 found AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(c) AS score
-  FROM (SELECT r, label, c FROM alike WHERE c >= {licenses.THRESHOLD} - 1e-9 UNION ALL SELECT r, label, 1.0::DOUBLE FROM place) GROUP BY r)
+  FROM (SELECT r, label, c FROM alike WHERE c >= least - 1e-9 UNION ALL SELECT r, label, 1.0::DOUBLE FROM place) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base, lo AS first_word, hi AS last_word,
   coalesce(base.labels, '') AS base_labels, coalesce(found.labels, '') AS labels, coalesce(score, 0) AS score
 FROM doc LEFT JOIN base USING (r) LEFT JOIN found USING (r)"""

@@ -14,15 +14,16 @@ def words(text):
 
 def brute(text, templates, threshold, block):
     w, found = words(text), set()
-    for t in templates:
+    for t in L.in_parts(templates, block):
         phrase = t.text.split()
+        least = 1 if len(set(phrase)) < 10 else threshold
         if t.phrase:
             found |= {(t.label, i, 1.0) for i in range(len(w) - len(phrase) + 1) if w[i : i + len(phrase)] == phrase}
             continue
         for start in range(0, max(len(w), 1), block // 2):
             held = set(w[start : start + block])
             share = len(set(phrase) & held) / len(set(phrase))
-            if share >= threshold - 1e-9:
+            if share >= least - 1e-9:
                 found.add((t.label, start, share))
     return found
 
@@ -60,5 +61,26 @@ def test_clashing_columns_and_empty_table(spark):
     out = L.scan(docs)
     assert out.columns.count("score") == 1 and out.first().score == 1.0
     assert L.scan(docs.limit(0)).collect() == []
-    with pytest.raises(ValueError):
-        L.scan(docs, templates=[L.Template("x", "w " * 40)])
+    for wrong in (L.Template("x", ""), L.Template("x", "w " * 40, phrase=True)):
+        with pytest.raises(ValueError):
+            L.scan(docs, templates=[wrong])
+
+
+def test_sentences_about_other_licenses_have_no_label(spark):
+    rows = [
+        (1, "released under the apache license"), (2, "licensed under cc by 4 0"), (3, "under the sea the album was released by a label holding the license"),
+        (4, "released under the MIT license"), (5, "Licensed under CC BY NC 4.0"), (6, "Licensed under the Apache License, Version 2.0"),
+    ]
+    got = {r.doc_id: r.labels for r in L.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "", 2: "cc-by", 3: "", 4: "mit", 5: "cc-by,cc-by-nc", 6: "apache-2.0"}
+
+
+def test_whole_texts_are_found_in_parts(spark):
+    whole = next(t for t in L.TEMPLATES if t.label == "mit" and len(t.text.split()) > 32)
+    parts = L.in_parts([whole])
+    assert " ".join(p.text for p in parts) == whole.text and all(16 <= len(p.text.split()) <= 32 for p in parts)
+    words = whole.text.split()
+    torn = " ".join(w for i, w in enumerate(words) if i % 12 != 5)  # some words lost on the way
+    rows = [(1, "x y " * 500 + torn + " z" * 700), (2, " ".join(words[: len(words) // 3])), (3, " ".join(sorted(set(words))[:12]))]
+    got = {r.doc_id: r.labels for r in L.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "mit", 2: "mit", 3: ""}
