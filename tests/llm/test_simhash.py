@@ -88,3 +88,21 @@ def test_chunk_pairs_of_one_key_spread_over_tasks(spark):
     assert sorted((r.part, r.other_part) for r in found) == [(a, b) for a in range(20) for b in range(a + 1, 20)]
     assert all(r.held == [r.part] and r.other == [r.other_part] for r in found)
     assert len({r.task for r in found}) > 1
+
+
+def test_links_of_large_nodes_are_dealt(spark):
+    import random
+
+    rng, parent = random.Random(5), list(range(400))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    edges = [(7, i) for i in range(120, 300)] + [(i, 350) for i in range(300, 340)] + [(rng.randrange(400), rng.randrange(400)) for _ in range(120)]
+    for a, b in edges:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), node_links=5).collect()}
+    assert got == {x: root(x) for e in edges if e[0] != e[1] for x in e}
