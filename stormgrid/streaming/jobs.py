@@ -9,7 +9,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -154,43 +156,72 @@ def upsert_batches(stream: DataFrame, out: str, checkpoint: str, keys: list[str]
     run_each_batch(stream, lambda df, batch: write_batch(keep_newest(df, keys, by), out, batch), checkpoint, gate="no row in the feed of changes")
 
 
-#: Stands for no time where frames without missing values travel.
-NO_TIME = -(1 << 62)
+#: Stand for no time where frames without missing values travel, below and above every time.
+NO_TIME, NEVER = -(1 << 62), 1 << 62
+#: Entries of the state store. An entry holds all outages whose keys hash to it, so that a task handles many at a time.
+KEY_BUCKETS = 2048
 
 
 def outage_times(stream: DataFrame, history: DataFrame, key: str, ts: str) -> DataFrame:
     """What each batch changes: key, live, first and event (microseconds), and what they were before.
 
     `first` is the earliest live time, `event` the historical time or else the latest
-    live one. The state of an outage lies in Spark's state store under its key, so a
-    batch looks up the keys it brings and no others.
+    live one. The state of an outage lies in Spark's state store in the bucket of its
+    key, so a batch opens the buckets of the keys it brings and no others; the keys of
+    a bucket are brought up to date as one table.
     """
     kind = stream.schema[key].dataType.simpleString()
-    tagged = stream.select(F.col(key).alias("key"), F.unix_micros(ts).alias("at"), F.lit(False).alias("past")).unionByName(
-        history.select(F.col(key).alias("key"), F.unix_micros(ts).alias("at"), F.lit(True).alias("past"))
-    )
-
-    def update(name: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        # Live at all, earliest and latest live time, historical at all and its latest time.
-        held = state.get if state.exists else (False, None, None, False, None)
-        live, first, last, past, known = held
-        for batch in batches:
-            for own in (False, True):
-                mine = batch[batch["past"] == own]
-                times = [int(t) for t in mine["at"].dropna()]
-                if own:
-                    past, known = past or len(mine) > 0, max([*times, *([] if known is None else [known])], default=None)
-                else:
-                    live = live or len(mine) > 0
-                    first = min([*times, *([] if first is None else [first])], default=None)
-                    last = max([*times, *([] if last is None else [last])], default=None)
-        state.update((live, first, last, past, known))
-        row = {"key": name[0], "live": live, "first": first, "event": known if past else last, "old_live": held[0], "old_first": held[1], "old_event": held[4] if held[3] else held[2]}
-        yield pd.DataFrame({n: [NO_TIME if v is None and n != "key" else v] for n, v in row.items()})
-
-    out = f"key {kind}, live boolean, first bigint, event bigint, old_live boolean, old_first bigint, old_event bigint"
-    found = tagged.groupBy("key").applyInPandasWithState(update, out, "live boolean, first bigint, last bigint, past boolean, known bigint", "update", "NoTimeout")
-    return found.withColumns({c: F.when(F.col(c) != NO_TIME, F.col(c)) for c in ("first", "event", "old_first", "old_event")})
+
+    def tagged(df: DataFrame, past: bool) -> DataFrame:
+        at, none = F.coalesce(F.unix_micros(ts), F.lit(NO_TIME)), F.lit(NO_TIME)
+        first = F.lit(NEVER) if past else F.coalesce(F.unix_micros(ts), F.lit(NEVER))
+        return df.select(
+            F.col(key).cast("string").alias("key"), F.lit(not past).alias("live"), first.alias("first"), (none if past else at).alias("last"), F.lit(past).alias("past"), (at if past else none).alias("known")
+        )
+
+    rows = tagged(stream, False).unionByName(tagged(history, True)).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(KEY_BUCKETS)).cast("int"))
+    shape = pa.schema([("key", pa.string()), ("live", pa.bool_()), ("first", pa.int64()), ("last", pa.int64()), ("past", pa.bool_()), ("known", pa.int64())])
+    least = {"first": "min"}
+
+    def reduced(tables: list[pa.Table]) -> pa.Table:
+        whole = pa.concat_tables(tables)
+        values = [c for c in whole.column_names if c != "key"]
+        return whole.group_by("key", use_threads=False).aggregate([(c, least.get(c.removeprefix("old_"), "max")) for c in values]).rename_columns({f"{c}_{least.get(c.removeprefix('old_'), 'max')}": c for c in values}).select(whole.column_names)
+
+    def beside(table: pa.Table, old: pa.Table | None) -> pa.Table:
+        """Rows with the values they had before (none) and whether the batch brings them."""
+        for c in shape.names[1:]:
+            none = pa.array(np.full(len(table), NEVER if c == "first" else NO_TIME)) if shape.field(c).type == pa.int64() else pa.array(np.zeros(len(table), dtype=bool))
+            table = table.append_column(f"old_{c}", none if old is None else old.column(c))
+        return table.append_column("new", pa.array(np.full(len(table), old is None)))
+
+    def update(_: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        held = pa.ipc.open_stream(state.get[0]).read_all() if state.exists else shape.empty_table()
+        # Reduced batch by batch: a key with many rows needs no more room than another.
+        found = [reduced([pa.Table.from_pandas(batch[shape.names], shape, preserve_index=False)]) for batch in batches]
+        whole = reduced([beside(held, held), *[beside(t, None) for t in found]])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, shape) as writer:
+            writer.write_table(whole.select(shape.names))
+        state.update((sink.getvalue().to_pybytes(),))
+        changed = whole.filter(whole.column("new"))
+        value = {c: changed.column(c).to_numpy() for c in changed.column_names if c != "key"}
+        yield pd.DataFrame(
+            {"key": changed.column("key").to_pandas()}
+            | {
+                f"{old}{name}": made
+                for old in ("", "old_")
+                for name, made in (
+                    ("live", value[f"{old}live"]),
+                    ("first", np.where(value[f"{old}first"] == NEVER, NO_TIME, value[f"{old}first"])),
+                    ("event", np.where(value[f"{old}past"], value[f"{old}known"], value[f"{old}last"])),
+                )
+            }
+        )
+
+    out = "key string, live boolean, first bigint, event bigint, old_live boolean, old_first bigint, old_event bigint"
+    changes = rows.groupBy("bucket").applyInPandasWithState(update, out, "keys binary", "update", "NoTimeout")
+    return changes.withColumns({"key": F.col("key").cast(kind)} | {c: F.when(F.col(c) != NO_TIME, F.col(c)) for c in ("first", "event", "old_first", "old_event")})
 
 
 #: Part of outages whose time is not known.

@@ -147,6 +147,28 @@ def test_trailing_batches_read_only_days_they_can_change(spark, tmp_path, monkey
     assert one.count() == 20 and all("_part=2024-01-11" in f for f in one.inputFiles())
 
 
+def test_outages_share_entries_of_the_state_store(spark, tmp_path, monkeypatch):
+    """One call of Python and one entry for many outages; what a batch changes comes with what it was."""
+    monkeypatch.setattr(jobs, "KEY_BUCKETS", 3)
+    schema, feed, start = "OUTAGE_ID long, CREATION_DATETIME timestamp", str(tmp_path / "feed"), dt.datetime(2024, 1, 10)
+    big = (1 << 60) + 1  # not a double
+    first = [(big + i, start + dt.timedelta(minutes=i)) for i in range(200)] + [(None, start), (None, None), (5, None)]
+    _feed(spark, feed, [first, [(big, start - dt.timedelta(days=1)), (None, start + dt.timedelta(days=1)), (7, start)]], schema)
+    stored = str(tmp_path / "history")
+    spark.createDataFrame([(big + 1, start), (big + 1, start + dt.timedelta(hours=1)), (9, None)], schema).write.parquet(stored)
+    seen = {}
+    changes = jobs.outage_times(_stream(spark, feed), spark.readStream.schema(schema).parquet(stored), "OUTAGE_ID", "CREATION_DATETIME")
+    run = changes.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True)
+    run = run.foreachBatch(lambda df, batch: seen.update({batch: {r.key: tuple(r)[1:] for r in df.collect()}})).start()
+    run.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in run.recentProgress if p["stateOperators"]) <= 3
+    at = {n: int((start + dt.timedelta(hours=n) - dt.datetime(1970, 1, 1)).total_seconds()) * 1_000_000 for n in (-24, 0, 1, 24)}
+    whole = seen[0] | seen[1]
+    assert len(whole) == 204 and whole[big + 1] == (True, at[0] + 60_000_000, at[1], False, None, None) and whole[5] == (True, None, None, False, None, None)
+    assert whole[9] == (False, None, None, False, None, None) and seen[1].keys() == {big, None, 7}
+    assert seen[1][big] == (True, at[-24], at[0], True, at[0], at[0]) and seen[1][None] == (True, at[0], at[24], True, at[0], at[0])
+
+
 def test_a_failed_trailing_batch_repeats(spark, tmp_path, rows, monkeypatch):
     schema, feed, out = "OUTAGE_ID string, CREATION_DATETIME timestamp", str(tmp_path / "feed"), str(tmp_path / "out")
     outages = [r[:2] for r in _outages()]
