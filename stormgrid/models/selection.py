@@ -6,16 +6,21 @@ which brings a term into the regression or takes it out again.
 
 `stepwise` adds and drops inputs while the information criterion falls. `splines`
 adds hinge pairs max(0, x - k), max(0, k - x) while they explain more, then drops
-terms and keeps the set with the least generalised cross-validation.
+terms and keeps the set with the least generalised cross-validation. Between two
+knots every hinge is a straight line, so the cross products of all hinges follow
+from sums by interval, and rows travel with their inputs, not with their hinges.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stormgrid.models import moments
 
@@ -130,6 +135,77 @@ def _total(df: DataFrame, terms: list[Term], label: Column) -> moments.Total:
     return moments.total(moments.moments(df, columns), list(columns))
 
 
+def hinge_total(df: DataFrame, terms: list[Term], label: Column) -> moments.Total:
+    """What `_total` gives for hinges, from sums over the intervals between knots.
+
+    A row adds its distance u from the knot below it (the lowest knot below all) to
+    tables by interval: number, u, u squared, and with the label for each input;
+    number, u of either and their product for each pair of inputs.
+    """
+    inputs = list(dict.fromkeys(term.name for term in terms))
+    marks = [np.array(sorted({t.knot for t in terms if t.name == name})) for name in inputs]
+    anchors = [np.concatenate([m[:1], m]) for m in marks]
+    sizes, pairs = [len(c) for c in anchors], [(i, j) for i in range(len(inputs)) for j in range(i)]
+    values = F.array(*[F.col(name).cast("double") for name in inputs], label.cast("double"))
+    rows = df.select(values.alias("values")).where(~F.exists("values", lambda v: v.isNull() | F.isnan(v)))
+    schema = moments._schema(T.IntegerType())
+    width = len(inputs) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, sums = 0, 0.0
+        for batch in batches:
+            matrix = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            if not len(matrix):
+                continue
+            y = matrix[:, -1]
+            bins = [np.searchsorted(m, matrix[:, i], side="right") for i, m in enumerate(marks)]
+            us = [matrix[:, i] - anchors[i][b] for i, b in enumerate(bins)]
+            found = [np.array([y.sum(), y @ y])]
+            for b, u, size in zip(bins, us, sizes, strict=True):
+                found += [np.bincount(b, w, size) for w in (None, u, u * u, y, u * y)]
+            for i, j in pairs:
+                found += [np.bincount(bins[i] * sizes[j] + bins[j], w, sizes[i] * sizes[j]) for w in (None, us[i], us[j], us[i] * us[j])]
+            n, sums = n + len(matrix), sums + np.concatenate(found)
+        if n:
+            doubles = pa.list_(pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([n], pa.int64()), pa.array([[]], doubles), pa.array([sums.tolist()], doubles)], names=["part", "n", "sums", "products"])
+
+    row = moments.merged(rows.mapInArrow(run, schema)).first()
+    names = [*(f"{i}" for i in range(len(terms))), "label"]
+    sums, products = np.zeros(len(names)), np.zeros((len(names), len(names)))
+    if row is None:
+        return moments.Total(names, 0, sums, products)
+    flat, at = np.array(row.products), 2
+    sums[-1], products[-1, -1] = flat[:2]
+
+    def taken(*shape: int) -> np.ndarray:
+        nonlocal at
+        at += int(np.prod(shape))
+        return flat[at - int(np.prod(shape)) : at].reshape(shape)
+
+    # A hinge in each interval of its input: its value at u = 0, and its slope.
+    own, lines = [], []
+    for i, name in enumerate(inputs):
+        mine = [k for k, t in enumerate(terms) if t.name == name]
+        level, slope = np.zeros((len(mine), sizes[i])), np.zeros((len(mine), sizes[i]))
+        for at_, k in enumerate(mine):
+            place = int(np.searchsorted(marks[i], terms[k].knot))
+            inside = slice(place + 1, None) if terms[k].side > 0 else slice(None, place + 1)
+            level[at_, inside], slope[at_, inside] = (anchors[i][inside] - terms[k].knot) * terms[k].side, terms[k].side
+        own.append(mine)
+        lines.append((level, slope))
+    for mine, (level, slope), size in zip(own, lines, sizes, strict=True):
+        count, u, uu, y, uy = (taken(size) for _ in range(5))
+        sums[mine] = level @ count + slope @ u
+        products[np.ix_(mine, mine)] = (level * count) @ level.T + (level * u) @ slope.T + (slope * u) @ level.T + (slope * uu) @ slope.T
+        products[mine, -1] = products[-1, mine] = level @ y + slope @ uy
+    for i, j in pairs:
+        count, ui, uj, both = (taken(sizes[i], sizes[j]) for _ in range(4))
+        block = lines[i][0] @ (count @ lines[j][0].T + uj @ lines[j][1].T) + lines[i][1] @ (ui @ lines[j][0].T + both @ lines[j][1].T)
+        products[np.ix_(own[i], own[j])], products[np.ix_(own[j], own[i])] = block, block.T
+    return moments.Total(names, row.n, sums, products)
+
+
 def _result(total: moments.Total, terms: list[Term], state: Sweeps, inverse: str) -> Chosen:
     found = state.coefficients()
     intercept = total.means[-1] - sum(weight * total.means[k] for k, weight in found.items())
@@ -201,7 +277,7 @@ def splines(
         marks = df.approxQuantile(inputs, list(MARKS), 0.001)
         knots = {name: sorted(set(values)) for name, values in zip(inputs, marks, strict=True)}
     terms = [Term(name, float(knot), side) for name in inputs for knot in knots[name] for side in (1, -1)]
-    total = _total(df, terms, label)
+    total = hinge_total(df, terms, label)
     if total.n == 0:
         raise ValueError("no row has all inputs and a label")
     centred = total.centred

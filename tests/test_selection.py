@@ -117,3 +117,18 @@ def test_components_from_moments_equal_a_fit(spark):
     assert got[99].PC1 is None and want[99].PC1 is None
     assert np.allclose([got[i][1:] for i in range(80)], [want[i][1:] for i in range(80)], atol=1e-8)
     assert np.allclose(model.shares, components.fit_components(df, names, k=3).pca.explainedVariance.toArray())
+
+
+def test_hinge_products_from_sums_by_interval(spark, monkeypatch):
+    """As from the hinges of every row, of which none travels; knots may repeat, and lie beyond all rows."""
+    rng = np.random.default_rng(4)
+    rows = [(float(a), float(round(b, 1)), float(y)) for a, b, y in rng.normal(0, 2, (500, 3))] + [(None, 1.0, 1.0), (1.0, float("nan"), 1.0), (1.0, 1.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, y double").repartition(5)
+    knots = {"a": [0.5, -1.0, 0.5, 9.0], "b": [-9.0, 0.0, 0.1, 1.0]}
+    terms = [selection.Term(name, knot, side) for name in ("a", "b") for knot in knots[name] for side in (1, -1)]
+    want = selection._total(df, terms, F.col("y"))
+    monkeypatch.setattr(selection, "_total", None)
+    got = selection.hinge_total(df, terms, F.col("y"))
+    assert got.n == want.n == 500 and np.allclose(got.sums, want.sums) and np.allclose(got.products, want.products)
+    assert selection.hinge_total(df.limit(0), terms, F.col("y")).n == 0
+    assert selection.splines(df, ["a", "b"], F.col("y"), knots=knots) is not None
