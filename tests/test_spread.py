@@ -66,6 +66,28 @@ def test_rings_join_on_cells(spark, monkeypatch):
     assert len(plans) > 1 and not any("Cartesian" in p or "NestedLoop" in p for p in plans)
 
 
+def test_nearest_forms_no_rows_of_pairs(spark, monkeypatch):
+    """Dense points: few share a first cell, and what is stored does not hold every pair."""
+    rng, stored, real = np.random.default_rng(3), [], nearest.materialize
+    monkeypatch.setattr(nearest, "materialize", lambda df: stored.append((real(df), df)) or stored[-1][0])
+    near = rng.uniform(0, 0.4, (6000, 2)) + [40, -86]
+    table = spark.createDataFrame([(i, float(a), float(o)) for i, (a, o) in enumerate(near)] + [(9000, *map(float, near[0])), (-3, *map(float, near[1]))], "id int, lat double, lon double")
+    probes = [(i, float(a), float(o)) for i, (a, o) in enumerate(rng.uniform(-0.1, 0.5, (300, 2)) + [40, -86])] + [(1000, *map(float, near[0])), (1001, *map(float, near[1]))]
+    for times in (1, 30):
+        rows = [(k * 10_000 + n, a + k * 1e-4, o) for k in range(times) for n, a, o in probes]
+        stored.clear()
+        got = {r.n: r for r in nearest.with_nearest(spark.createDataFrame(rows, "n int, LAT double, LONG double"), table, size=0.5).collect()}
+        assert got[1000].Nearest == 0 and got[1001].Nearest == -3
+        for n, a, o in rows[:: times * 7]:
+            angles = _angles(a, o, near[:, 0], near[:, 1])
+            assert got[n].Nearest_Km == pytest.approx(2 * C.EARTH_RADIUS_KM * np.arcsin(np.sqrt(angles.min())), abs=1e-6)
+        targets = stored[0][0]
+        width = nearest.first_size(targets, 0.5)
+        row, column, _ = nearest._cells(F.col("_lat"), F.col("_lon"), width)
+        assert width < 0.1 and targets.groupBy(row, column).count().agg({"count": "max"}).first()[0] <= nearest.CROWD
+        assert targets.count() == 6000 and all(frame.count() <= 20 * len(rows) + 6000 for frame, _ in stored[1:])
+
+
 def test_weather_by_date_is_pruned(spark, tmp_path):
     start = dt.datetime(2024, 1, 1, 5)
     rows = [(start + dt.timedelta(days=d), f"IPL_Marker{m}", float(d * m), start) for d in range(30) for m in (1, 2)]
