@@ -12,7 +12,7 @@ from stormgrid.catalog.registry import query
 from stormgrid.catalog.weather import PROFILE_SQL
 from stormgrid.functions import flags, geo, times
 from stormgrid.models import forecasts
-from stormgrid.operators import aggregate, joins, latest, ordered, trailing
+from stormgrid.operators import aggregate, clean, joins, latest, ordered, trailing
 from stormgrid.plans import diagnostics, restoration
 from stormgrid.session import materialize, work_path
 from stormgrid.sources import sinks, snapshots
@@ -81,10 +81,12 @@ def ffill_all(spark, folder):
 
 
 # ---------------------------------------------------------------- located and curated outages
+def live_feeds(spark, folder):
+    return t.device(spark, folder), t.location(spark, folder), t.clue_map(spark, folder), t.occurrence_map(spark, folder), t.cause_map(spark, folder)
+
+
 def live_table(spark, folder):
-    return restoration.outage_table(
-        t.device(spark, folder), t.location(spark, folder), t.clue_map(spark, folder), t.occurrence_map(spark, folder), t.cause_map(spark, folder)
-    )
+    return restoration.outage_table(*live_feeds(spark, folder))
 
 
 _ZONE = "CASE WHEN LAT < 39.7684::DOUBLE THEN CASE WHEN LONG < -86.1581::DOUBLE THEN 'ZONE1' ELSE 'ZONE2' END ELSE CASE WHEN LONG < -86.1581::DOUBLE THEN 'ZONE4' ELSE 'ZONE3' END END"
@@ -160,9 +162,9 @@ def live_outage_dataset(spark, folder):
 
 def curated_live(spark, folder, run_ts=None):
     """The outages are read by several steps, so they are stored once."""
-    outages = materialize(live_table(spark, folder))
-    located = restoration.located_outages(outages, t.location(spark, folder), run_ts)
-    weathered = restoration.weather_outages(located, t.forecast_day(spark, folder), FEATURES)
+    outages = restoration.stored_outages(*live_feeds(spark, folder))
+    located = restoration.located_outages(outages, t.location(spark, folder), run_ts, clean.without_power())
+    weathered = restoration.weather_outages(located, t.forecast_day(spark, folder), FEATURES, outages)
     return restoration.curated_outages(weathered, predicted_outages(outages))[0]
 
 

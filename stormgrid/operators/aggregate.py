@@ -55,6 +55,11 @@ def flag_aggregates() -> list[Column]:
     return [*packed, F.bit_or(priority).alias("PRIORITY_MASK")]
 
 
+def unpacked(df: DataFrame) -> DataFrame:
+    """Flags as 0/1 columns; a table that has them as columns already is left as it is."""
+    return flags.unpack(df, MASKS) if set(MASKS) <= set(df.columns) else df
+
+
 def outage_grain(df: DataFrame) -> DataFrame:
     """Live feed: quantities and extremes per outage."""
     return with_labels(_grain(df).agg(*numeric_aggregates()))
@@ -86,10 +91,14 @@ def outage_cities(df: DataFrame) -> DataFrame:
     return _grain(df).agg(city_aggregate())
 
 
-def outage_table(df: DataFrame) -> DataFrame:
-    """Quantities, flags and city per outage in a single aggregation (one shuffle)."""
-    table = _grain(df).agg(*numeric_aggregates(), *flag_aggregates(), city_aggregate())
-    table = flags.unpack(with_labels(table), MASKS)
+def outage_table(df: DataFrame, packed: bool = False) -> DataFrame:
+    """Quantities, flags and city per outage in a single aggregation (one shuffle).
+
+    `packed` flags stay four numbers, for steps that move rows before they need them
+    (`unpacked` gives the columns).
+    """
+    table = with_labels(_grain(df).agg(*numeric_aggregates(), *flag_aggregates(), city_aggregate()))
+    table = table if packed else unpacked(table)
     created = F.col("CREATION_DATETIME")
     return table.withColumns(
         {"DAY_FLAG": times.day_flag(created), "Hour_Sin": times.hour_sin(created), "Hour_Cos": times.hour_cos(created)}

@@ -78,10 +78,15 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
     return df
 
 
-def still_out(df: DataFrame) -> DataFrame:
-    """Outages without a restoration time; 1900-01-01 stands for 'none'."""
+def without_power() -> Column:
+    """No restoration time; 1900-01-01 stands for 'none'."""
     energised = F.to_date("ENERGIZED_DATETIME")
-    return df.where(energised.isNull() | (energised == F.lit("1900-01-01").cast("date")))
+    return energised.isNull() | (energised == F.lit("1900-01-01").cast("date"))
+
+
+def still_out(df: DataFrame) -> DataFrame:
+    """Outages without a restoration time."""
+    return df.where(without_power())
 
 
 def drop_any_null(df: DataFrame) -> DataFrame:

@@ -8,14 +8,21 @@ as there are partitions) carries the state from run to run.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stormgrid.session import materialize
 
 # A value is hot when it holds at least this share of all rows: 1/share values at most.
 HOT_SHARE = 1000
 SALTS = 64
+#: Number of a row of a stored table (`numbered`).
+ROW = "_row"
 
 
 def runs(df: DataFrame, order: list[Column], partitions: int | None = None) -> DataFrame:
@@ -24,7 +31,7 @@ def runs(df: DataFrame, order: list[Column], partitions: int | None = None) -> D
     Without a given number, adaptive execution merges neighbouring runs to its target size.
     """
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    return materialize(ranged.withColumn("_run", F.spark_partition_id()))
+    return materialize(ranged.withColumn("_run", F.spark_partition_id()), codec="zstd")
 
 
 def _before(summary: DataFrame, columns: dict[str, Column]) -> DataFrame:
@@ -93,8 +100,8 @@ def max_rank_of(df: DataFrame, key: str, name: str, partitions: int | None = Non
     return attach_by_value(df, ranks, key).withColumnRenamed("_upto", name)
 
 
-def rank_within_day(df: DataFrame, ts: str, name: str, partitions: int | None = None) -> DataFrame:
-    """Dense rank by time within its date.
+def day_ranks(df: DataFrame, ts: str, partitions: int | None = None) -> DataFrame:
+    """One row per different time: rows of it, and its dense rank within its date.
 
     The global dense rank less the first one of the date: a date with most of the
     rows is no single group. The per-date table is broadcast: it cannot outgrow
@@ -102,27 +109,92 @@ def rank_within_day(df: DataFrame, ts: str, name: str, partitions: int | None =
     """
     ranks = value_ranks(df, ts, False, partitions).drop("_upto").withColumn("_day", F.to_date(ts))
     first = ranks.groupBy("_day").agg(F.min("_dense").alias("_first"))
-    daily = ranks.join(F.broadcast(first), "_day").select(ts, "_n", (F.col("_dense") - F.col("_first") + 1).alias("_dense"))
-    return attach_by_value(df, daily, ts).withColumnRenamed("_dense", name)
+    return ranks.join(F.broadcast(first), "_day").select(ts, "_n", (F.col("_dense") - F.col("_first") + 1).alias("_dense"))
 
 
-def forward_fill(df: DataFrame, columns: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
+def rank_within_day(df: DataFrame, ts: str, name: str, partitions: int | None = None) -> DataFrame:
+    """Dense rank by time within its date."""
+    return attach_by_value(df, day_ranks(df, ts, partitions), ts).withColumnRenamed("_dense", name)
+
+
+def _filled_within(columns: list[str]):
+    """Fills the gaps of a partition's ordered rows from those before them, and numbers the rows (`_place`)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, start = {}, 0
+        for batch in batches:
+            arrays = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            for name in columns:
+                values = arrays[name]
+                if values.null_count:
+                    values = pc.fill_null_forward(values)
+                    if values.null_count and name in last:
+                        values = values.fill_null(last[name])
+                if len(values) and values[-1].is_valid:
+                    last[name] = values[-1]
+                arrays[name] = values
+            arrays["_place"] = pa.array(range(start, start + batch.num_rows), pa.int64())
+            start += batch.num_rows
+            yield pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
+
+    return run
+
+
+def forward_fill(df: DataFrame, columns: list[str], order: list[str], partitions: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """Missing values take the last known one before them in the given (total) order.
 
-    The stored layout is one range shuffle, sorted within its runs. The state each
-    run hands on is one `max_by` per column; then every run fills itself in one
-    ordered window over the stored rows.
+    One range shuffle brings the rows into order; each run fills itself as it is
+    stored, with only the columns to `keep` (all of them by default). What is still
+    missing stands before the first known value of its run and takes the one that
+    earlier runs hand on, a single row for each run.
     """
     keys = [F.col(c).asc() for c in order]
-    laid_out = runs(df, keys, partitions)
-    place = F.struct(*[F.col(c) for c in order])
-    # A struct orders nulls first, as ascending keys do.
-    known = {f"_last_{c}": F.max_by(c, F.when(F.col(c).isNotNull(), place)) for c in columns}
+    kept = df.columns if keep is None else keep
+    ranged = (df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)).sortWithinPartitions(*keys)
+    rows = ranged.select(*kept, F.spark_partition_id().alias("_run"))
+    schema = T.StructType([*rows.schema.fields, T.StructField("_place", T.LongType())])
+    laid_out = materialize(rows.mapInArrow(_filled_within([c for c in columns if c in kept]), schema), codec="zstd")
+    known = {f"_last_{c}": F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_place"))) for c in columns}
     summary = laid_out.groupBy("_run").agg(*[value.alias(name) for name, value in known.items()])
     carried = _before(summary, {f"_carry_{c}": F.last(f"_last_{c}", ignorenulls=True) for c in columns})
-    upto = Window.partitionBy("_run").orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = {c: F.coalesce(F.last(c, ignorenulls=True).over(upto), f"_carry_{c}").alias(c) for c in columns}
-    return laid_out.join(carried, "_run").select(*[filled.get(c, F.col(c)) for c in df.columns])
+    filled = {c: F.coalesce(c, f"_carry_{c}").alias(c) for c in columns}
+    return laid_out.join(carried, "_run").select(*[filled.get(c, F.col(c)) for c in kept])
+
+
+def numbered(df: DataFrame, gate: str | None = None) -> DataFrame:
+    """Stores a table with a number (`ROW`) of its own for every row.
+
+    Steps then move the number with the few columns they need, and what they find is
+    joined to the stored rows by it: joins on `ROW` in a row share one shuffle.
+    """
+    return materialize(df.drop(ROW).withColumn(ROW, F.monotonically_increasing_id()), gate, "zstd")
+
+
+def gap_values(df: DataFrame, columns: list[str], order: list[str], partitions: int | None = None) -> DataFrame | None:
+    """What `forward_fill` puts into a numbered table: `ROW` and the columns that have gaps, for rows with one.
+
+    Columns without a missing value, or with nothing else, stay as they are, so only
+    the others are laid out by the order. None if there are no such columns.
+    """
+    counts = df.agg(F.count(F.lit(1)).alias("_all"), *[F.count(c).alias(c) for c in columns]).first()
+    open_ones = [c for c in columns if 0 < counts[c] < counts["_all"]]
+    if not open_ones:
+        return None
+    lacks = F.lit(False)
+    for c in open_ones:
+        lacks = lacks | F.col(c).isNull()
+    narrow = df.select(ROW, *order, *open_ones, lacks.alias("_lacks"))
+    return materialize(forward_fill(narrow, open_ones, order, partitions, [ROW, *open_ones, "_lacks"]).where("_lacks").drop("_lacks"), codec="zstd")
+
+
+def with_gap_values(df: DataFrame, found: DataFrame | None) -> DataFrame:
+    """A numbered table with its gaps filled by `gap_values`."""
+    if found is None:
+        return df
+    names = [c for c in found.columns if c != ROW]
+    renamed = found.select(ROW, *[F.col(c).alias(f"_gap_{c}") for c in names])
+    joined = df.join(renamed, ROW, "left")
+    return joined.select(*[F.coalesce(c, f"_gap_{c}").alias(c) if c in names else F.col(c) for c in df.columns])
 
 
 def exact_median(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:

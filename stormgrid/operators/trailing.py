@@ -9,6 +9,7 @@ from stormgrid import constants as C
 from stormgrid.functions import times
 from stormgrid.operators.latest import pick_one, union_all
 from stormgrid.operators.ordered import attach_by_value
+from stormgrid.session import materialize
 
 DAY = 86_400
 
@@ -27,6 +28,7 @@ def trailing_counts(
     key: str = "OUTAGE_ID",
     ts: str = "CREATION_DATETIME",
     hours: int = C.TRAILING_HOURS,
+    store: bool = False,
 ) -> DataFrame:
     """`Outages_in_last_{k}hr` per probe: events at most k hours and at least a second earlier.
 
@@ -63,4 +65,5 @@ def trailing_counts(
         F.max("_n").alias("_n"), *[F.max(F.when(F.col("_k") == k, F.col("_total"))).alias(f"_t{k}") for k in range(hours + 1)]
     )
     counts = [(F.col("_t0") - F.col(f"_t{k}")).alias(f"Outages_in_last_{k}hr") for k in range(1, hours + 1)]
-    return attach_by_value(first_seen, gathered.select("_sec", "_n", *counts), "_sec").drop("_sec")
+    answers = gathered.select("_sec", "_n", *counts)
+    return attach_by_value(first_seen, materialize(answers, codec="zstd") if store else answers, "_sec").drop("_sec")

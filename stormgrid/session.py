@@ -85,21 +85,37 @@ def stored_steps(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def dealt_by_part_of_keys(spark: SparkSession) -> Iterator[None]:
+    """Joins run in the block take feeds that both are dealt out by some of the keys as they lie.
+
+    Spark shuffles such feeds again by all keys otherwise, against skew.
+    """
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class EmptyStep(ValueError):
     """A step that must have rows has none."""
 
 
-def materialize(df: DataFrame, gate: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, gate: str | None = None, codec: str | None = None) -> DataFrame:
     """Stores a step as a table in the shared folder and reads it back.
 
     Later reads see the very same rows, need only the columns they use, know the
     size of the table, and survive the loss of any executor. With a `gate` the rows
     are counted while they are written, and `EmptyStep` is raised under that name if
-    there are none: no job is run to find out.
+    there are none: no job is run to find out. A `codec` names the compression of the
+    stored files, else the session's own.
     """
     path = work_path(df.sparkSession, "step")
     seen = Observation()
-    (df if gate is None else df.observe(seen, F.count(F.lit(1)).alias("rows"))).write.parquet(path)
+    (df if gate is None else df.observe(seen, F.count(F.lit(1)).alias("rows"))).write.parquet(path, compression=codec)
     if gate is not None and not seen.get["rows"]:
         raise EmptyStep(gate)
     return df.sparkSession.read.schema(df.schema).parquet(path)
