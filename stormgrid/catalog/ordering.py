@@ -187,7 +187,7 @@ MODEL_INPUTS = [
 def published_predictions(spark, folder):
     """Two runs from the raw feeds to both published tables; the forest learns from the history's durations."""
     run_ts = F.lit(RUN_TS).cast("timestamp")
-    curated = materialize(curated_live(spark, folder, run_ts))
+    curated = materialize(curated_live(spark, folder, run_ts), codec="zstd")
     actual = aggregate.with_restoration_minutes(diagnostics.facility_outages(t.facility(spark, folder))).select("OUTAGE_ID", "TTR")
     model = forecasts.fit_restoration(flags.model_indicators(curated).join(actual, "OUTAGE_ID"), MODEL_INPUTS, trees=5, depth=4)
     root = work_path(spark, "predictions")

@@ -58,6 +58,6 @@ def publish(df: DataFrame, root: str, token: str) -> None:
     """
     with snapshots.Transaction(df.sparkSession, root, token) as run:
         if not run.done:
-            stored = materialize(df, "nothing to publish")
+            stored = materialize(df, "nothing to publish", "zstd")
             run.append(HISTORY, stored)
             run.replace(LIVE, stored)
