@@ -98,3 +98,15 @@ def test_sample_is_bounded(spark):
     chosen = P.trusted_sample(docs, docs.select("doc_id"), chars=5000)
     total = docs.join(chosen, "doc_id").selectExpr("sum(length(text))").first()[0]
     assert 2500 < total <= 5000
+
+
+def test_counts_cover_all_trusted_text(spark):
+    """More text than the bounded sample of earlier rounds (6 million characters) held, one document as long as that by itself."""
+    rows = [(i, "ab cd " * 1500) for i in range(100)] + [(100, "ef gh " * 1_100_000), (101, "not trusted")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    model = P.fit(docs, docs.where("doc_id <= 100").select("doc_id"))
+    assert {r.word: r.n for r in model.words.collect()} == {"ab": 150_000, "cd": 150_000, "ef": 1_100_000, "gh": 1_100_000}
+    ids = model.vocabulary
+    key = lambda *words: sum(ids[w] << 21 * (2 - i) for i, w in enumerate(words))
+    seen, unseen = model.scores(np.array([key("ef", "gh", "ef"), key("ef", "gh", "ab")]))
+    assert seen > math.log(0.99) > unseen
