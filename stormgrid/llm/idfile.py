@@ -73,7 +73,7 @@ def pack(ids: np.ndarray, percentile: int = PERCENTILE) -> bytes:
     out[begin + 5] = exceptions
     for w in np.unique(width[width > 0]):
         rows = np.flatnonzero(width == w)
-        bits = (delta[rows][:, :, None] >> np.arange(w, dtype=np.uint32)).astype(np.uint8) & 1
+        bits = np.unpackbits(delta[rows].astype("<u4").reshape(-1, 1).view(np.uint8), axis=1, count=w, bitorder="little")
         packed = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
         out[begin[rows][:, None] + 6 + np.arange(packed.shape[1])] = packed
     row, place = np.nonzero(outside)
