@@ -30,11 +30,9 @@ table gives no rows; columns named like an added one are replaced.
 
 from __future__ import annotations
 
-import re
 import zlib
-from array import array
-from collections.abc import Callable, Iterator
-from itertools import chain, compress
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -44,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stormgrid.llm.common import append_columns, share, slices, small_batches, texts_of
-from stormgrid.llm.perplexity import SHAPES, TOKEN, shape
+from stormgrid.llm.perplexity import SHAPES, Numbered, shape
 from stormgrid.session import materialize
 
 SIDE, WIDTH, HIDDEN = 2, 8, 16
@@ -75,7 +73,7 @@ def token_class(token: str) -> int:
 
 
 class Network:
-    """Weights and accumulated squares by name, in single precision."""
+    """Weights and accumulated squares by name, in single precision; the last row of `out` are the biases of the classes."""
 
     def __init__(self, weights: dict[str, np.ndarray], squares: dict[str, np.ndarray]) -> None:
         self.weights, self.squares = weights, squares
@@ -86,92 +84,106 @@ class Network:
         normal = lambda *size: rng.normal(0, 1 / np.sqrt(size[0]), size).astype(np.float32)
         weights = {
             "embed": rng.normal(0, 0.5, (classes + 1, WIDTH)).astype(np.float32), "in": normal(2 * SIDE * WIDTH, HIDDEN), "in_bias": np.zeros(HIDDEN, np.float32),
-            "out": normal(HIDDEN, classes) * np.float32(0.1), "out_bias": np.zeros(classes, np.float32),
+            "out": np.vstack([normal(HIDDEN, classes) * np.float32(0.1), np.zeros((1, classes), np.float32)]),
         }
         return cls(weights, {k: np.full_like(v, 0.01) for k, v in weights.items()})
 
-    def hidden(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Inputs, hidden values and logits of all classes, small enough for their exponentials."""
+    def hidden(self, context: np.ndarray, room: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Inputs, hidden values with a one beside them, and logits of all classes (in `room` if given), small enough for their exponentials."""
         w = self.weights
-        inputs = w["embed"][context].reshape(len(context), -1)
-        hidden = np.tanh(inputs @ w["in"] + w["in_bias"])
-        logits = hidden @ w["out"]
-        logits += w["out_bias"]
+        inputs = w["embed"].take(context.reshape(-1), axis=0).reshape(len(context), -1)
+        hidden = np.ones((len(context), HIDDEN + 1), dtype=np.float32)
+        sums = inputs @ w["in"]
+        sums += w["in_bias"]
+        np.tanh(sums, out=hidden[:, :-1])
+        logits = np.matmul(hidden, w["out"], out=room)
         # Hidden values are within 1, so the weights bound the logits; mostly no row need be shifted.
-        if float((np.abs(w["out"]).sum(axis=0) + np.abs(w["out_bias"])).max()) > SAFE:
+        if float(np.abs(w["out"]).sum(axis=0).max()) > SAFE:
             logits -= logits.max(axis=1, keepdims=True)
         return inputs, hidden, logits
 
-    def scores(self, context: np.ndarray, target: np.ndarray, at_once: int = 2048) -> np.ndarray:
+    def scores(self, context: np.ndarray, target: np.ndarray, at_once: int = 512) -> np.ndarray:
         """Log-probability of the target classes."""
-        parts = []
+        classes = self.weights["out"].shape[1]
+        room, ones, found = np.empty((at_once, classes), np.float32), np.ones(classes, np.float32), np.empty(len(target), np.float32)
         for i in range(0, len(target), at_once):
-            logits = self.hidden(context[i : i + at_once])[2]
-            wanted = logits[np.arange(len(logits)), target[i : i + at_once]]
-            parts.append(wanted - np.log(np.exp(logits, out=logits).sum(axis=1)))
-        return np.concatenate(parts) if parts else np.empty(0, np.float32)
+            wanted = target[i : i + at_once]
+            logits = self.hidden(context[i : i + at_once], room[: len(wanted)])[2]
+            found[i : i + at_once] = logits[np.arange(len(wanted)), wanted]
+            np.exp(logits, out=logits)
+            found[i : i + at_once] -= np.log(logits @ ones)
+        return found
 
     def train(self, context: np.ndarray, target: np.ndarray) -> None:
         """One pass over shuffled windows, by adaptive gradient steps."""
-        w, squares = self.weights, self.squares
+        both = self.packed()
+        every, squares = np.split(both, 2)
+        self.weights, self.squares = (own := self.unpacked(both)).weights, own.squares
+        w = self.weights
         order = np.random.default_rng(SEED).permutation(len(target))
+        classes = w["out"].shape[1]
+        # The large table of a batch stays in one place and is passed over as seldom as can be.
+        room, ones, steps = np.empty((BATCH, classes), np.float32), np.ones(classes, np.float32), (np.arange(WIDTH) * len(w["embed"]))[:, None]
         for at in range(0, len(order), BATCH):
             rows = order[at : at + BATCH]
-            inputs, hidden, wrong = self.hidden(context[rows])
+            near = context.take(rows, axis=0)
+            inputs, hidden, wrong = self.hidden(near, room[: len(rows)])
             np.exp(wrong, out=wrong)
-            n = np.float32(len(rows))
-            wrong *= 1 / (wrong.sum(axis=1, keepdims=True) * n)
-            wrong[np.arange(len(rows)), target[rows]] -= 1 / n
-            back = (wrong @ w["out"].T) * (1 - hidden**2)
-            grads = {"out": hidden.T @ wrong, "out_bias": wrong.sum(axis=0), "in": inputs.T @ back, "in_bias": back.sum(axis=0)}
-            cells = (context[rows].reshape(-1, 1) * WIDTH + np.arange(WIDTH)).reshape(-1)
-            embed = np.bincount(cells, (back @ w["in"].T).reshape(-1), w["embed"].size).astype(np.float32).reshape(-1, WIDTH)
-            for name, grad in (grads | {"embed": embed}).items():
-                squares[name] += grad**2
-                w[name] -= RATE * grad / np.sqrt(squares[name] + 1e-6)
+            total = wrong @ ones
+            wrong[np.arange(len(rows)), target.take(rows)] -= total
+            # What makes errors of the exponentials is multiplied in on the narrow side of each product.
+            scale = 1 / (total * np.float32(len(rows)))[:, None]
+            back = wrong @ w["out"][:-1].T
+            back *= scale * (1 - hidden[:, :-1] ** 2)
+            hidden *= scale
+            cells = near.T.astype(np.int64)[:, None] + steps
+            embed = np.bincount(cells.reshape(-1), (w["in"] @ back.T).reshape(-1), w["embed"].size).astype(np.float32).reshape(WIDTH, -1).T
+            grads = {"out": hidden.T @ wrong, "in": inputs.T @ back, "in_bias": np.ones(len(rows), np.float32) @ back, "embed": embed}
+            grad = np.concatenate([grads[k].reshape(-1) for k in sorted(grads)])
+            squares += grad**2
+            every -= RATE * grad / np.sqrt(squares + 1e-6)
 
     def packed(self) -> np.ndarray:
         """Weights, then squares, as one row of numbers."""
         return np.concatenate([t[k].reshape(-1) for t in (self.weights, self.squares) for k in sorted(t)])
 
     def unpacked(self, flat: np.ndarray) -> Network:
+        """A network of these numbers; ones in single precision are not copied."""
         at, tables = 0, ({}, {})
         for table in tables:
             for k in sorted(self.weights):
                 size = self.weights[k].size
-                table[k] = flat[at : at + size].astype(np.float32).reshape(self.weights[k].shape)
+                table[k] = flat[at : at + size].astype(np.float32, copy=False).reshape(self.weights[k].shape)
                 at += size
         return Network(*tables)
 
 
 def windows(flat: np.ndarray, counts: np.ndarray, classes: int) -> np.ndarray:
     """The neighbours of every token, `classes` where a text has none."""
-    ends = np.cumsum(counts)
-    place, left = np.arange(len(flat)) - np.repeat(ends - counts, counts), np.repeat(ends, counts) - np.arange(len(flat)) - 1
-    columns = []
-    for d in [*range(-SIDE, 0), *range(1, SIDE + 1)]:
-        near = np.roll(flat, -d)
-        columns.append(np.where(place >= -d if d < 0 else left >= d, near, classes))
-    return np.stack(columns, axis=1) if len(flat) else np.empty((0, 2 * SIDE), dtype=np.int64)
+    padded = np.full(len(flat) + SIDE * (len(counts) + 1), classes, dtype=flat.dtype)
+    place = np.arange(len(flat)) + np.repeat(np.arange(1, len(counts) + 1) * SIDE, counts)
+    padded[place] = flat
+    out = np.empty((len(flat), 2 * SIDE), dtype=flat.dtype)
+    for i, d in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
+        out[:, i] = padded[place + d]
+    return out
 
 
-class Known(dict):
-    """Numbers of tokens in the order they are met, from `first` on, with their classes."""
+class Known(Numbered):
+    """Numbers of tokens, with the classes of those that were not given."""
 
-    def __init__(self, given: dict[str, int] | None = None) -> None:
-        super().__init__(given or {})
-        self.first, self.classes = len(self), array("i")
+    def __init__(self, given: Iterable[str] = ()) -> None:
+        super().__init__(given)
+        self.first, self.classes = len(self.tokens), np.zeros(0, dtype=np.int16)
 
-    def __missing__(self, token: str) -> int:
-        self.classes.append(token_class(token))
-        self[token] = i = self.first + len(self.classes) - 1
-        return i
+    def new(self) -> list[str]:
+        return [*islice(self.tokens, self.first, None)]
 
-    def numbers(self, texts: list[bytes], find: Callable[[str], list[str]]) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
-        """The number of every token, the number of tokens of each text, and the tokens."""
-        lists = [find(t.decode("utf-8", "replace")) for t in texts]
-        counts = np.array([len(x) for x in lists], dtype=np.int64)
-        return np.fromiter(map(self.__getitem__, chain.from_iterable(lists)), dtype=np.int64, count=int(counts.sum())), counts, lists
+    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        numbers, counts = super().of(texts)
+        more = islice(self.tokens, self.first + len(self.classes), None)
+        self.classes = np.concatenate([self.classes, np.fromiter(map(token_class, more), dtype=np.int16)])
+        return numbers, counts
 
 
 class Counted:
@@ -180,17 +192,17 @@ class Counted:
     def __init__(self) -> None:
         self.known, self.times = Known(), np.zeros(0, dtype=np.int64)
 
-    def add(self, texts: list[bytes], find: Callable[[str], list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    def add(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Classes of all tokens and the number of each text."""
-        numbers, counts, _ = self.known.numbers(texts, find)
-        times = np.bincount(numbers, minlength=len(self.known))
+        numbers, counts = self.known.of(texts)
+        times = np.bincount(numbers, minlength=len(self.known.tokens))
         times[: len(self.times)] += self.times
         self.times = times
-        return np.array(self.known.classes, dtype=np.int64)[numbers], counts
+        return self.known.classes[numbers], counts
 
     def taken(self) -> pa.RecordBatch:
-        n = len(self.known)
-        columns = [pa.array(list(self.known), pa.string()), pa.array(self.known.classes, pa.int32()), pa.array(self.times, pa.int64()), pa.nulls(n, pa.binary())]
+        n = len(self.known.tokens)
+        columns = [pa.array(self.known.new(), pa.string()), pa.array(self.known.classes, pa.int32()), pa.array(self.times, pa.int64()), pa.nulls(n, pa.binary())]
         self.known, self.times = Known(), np.zeros(0, dtype=np.int64)
         return pa.RecordBatch.from_arrays(columns, names=["token", "class", "n", "weights"])
 
@@ -226,7 +238,7 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, block_bytes:
         first = share(spark, network)
 
         def run(batches: Iterator[pa.RecordBatch], first=first) -> Iterator[pa.RecordBatch]:
-            begin, find = first(), re.compile(TOKEN).findall
+            begin = first()
             start = begin.packed()
             own, block, seen, everything, total = None, None, 0, 0, np.zeros(len(start))
             held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -256,12 +268,12 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, block_bytes:
                         close()
                         own, block, seen = begin.unpacked(start), numbers[a], 0
                     for batch in slices(whole.slice(a, b - a), "text"):
-                        held.append(counted.add(texts_of(batch, "text"), find))
+                        held.append(counted.add(texts_of(batch, "text")))
                         if sum(len(flat) for flat, _ in held) >= HELD_TOKENS:
                             learn()
-                        if len(counted.known) > REMEMBERED:
+                        if len(counted.known.tokens) > REMEMBERED:
                             yield counted.taken()
-            if len(counted.known):
+            if len(counted.known.tokens):
                 yield counted.taken()
             close()
             if everything:
@@ -301,23 +313,21 @@ def score(docs: DataFrame, model: Model, text: str = "text", hot_tokens: int = H
 
     def make():
         trained, share_of, frequent, times, classes = shared()
-        find, logs = re.compile(TOKEN).findall, np.log(times.astype(np.float64))
-        base = {t: i for i, t in enumerate(frequent)}
-        ids = Known(base)
+        classes, logs = classes.astype(np.int16), np.log(times.astype(np.float64))
+        known = Known(frequent)
 
         def work(texts):
-            nonlocal ids
-            if len(ids.classes) > REMEMBERED:
-                ids = Known(base)
-            found, counts, lists = ids.numbers(texts, find)
-            flat = np.concatenate([classes.astype(np.int64), np.array(ids.classes, dtype=np.int64)])[found]
+            nonlocal known
+            if len(known.classes) > REMEMBERED:
+                known = Known(frequent)
+            found, counts = known.of(texts)
+            flat = np.concatenate([classes, known.classes])[found]
             away = found >= len(frequent)
             value = trained.scores(windows(flat, counts, CLASSES), flat) + share_of[flat]
-            if len(logs):
-                value += np.where(away, 0.0, logs[np.where(away, 0, found)])
+            value += np.concatenate([logs, np.zeros(len(known.classes))])[found]
             sums = np.concatenate([[0.0], np.cumsum(value, dtype=np.float64)])
             ends = np.cumsum(counts)
-            rare = pa.array(list(compress(chain.from_iterable(lists), away.tolist())), pa.string())
+            rare = pa.array(known.new(), pa.string()).take(pa.array(found[away] - len(frequent)))
             bounds = np.concatenate([[0], np.cumsum(away)])[np.concatenate([[0], ends])]
             return counts, sums[ends] - sums[ends - counts], pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), rare)
 

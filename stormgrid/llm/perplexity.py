@@ -37,13 +37,16 @@ weight gives it `LEAST_WEIGHT`.
 from __future__ import annotations
 
 import hashlib
+import re
+from array import array
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
-from itertools import chain
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,8 +60,8 @@ ROUNDS = 8
 SHARD_ENTRIES, SHARDS = 1 << 22, (64, 1000)
 #: Entries of the tables in one stored row.
 PACKED = 1 << 18
-#: Words that a task remembers.
-REMEMBERED = 300_000
+#: Words that a task remembers, and their bytes.
+REMEMBERED, REMEMBERED_BYTES = 300_000, 16 << 20
 LEAST_WEIGHT = 1e-30
 #: Quantile of trusted perplexities, and the factor above it that is still kept.
 QUANTILE, MARGIN = 0.99, 1.5
@@ -159,29 +162,64 @@ def word_hashes(words: list[str]) -> np.ndarray:
     return np.frombuffer(b"".join(hashlib.blake2b(w.encode(), digest_size=8).digest() for w in words), dtype="<i8")
 
 
-def reader(words: Words) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
-    """A function from texts to the ids of all their tokens and the number of each text, as `token_ids`."""
-    import re
+class Numbered:
+    """Numbers of tokens in the order they are met, after the `given` ones.
 
-    find = re.compile(TOKEN).findall
+    No token spans white space, so the tokens of a text are those of its
+    ASCII-blank-separated words in order; a word met lately is not split again.
+    """
 
-    class Numbers(dict):
-        def __missing__(self, word: str) -> int:
-            self[word] = i = len(self)
-            return i
+    def __init__(self, given: Iterable[str] = ()) -> None:
+        self.find = re.compile(TOKEN).findall
+        #: Tokens with their numbers, in the order of these.
+        self.tokens = {t: i for i, t in enumerate(given)}
+        self.forget()
+
+    def forget(self) -> None:
+        """Starts the memory of words anew; tokens keep their numbers."""
+        self.words = pa.array([], pa.string())
+        #: The numbers of all words' tokens one after the other, and where those of each word end.
+        self.parts, self.ends = array("i"), array("q", [0])
+
+    def learn(self, words: pa.Array) -> None:
+        tokens, find, parts, ends = self.tokens, self.find, self.parts, self.ends
+        for word in words.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist():
+            word = word.decode("utf-8", "replace")
+            if word.isalpha():
+                parts.append(tokens.setdefault(word, len(tokens)))
+            else:
+                for token in find(word):
+                    parts.append(tokens.setdefault(token, len(tokens)))
+            ends.append(len(parts))
+        self.words = pa.concat_arrays([self.words, words])
+
+    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all tokens of texts and how many each text has."""
+        if len(self.words) > REMEMBERED or self.words.nbytes > REMEMBERED_BYTES:
+            self.forget()
+        split = pa.compute.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
+        words = split.flatten().dictionary_encode()
+        self.learn(words.dictionary.filter(pa.compute.is_null(pa.compute.index_in(words.dictionary, self.words))))
+        known = pa.compute.index_in(words.dictionary, self.words).to_numpy()[words.indices.to_numpy()]
+        parts, bounds = np.array(self.parts), np.array(self.ends)
+        size = np.diff(bounds)[known]
+        last = np.cumsum(size)
+        numbers = parts[np.repeat(bounds[known + 1] - last, size) + np.arange(size.sum())]
+        ends = np.concatenate([[0], last])[np.cumsum(pa.compute.list_value_length(split).to_numpy())]
+        return numbers, np.diff(ends, prepend=0)
 
-    numbers, ids = Numbers(), np.zeros(0, dtype=np.int64)
+
+def reader(words: Words) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
+    """A function from texts to the ids of all their tokens and the number of each text, as `token_ids`."""
+    numbered, ids = Numbered(), np.zeros(0, dtype=np.int64)
 
     def of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        nonlocal numbers, ids
-        if len(numbers) > REMEMBERED:
-            numbers, ids = Numbers(), ids[:0]
-        lists = [find(t.decode("utf-8", "replace")) for t in texts]
-        counts = np.array([len(x) for x in lists], dtype=np.int64)
-        flat = np.fromiter(map(numbers.__getitem__, chain.from_iterable(lists)), dtype=np.int64, count=int(counts.sum()))
-        new = list(numbers)[len(ids) :]
-        ids = np.concatenate([ids, words.of(new)])
-        return ids[flat], counts
+        nonlocal numbered, ids
+        if len(numbered.tokens) > REMEMBERED:
+            numbered, ids = Numbered(), ids[:0]
+        numbers, counts = numbered.of(texts)
+        ids = np.concatenate([ids, words.of([*islice(numbered.tokens, len(ids), None)])])
+        return ids[numbers], counts
 
     return of
 

@@ -97,3 +97,38 @@ def test_edges(spark):
     assert sorted(r.n_tokens for r in got) == [0, 0, 2, 2, 2, 20_000]
     assert {(r.log_likelihood, r.mean_log_likelihood) for r in got if r.n_tokens == 0} == {(0.0, None)}
     assert M.score(docs.limit(0), M.fit(docs.limit(0))).collect() == []
+
+
+def test_a_batch_trains_as_by_hand():
+    """One step of the network against gradients written out plainly, in double precision."""
+    rng = np.random.default_rng(4)
+    flat, counts = rng.integers(0, M.CLASSES, 300).astype(np.int16), np.array([0, 120, 1, 179, 0])
+    context = M.windows(flat, counts, M.CLASSES)
+    ends = np.cumsum(counts)
+    for begin, end in zip(ends - counts, ends, strict=True):
+        for i in range(begin, end):
+            assert context[i].tolist() == [flat[j] if begin <= j < end else M.CLASSES for j in (i - 2, i - 1, i + 1, i + 2)]
+    network = M.Network.start()
+    w = {k: v.astype(np.float64) for k, v in network.weights.items()}
+    inputs = w["embed"][context].reshape(len(flat), -1)
+    hidden = np.hstack([np.tanh(inputs @ w["in"] + w["in_bias"]), np.ones((len(flat), 1))])
+    wrong = np.exp(hidden @ w["out"])
+    wrong /= wrong.sum(axis=1, keepdims=True)
+    wrong[np.arange(len(flat)), flat] -= 1
+    wrong /= len(flat)
+    back = (wrong @ w["out"][:-1].T) * (1 - hidden[:, :-1] ** 2)
+    embed = np.zeros_like(w["embed"])
+    np.add.at(embed, context.reshape(-1), (back @ w["in"].T).reshape(-1, M.WIDTH))
+    start = network.packed()
+    network.train(context, flat)
+    for name, grad in {"out": hidden.T @ wrong, "in": inputs.T @ back, "in_bias": back.sum(axis=0), "embed": embed}.items():
+        squares = 0.01 + grad**2
+        assert np.allclose(network.squares[name], squares, atol=1e-6)
+        assert np.allclose(network.weights[name], w[name] - M.RATE * grad / np.sqrt(squares + 1e-6), atol=1e-5)
+    assert (M.Network.start().packed() == start).all()
+
+
+def test_big_tables_move_in_small_types():
+    """Windows keep the type of their classes, and a task's classes are short integers."""
+    found, counts = M.Counted().add([b"a b, c", b"", "é 12".encode()])
+    assert found.dtype == np.int16 == M.windows(found, counts, M.CLASSES).dtype and counts.tolist() == [4, 0, 2]

@@ -110,3 +110,20 @@ def test_counts_cover_all_trusted_text(spark):
     key = lambda *words: sum(ids[w] << 21 * (2 - i) for i, w in enumerate(words))
     seen, unseen = model.scores(np.array([key("ef", "gh", "ef"), key("ef", "gh", "ab")]))
     assert seen > math.log(0.99) > unseen
+
+
+def test_numbered_words_equal_whole_texts(monkeypatch):
+    """Tokens found word by word, with a memory that is emptied now and then, are those of the whole texts."""
+    import random
+    import re
+
+    monkeypatch.setattr(P, "REMEMBERED", 20)
+    rng = random.Random(1)
+    bits = ["a", "Ab", " ", "\n", "\t", "\x0b", "\x0c", "\r", "\x1c", "\x85", "\xa0", "_", "__", "1", "²", "½", "é", "ß", "中文", "!", "...", "'", "٣", "e\u0301", "\x00", "\u200b", "😀"]
+    numbered = P.Numbered(["a", "zz"])
+    for _ in range(500):
+        texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 30))).encode() for _ in range(rng.randint(0, 6))] + [b"ab\xc3 \xff\xfe x\xe4\xb8"] * rng.randint(0, 1)
+        found, counts = numbered.of(texts)
+        want, names = [re.findall(P.TOKEN, t.decode("utf-8", "replace")) for t in texts], list(numbered.tokens)
+        assert [names[i] for i in found] == [x for w in want for x in w] and counts.tolist() == [len(w) for w in want]
+    assert names[:2] == ["a", "zz"]
