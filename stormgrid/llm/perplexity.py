@@ -38,20 +38,17 @@ from __future__ import annotations
 
 import hashlib
 import re
-from array import array
-from collections import Counter
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stormgrid.llm.common import append_columns, release_memory, share, slices, small_batches, texts_of
+from stormgrid.llm.common import WordMemory, append_columns, process_memory, release_memory, share, slices, small_batches, texts_of
 from stormgrid.session import materialize, stored_steps, work_path
 
 #: Rounds in which documents are scored: each has its share of n-grams on disk at a time.
@@ -144,6 +141,8 @@ class Words:
 
     def __init__(self, hashes: np.ndarray, ids: np.ndarray, weight: np.ndarray | None = None, own: np.ndarray | None = None) -> None:
         self.hashes, self.ids, self.weight, self.own = hashes, ids, weight, own
+        #: Tells this vocabulary from others.
+        self.key = uuid.uuid4().hex
 
     def of(self, words: list[str]) -> np.ndarray:
         """Ids of words, those of their shapes where they are not in the vocabulary."""
@@ -162,66 +161,69 @@ def word_hashes(words: list[str]) -> np.ndarray:
     return np.frombuffer(b"".join(hashlib.blake2b(w.encode(), digest_size=8).digest() for w in words), dtype="<i8")
 
 
-class Numbered:
-    """Numbers of tokens in the order they are met, after the `given` ones.
+class Split(WordMemory):
+    """Tokens of texts as numbers. No token spans white space, so a text has the tokens of its words in order."""
 
-    No token spans white space, so the tokens of a text are those of its
-    ASCII-blank-separated words in order; a word met lately is not split again.
-    """
-
-    def __init__(self, given: Iterable[str] = ()) -> None:
+    def __init__(self) -> None:
+        super().__init__(REMEMBERED, REMEMBERED_BYTES)
         self.find = re.compile(TOKEN).findall
-        #: Tokens with their numbers, in the order of these.
-        self.tokens = {t: i for i, t in enumerate(given)}
-        self.forget()
 
-    def forget(self) -> None:
-        """Starts the memory of words anew; tokens keep their numbers."""
-        self.words = pa.array([], pa.string())
-        #: The numbers of all words' tokens one after the other, and where those of each word end.
-        self.parts, self.ends = array("i"), array("q", [0])
+    def number(self, tokens: list[str]) -> Iterable[int]:
+        raise NotImplementedError
 
-    def learn(self, words: pa.Array) -> None:
-        tokens, find, parts, ends = self.tokens, self.find, self.parts, self.ends
-        for word in words.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist():
+    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        tokens, ends, find = [], [], self.find
+        for word in words:
             word = word.decode("utf-8", "replace")
             if word.isalpha():
-                parts.append(tokens.setdefault(word, len(tokens)))
+                tokens.append(word)
             else:
-                for token in find(word):
-                    parts.append(tokens.setdefault(token, len(tokens)))
-            ends.append(len(parts))
-        self.words = pa.concat_arrays([self.words, words])
-
-    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers of all tokens of texts and how many each text has."""
-        if len(self.words) > REMEMBERED or self.words.nbytes > REMEMBERED_BYTES:
-            self.forget()
-        split = pa.compute.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
-        words = split.flatten().dictionary_encode()
-        self.learn(words.dictionary.filter(pa.compute.is_null(pa.compute.index_in(words.dictionary, self.words))))
-        known = pa.compute.index_in(words.dictionary, self.words).to_numpy()[words.indices.to_numpy()]
-        parts, bounds = np.array(self.parts), np.array(self.ends)
-        size = np.diff(bounds)[known]
-        last = np.cumsum(size)
-        numbers = parts[np.repeat(bounds[known + 1] - last, size) + np.arange(size.sum())]
-        ends = np.concatenate([[0], last])[np.cumsum(pa.compute.list_value_length(split).to_numpy())]
-        return numbers, np.diff(ends, prepend=0)
-
-
-def reader(words: Words) -> Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]:
-    """A function from texts to the ids of all their tokens and the number of each text, as `token_ids`."""
-    numbered, ids = Numbered(), np.zeros(0, dtype=np.int64)
+                tokens += find(word)
+            ends.append(len(tokens))
+        return np.fromiter(self.number(tokens), dtype=np.int32, count=len(tokens)), np.diff(ends, prepend=0)
 
-    def of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        nonlocal numbered, ids
-        if len(numbered.tokens) > REMEMBERED:
-            numbered, ids = Numbered(), ids[:0]
-        numbers, counts = numbered.of(texts)
-        ids = np.concatenate([ids, words.of([*islice(numbered.tokens, len(ids), None)])])
-        return ids[numbers], counts
 
-    return of
+class Numbered(Split):
+    """Numbers of tokens in the order they are met, after the `given` ones."""
+
+    def __init__(self, given: Iterable[str] = ()) -> None:
+        super().__init__()
+        #: Tokens with their numbers, in the order of these.
+        self.tokens = {t: i for i, t in enumerate(given)}
+
+    def number(self, tokens: list[str]) -> Iterable[int]:
+        known = self.tokens
+        return [known.setdefault(t, len(known)) for t in tokens]
+
+
+class Reader(Split):
+    """The vocabulary's ids of tokens, as `token_ids`; a worker remembers words from task to task."""
+
+    def __init__(self, words: Words) -> None:
+        super().__init__()
+        self.vocabulary = words
+
+    def number(self, tokens: list[str]) -> Iterable[int]:
+        different = [*dict.fromkeys(tokens)]
+        return map(dict(zip(different, self.vocabulary.of(different).tolist(), strict=True)).__getitem__, tokens)
+
+
+@contextmanager
+def reader(words: Words) -> Iterator[Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]]:
+    """A function from texts to the ids of all their tokens and the number of each text.
+
+    Between tasks a worker keeps the words it has met, for one vocabulary at a time, but not the vocabulary.
+    """
+    kept = process_memory("words of a vocabulary")
+    if words.key not in kept:
+        kept.clear()
+        kept[words.key] = Reader(words)
+    mine = kept[words.key]
+    mine.vocabulary = words
+    try:
+        yield lambda texts: (lambda ids, counts: (ids.astype(np.int64), counts))(*mine.of(texts))
+    finally:
+        mine.vocabulary = None
 
 
 def shard_of(pair, shards: int):
@@ -424,12 +426,12 @@ def _fit(spark: SparkSession, docs: DataFrame, trusted: DataFrame) -> Model | No
         shared = share(spark, dictionary)
 
         def trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            of = reader(shared())
-            for whole in batches:
-                for batch in slices(whole, "text"):
-                    flat, counts = of(texts_of(batch, "text"))
-                    two, one = before(flat, counts)
-                    yield from sent(TABLE, shards, *added(two << WIDE | one, flat, np.ones(len(flat), dtype=np.int64)))
+            with reader(shared()) as of:
+                for whole in batches:
+                    for batch in slices(whole, "text"):
+                        flat, counts = of(texts_of(batch, "text"))
+                        two, one = before(flat, counts)
+                        yield from sent(TABLE, shards, *added(two << WIDE | one, flat, np.ones(len(flat), dtype=np.int64)))
 
         def pairs(shard: int, parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
             ctx, w, _ = parts[0]
@@ -505,22 +507,21 @@ def _fit(spark: SparkSession, docs: DataFrame, trusted: DataFrame) -> Model | No
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Different words with their hashes and counts, handed on when they are many."""
-    import re
-
-    find, counts = re.compile(TOKEN).findall, Counter()
+    numbered, times = Numbered(), np.zeros(0, dtype=np.int64)
 
     def taken() -> pa.RecordBatch:
-        held = list(counts)
-        return pa.RecordBatch.from_arrays([pa.array(held, pa.string()), pa.array(word_hashes(held), pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["word", "h", "n"])
+        held = list(numbered.tokens)
+        return pa.RecordBatch.from_arrays([pa.array(held, pa.string()), pa.array(word_hashes(held), pa.int64()), pa.array(times)], names=["word", "h", "n"])
 
     for whole in batches:
         for batch in slices(whole, "text"):
-            for t in texts_of(batch, "text"):
-                counts.update(find(t.decode("utf-8", "replace")))
-            if len(counts) > REMEMBERED:
+            more = np.bincount(numbered.of(texts_of(batch, "text"))[0], minlength=len(numbered.tokens))
+            more[: len(times)] += times
+            times = more
+            if len(times) > REMEMBERED:
                 yield taken()
-                counts.clear()
-    if counts:
+                numbered, times = Numbered(), times[:0]
+    if len(times):
         yield taken()
 
 
@@ -621,23 +622,23 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", drop: tuple[
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        known = shared()
-        of, number = reader(known), TaskContext.get().partitionId() << 32
-        for whole in batches:
-            for batch in slices(whole, text):
-                flat, counts = of(texts_of(batch, text))
-                two, one = before(flat, counts)
-                place = np.repeat(np.arange(len(counts)), counts)
-                own = np.bincount(place, known.weight[one].astype(np.float64) + known.own[flat], len(counts))
-                columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
-                rows = pa.RecordBatch.from_arrays([*columns, pa.array(counts), pa.array(own)], names=[*names, "n_tokens", "perplexity"])
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                    out.write_batch(rows)
-                yield moved([(number % shards, KEPT, number, 0, len(counts), sink.getvalue().to_pybytes())])
-                for shard, size, data in questions(two, one, flat, place, shards):
-                    yield moved([(shard, QUESTION, number, size, len(counts), data)])
-                number += 1
+        known, number = shared(), TaskContext.get().partitionId() << 32
+        with reader(known) as of:
+            for whole in batches:
+                for batch in slices(whole, text):
+                    flat, counts = of(texts_of(batch, text))
+                    two, one = before(flat, counts)
+                    place = np.repeat(np.arange(len(counts)), counts)
+                    own = np.bincount(place, known.weight[one].astype(np.float64) + known.own[flat], len(counts))
+                    columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
+                    rows = pa.RecordBatch.from_arrays([*columns, pa.array(counts), pa.array(own)], names=[*names, "n_tokens", "perplexity"])
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                        out.write_batch(rows)
+                    yield moved([(number % shards, KEPT, number, 0, len(counts), sink.getvalue().to_pybytes())])
+                    for shard, size, data in questions(two, one, flat, place, shards):
+                        yield moved([(shard, QUESTION, number, size, len(counts), data)])
+                    number += 1
         release_memory()
 
     def work(total: np.ndarray, data: bytes) -> pa.RecordBatch:

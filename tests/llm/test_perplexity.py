@@ -127,3 +127,17 @@ def test_numbered_words_equal_whole_texts(monkeypatch):
         want, names = [re.findall(P.TOKEN, t.decode("utf-8", "replace")) for t in texts], list(numbered.tokens)
         assert [names[i] for i in found] == [x for w in want for x in w] and counts.tolist() == [len(w) for w in want]
     assert names[:2] == ["a", "zz"]
+
+
+def test_a_worker_keeps_words_of_one_vocabulary(monkeypatch):
+    """Words met in one task are not looked up again in the next, and another vocabulary starts anew."""
+    import numpy as np
+
+    asked = []
+    monkeypatch.setattr(P.Words, "of", lambda self, words: asked.extend(words) or np.full(len(words), 7 if self is one else 8))
+    one, two = (P.Words(np.zeros(0, np.int64), np.zeros(0, np.int32)) for _ in range(2))
+    for words, new, want in [(one, ["a", ",", "b"], 7), (one, [], 7), (two, ["a", ",", "b"], 8)]:
+        asked.clear()
+        with P.reader(words) as of:
+            ids, counts = of([b"a, b a", b"", b"b"])
+        assert (asked, ids.tolist(), counts.tolist()) == (new, [want] * 5, [4, 0, 1])
