@@ -25,11 +25,9 @@ from __future__ import annotations
 
 import os
 import re
-import sys
-import types
 from array import array
-from collections.abc import Callable, Iterable, Iterator
-from itertools import chain, filterfalse
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormgrid.llm.bpe import byte_symbols
-from stormgrid.llm.common import slices, small_batches, texts_of
+from stormgrid.llm.common import WordMemory, process_memory, slices, small_batches, texts_of
 
 BLOCK = 128
 PAGE_IDS = 1 << 17
@@ -45,8 +43,8 @@ PERCENTILE = 90
 MAGIC = b"PFR1"
 #: Words and pieces of words whose ids a worker remembers, words looked up and new pieces asked for at a time.
 WORDS_KEPT, PIECES_KEPT, WORDS_AT_ONCE, PIECES_AT_ONCE = 600_000, 600_000, 100_000, 2_000
-#: Text bytes encoded at a time: enough new words to learn together, few enough to stay in the processor's cache.
-ENCODED_BYTES = 1 << 17
+#: Bytes of words that a worker remembers.
+BYTES_KEPT = 32 << 20
 
 
 def pack(ids: np.ndarray, percentile: int = PERCENTILE) -> bytes:
@@ -115,12 +113,6 @@ def unpack(page: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
     return ids[: max(0, int(n) - first * BLOCK)]
 
 
-def process_memory(name: str) -> dict:
-    """A dictionary that lasts as long as the Python worker, which serves many tasks one after the other."""
-    store = sys.modules.setdefault("_stormgrid_llm_memory", types.ModuleType("_stormgrid_llm_memory"))
-    return store.__dict__.setdefault(name, {})
-
-
 def library_encoder(path: str, words_kept: int = WORDS_KEPT, pieces_kept: int = PIECES_KEPT) -> Callable[[list[bytes]], list[bytes]]:
     """The tokenizers library on whole texts, asked once for each piece it has not met lately.
 
@@ -143,7 +135,7 @@ def library_encoder(path: str, words_kept: int = WORDS_KEPT, pieces_kept: int =
     by_blanks.pre_tokenizer = WhitespaceSplit()
     last = np.zeros(1 + max(tokenizer.get_vocab().values()), dtype=bool)
     last[[i for token, i in tokenizer.get_vocab().items() if token.endswith(tokenizer.model.end_of_word_suffix)]] = True
-    words_of, ids_of = process_memory(f"words of {path}"), process_memory(f"ids of {path}")
+    ids_of: dict[bytes, bytes] = {}
     symbols = {b: s for b, s in enumerate(byte_symbols()) if b != ord(" ")}
     # Printable ASCII and Latin letters with marks: composed already, and lower-cased to letters of the same range.
     plain = re.compile("[!-~\u00c0-\u012f\u0131-\u017f]+").fullmatch
@@ -164,7 +156,15 @@ def library_encoder(path: str, words_kept: int = WORDS_KEPT, pieces_kept: int =
                 ids_of[piece] = raw[start:end]
                 start = end
 
-    def learn(missing: set[bytes]) -> None:
+    class Ids(WordMemory):
+        def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            parts = []
+            for at in range(0, len(words), WORDS_AT_ONCE):
+                found = ids_of_words(words[at : at + WORDS_AT_ONCE])
+                parts += map(found.__getitem__, words[at : at + WORDS_AT_ONCE])
+            return np.frombuffer(b"".join(parts), dtype="<u4"), np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
+
+    def ids_of_words(missing: list[bytes]) -> dict[bytes, bytes]:
         simple = [w for w in missing if w.isascii()]
         joined, others = b"".join(simple), [w for w in missing if not w.isascii()]
         if b"<|" in joined or not plain_ascii(joined):
@@ -180,38 +180,28 @@ def library_encoder(path: str, words_kept: int = WORDS_KEPT, pieces_kept: int =
             new = set(chain.from_iterable(split.values()))
         learn_pieces(list(new))
         get = ids_of.__getitem__
-        for w, pieces in split.items():
-            words_of[w] = get(pieces[0]) if len(pieces) == 1 else b"".join(map(get, pieces))
+        known = {w: get(pieces[0]) if len(pieces) == 1 else b"".join(map(get, pieces)) for w, pieces in split.items()}
         found = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in others], add_special_tokens=False)
-        words_of.update((w, array("I", f.ids).tobytes()) for w, f in zip(others, found, strict=True))
-
-    def know(missing: set[bytes], wanted: Iterable[bytes]) -> None:
-        if missing and len(words_of) + len(missing) > words_kept:
-            words_of.clear()
-            missing = set(wanted)
-        if missing:
-            learn(missing)
-
-    def encode_long(text: bytes) -> bytes:
-        words, parts = text.split(), []
-        for at in range(0, len(words), WORDS_AT_ONCE):
-            some = words[at : at + WORDS_AT_ONCE]
-            know(set(some).difference(words_of), some)
-            parts += map(words_of.__getitem__, some)
-        return b"".join(parts)
+        return known | {w: array("I", f.ids).tobytes() for w, f in zip(others, found, strict=True)}
+
+    memory = Ids(words_kept, BYTES_KEPT)
 
     def encode(texts: list[bytes]) -> list[bytes]:
-        if sum(map(len, texts)) > 2 * ENCODED_BYTES:
-            return [encode_long(text) for text in texts]
-        missing = set()
-        for text in texts:
-            missing.update(filterfalse(words_of.__contains__, text.split()))
-        know(missing, chain.from_iterable(text.split() for text in texts))
-        return [b"".join(map(words_of.__getitem__, text.split())) for text in texts]
+        numbers, counts = memory.of(texts)
+        raw, ends = numbers.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     return encode
 
 
+def worker_encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
+    """The encoder of a vocabulary that a worker keeps from task to task, with the words it has met."""
+    kept = process_memory("encoders")
+    if path not in kept:
+        kept[path] = library_encoder(path)
+    return kept[path]
+
+
 def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, key: str = "doc_id", text: str = "text", page_ids: int = PAGE_IDS) -> None:
     """Tokenizes the documents and writes their pages and the manifest to `folder`, in ascending order of `key`."""
     kind = docs.schema[key].dataType.simpleString()
@@ -221,7 +211,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, key: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, shard = library_encoder(vocabulary), TaskContext.get().partitionId()
+        encode, shard = worker_encoder(vocabulary), TaskContext.get().partitionId()
         page = first = held = 0
         keys, lengths, parts = [], [], []
 
@@ -235,7 +225,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int, key: str =
             return pa.RecordBatch.from_arrays(columns, names=["shard", "page", "first", "n_ids", "keys", "lengths", "payload"])
 
         for whole in batches:
-            for batch in slices(whole, "text", ENCODED_BYTES):
+            for batch in slices(whole, "text"):
                 column = batch.column(batch.schema.get_field_index("key"))
                 for i, raw in enumerate(encode(texts_of(batch, "text"))):
                     ids = raw + end

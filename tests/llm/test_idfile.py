@@ -59,3 +59,13 @@ def test_words_equal_whole_texts():
         text = "".join(rng.choice([*PARTS, "\x00", "don't", "AB12cd", "_-", "'S", " x", "Œuvre", "ÀÉ×÷ß", "ŉſŸ", "señor,", "ĲÇ'S", "e\u0301"]) for _ in range(rng.randint(0, 12)))
         got = list(memoryview(b"".join(encode([text.encode()]))).cast("I"))
         assert got == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_a_worker_keeps_its_encoder():
+    """The next task of a worker takes the encoder with all words met; a text has the same ids either way, whatever stands beside it."""
+    encode, texts = idfile.worker_encoder(PATH), [b"The cat's 12 hats", b"", b" hats,\x0bcat ", "Œuvre\u00a0x\x85y".encode(), b"a<|endoftext|> b"]
+    assert idfile.worker_encoder(PATH) is encode
+    want = [Tokenizer.from_file(PATH).encode(t.decode(), add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        assert [list(memoryview(b).cast("I")) for b in encode(texts)] == want
+        assert [list(memoryview(encode([t])[0]).cast("I")) for t in texts] == want
