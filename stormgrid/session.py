@@ -59,6 +59,9 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: For rows of megabytes. Parquet looks at sizes every hundred rows only, and keeps least and greatest values until a file is closed.
+LARGE_ROWS = {"parquet.enable.dictionary": False, "parquet.column.statistics.enabled": False, "parquet.size.statistics.enabled": False}
+
 #: The folder of the run in progress, below the shared folder.
 _RUN: ContextVar[str | None] = ContextVar("run", default=None)
 
@@ -104,18 +107,22 @@ class EmptyStep(ValueError):
     """A step that must have rows has none."""
 
 
-def materialize(df: DataFrame, gate: str | None = None, codec: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, gate: str | None = None, codec: str | None = None, group_rows: int | None = None) -> DataFrame:
     """Stores a step as a table in the shared folder and reads it back.
 
     Later reads see the very same rows, need only the columns they use, know the
     size of the table, and survive the loss of any executor. With a `gate` the rows
     are counted while they are written, and `EmptyStep` is raised under that name if
     there are none: no job is run to find out. A `codec` names the compression of the
-    stored files, else the session's own.
+    stored files, else the session's own. `group_rows` is for rows of megabytes: so
+    many of them are held while they are written, and read at a time.
     """
     path = work_path(df.sparkSession, "step")
     seen = Observation()
-    (df if gate is None else df.observe(seen, F.count(F.lit(1)).alias("rows"))).write.parquet(path, compression=codec)
+    write = (df if gate is None else df.observe(seen, F.count(F.lit(1)).alias("rows"))).write
+    if group_rows is not None:
+        write = write.options(**{"parquet.block.row.count.limit": group_rows}, **LARGE_ROWS)
+    write.parquet(path, compression=codec)
     if gate is not None and not seen.get["rows"]:
         raise EmptyStep(gate)
     return df.sparkSession.read.schema(df.schema).parquet(path)

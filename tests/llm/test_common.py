@@ -32,3 +32,12 @@ def test_small_batches_only_lowers_the_number(spark):
         common.small_batches(spark)
         assert spark.conf.get(name) == want
     spark.conf.unset(name)
+
+
+def test_short_batches_only_lowers_the_bytes(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for given, want in (("64m", str(common.BATCH_BYTES)), (str(common.BATCH_BYTES + 1), str(common.BATCH_BYTES)), ("3k", "3k")):
+        spark.conf.set(name, given)
+        common.short_batches(spark)
+        assert spark.conf.get(name) == want
+    spark.conf.unset(name)

@@ -1,8 +1,11 @@
 import random
 import re
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
+from stormgrid.llm import common
 from stormgrid.llm import decontaminate as D
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -96,3 +99,25 @@ def test_proximity_against_every_place(spark, seed, segment, near):
             if any(all(any(0 <= p + k + s < len(w) and w[p + k + s] == x for s in range(-near, near + 1)) for k, x in enumerate(b)) for p in range(-near - 1, len(w) + near + 1)):
                 want.append(item)
         assert got[key] == want, (text, got[key], want)
+
+
+def test_a_task_holds_one_segment_at_a_time(spark):
+    rng = random.Random(7)
+    rows = [(i, " ".join(f"{rng.randrange(10**9):x}" for _ in range(20_000))) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    index = D.build_index(docs, segment_words=20_000)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.inputFiles()]
+    groups = [m.row_group(g) for m in files for g in range(m.num_row_groups)]
+    assert len(groups) > len(files) and {g.num_rows for g in groups} == {1}
+    assert not any(g.column(c).is_stats_set and g.column(c).statistics.has_min_max for g in groups for c in range(g.num_columns))
+
+    found = D.search(index, spark.createDataFrame([(5, " ".join(rows[3][1].split()[50:65]))], "item_id long, text string"))
+
+    def seen(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": pa.array([b.num_rows], pa.int32()), "bytes": pa.array([b.nbytes], pa.int64())})
+
+    batches = index.coalesce(1).mapInArrow(seen, "rows int, bytes long").collect()
+    assert sum(b.rows for b in batches) == len(groups) and sum(b.bytes for b in batches) > 2 * common.BATCH_BYTES
+    assert max(b.bytes for b in batches) < common.BATCH_BYTES + (1 << 20)
+    assert {r.key: (r.n_words, r.n_hit, list(r["items"])) for r in found.collect()} == {i: (20_000, *((15, [5]) if i == 3 else (0, []))) for i in range(24)}
